@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .catalog import REGISTRY, QueryFn  # noqa: F401
-from .catalog import cleaning, reports  # noqa: F401
+from .catalog import cleaning, reports, search  # noqa: F401
 
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
