@@ -23,6 +23,10 @@ WORD_CLASS = r"\p{L}\p{N}_"
 # Index token: a run of letters or digits (underscore splits tokens).
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 
+# Python's whitespace characters (str.isspace), derived by rule; all lie
+# below U+3001.
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -57,8 +61,9 @@ def col_(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Strip Unicode whitespace at both ends (Python ``str.strip``)."""
-    return F.regexp_replace(col_(c), rf"\A[{WS_CLASS}]+|[{WS_CLASS}]+\z", "")
+    """Strip Unicode whitespace at both ends (Python ``str.strip``): a
+    character-set trim, no regex."""
+    return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
 def strip_accents(c: Column | str) -> Column:

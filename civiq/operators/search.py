@@ -53,13 +53,30 @@ def _idf(n_docs: Column, df: Column) -> Column:
 
 
 def bm25_scores(questions: DataFrame, index: TextIndex) -> DataFrame:
-    """(question_id, id, score) for every document that holds all terms."""
+    """(question_id, id, score) for every document that holds all terms.
+
+    Candidate documents come from each question's rarest term (every match
+    must contain it); only for those candidates are the other terms' postings
+    looked up, by an equi-join on the unique posting key (term, id). A stop
+    word shared by many questions is therefore shuffled once, never fanned
+    out per question, and no (question, document) pair is formed for
+    documents lacking the rarest term.
+    """
     qt = query_terms(questions)
     n_docs = index.corpus.select(F.col("n_docs").cast("double")).scalar()
     avgdl = index.corpus.select(F.col("avgdl").cast("double")).scalar()
     qi = qt.join(index.terms, "term").select(
-        "question_id", "term", "qtf", "n_terms", _idf(n_docs, F.col("df")).alias("idf"))
-    rel = index.postings.join(qi, "term")
+        "question_id", "term", "qtf", "n_terms", "df", _idf(n_docs, F.col("df")).alias("idf"))
+    # A question with a term absent from the index cannot match anything.
+    rare = (qi.groupBy("question_id", "n_terms")
+            .agg(F.count(F.lit(1)).alias("n_known"),
+                 F.min(F.struct("df", "term")).alias("r"))
+            .where(F.col("n_known") == F.col("n_terms"))
+            .select("question_id", F.col("r.term").alias("term")))
+    cand = index.postings.select("term", "id").join(rare, "term").select("question_id", "id")
+    wanted = index.postings.join(qi.select("term").distinct(), "term", "left_semi")
+    pairs = cand.join(qi.select("question_id", "term", "qtf", "n_terms", "idf"), "question_id")
+    rel = pairs.join(wanted, ["term", "id"])
     k1, b = F.lit(BM25_K1), F.lit(BM25_B)
     tf = F.col("tf").cast("double")
     contrib = (F.col("qtf") * F.col("idf") * (tf * (k1 + F.lit(1.0)))
@@ -108,32 +125,44 @@ def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
 
 
 def _like_join(pats: DataFrame, docs: DataFrame) -> DataFrame:
-    cond = (F.like(F.col("_c"), F.col("pat")) | F.like(F.col("_ci"), F.col("pat"))
-            | F.like(F.col("_k"), F.col("pat")))
-    return docs.join(F.broadcast(pats), cond, "inner")
+    """Nested-loop match of broadcast patterns against documents. A pattern
+    without ``%``/``_`` is a plain substring test (no regex per pair)."""
+    plain = pats.where(~F.col("wild"))
+    wild = pats.where(F.col("wild"))
+    sub = F.col("q")
+    c_plain = (F.col("_c").contains(sub) | F.col("_ci").contains(sub)
+               | F.col("_k").contains(sub))
+    pat = F.col("pat")
+    c_wild = (F.like(F.col("_c"), pat) | F.like(F.col("_ci"), pat) | F.like(F.col("_k"), pat))
+    return (docs.join(F.broadcast(plain), c_plain, "inner")
+            .unionByName(docs.join(F.broadcast(wild), c_wild, "inner")))
 
 
 def like_matches(questions: DataFrame, reports: DataFrame,
                  filters: ReportFilter | dict | None = None,
                  text_col: str = "texto") -> DataFrame:
     """(question_id, hit columns) for reports whose comment, city or
-    category contains the question text (SQL LIKE semantics)."""
-    pats = questions.select("question_id", like_contains_pattern(F.col(text_col)).alias("pat"))
+    category contains the question text (SQL LIKE semantics: ``%``/``_``
+    wildcards, ASCII-only case folding, no escape character)."""
+    q = ascii_lower(F.col(text_col))
+    pats = questions.select("question_id", q.alias("q"))
     docs = reports.where(as_filter(filters).predicate()).select(
         *HIT_COLUMNS, ascii_lower("comentario").alias("_c"), ascii_lower("ciudad").alias("_ci"),
         ascii_lower("categoria_problema").alias("_k"))
     # Distinct patterns are what the join has to test; the same pattern asked
     # by many questions is matched once and fanned out by an equi-join.
-    distinct = pats.select("pat").distinct()
+    distinct = pats.select("q").distinct().withColumn(
+        "wild", F.col("q").contains("%") | F.col("q").contains("_")).withColumn(
+        "pat", like_contains_pattern(F.col("q")))
     n = distinct.count()
     if n <= LIKE_BROADCAST_ROWS:
         parts = [_like_join(distinct, docs)]
     else:
         nb = math.ceil(2 * n / LIKE_BROADCAST_ROWS)
-        bucket = F.pmod(F.xxhash64("pat"), F.lit(nb))
+        bucket = F.pmod(F.xxhash64("q"), F.lit(nb))
         parts = [_like_join(distinct.where(bucket == i), docs) for i in range(nb)]
     matched = reduce(DataFrame.unionByName, parts)
-    return matched.join(pats, "pat").select("question_id", *HIT_COLUMNS)
+    return matched.join(pats, "q").select("question_id", *HIT_COLUMNS)
 
 
 def like_search(questions: DataFrame, reports: DataFrame, k: int = DEFAULT_TOP_K,

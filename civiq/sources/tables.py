@@ -41,6 +41,19 @@ QUESTION_FIXTURES = [
 CONVERSATION_ID_BASE = 1000
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an under-partitioned scan at least one partition per core.
+
+    A large input already scans as many partitions and is left alone; a small
+    file read as a single row group would otherwise run all later narrow work
+    (tokenizing, cleaning) in one task.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
@@ -53,7 +66,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean reports (V). nation is a fixed 25-row dimension, so it is
     broadcast; orders x customer is left to the planner (AQE turns it into a
     broadcast join at run time when customer is small enough)."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
@@ -127,7 +140,7 @@ def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as searchable reports (T)."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     i = F.col("doc_id")
     fecha = F.concat(
         (F.lit(2020) + i % 5).cast("string"), F.lit("-"),
@@ -155,7 +168,7 @@ def question_fixtures(spark: SparkSession) -> DataFrame:
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions (Q): literal fixtures plus all user turns of conversations."""
-    conv = table(spark, sf_dir, "conversations")
+    conv = spread(table(spark, sf_dir, "conversations"))
     turns = conv.where(F.col("role") == "user").select(
         ((F.col("conv_id") + 1) * CONVERSATION_ID_BASE + F.col("turn")).alias("question_id"),
         F.col("text").alias("texto"))
