@@ -16,12 +16,15 @@ from ..schema import (
     REQUIRED_FIELDS,
     URGENT_LABELS,
 )
+from ..session import materialize
 from ..sources import tables as S
 from . import register
 
 
 def _raw(spark, sf):
-    return S.raw_reports(spark, sf)
+    # Raw data arrives as files; the derived raw view is staged the same way
+    # (a reliable checkpoint), so cleaning plans start from plain columns.
+    return materialize(S.raw_reports(spark, sf))
 
 
 def _trimmed(spark, sf):
@@ -121,7 +124,7 @@ register("upsert_last_wins", chain("lw", f"SELECT seq, {_cols} FROM lw"))(
 register("etl_row_counts", chain(
     "dd", "SELECT (SELECT COUNT(*) FROM v_raw_reports) AS source_rows, "
     "(SELECT COUNT(*) FROM dd) AS clean_rows"))(
-    lambda spark, sf: C.row_counts(_raw(spark, sf), C.transform(_raw(spark, sf))))
+    lambda spark, sf: (lambda raw: C.row_counts(raw, C.transform(raw)))(_raw(spark, sf)))
 register("clean_null_check", chain(
     "dd", "SELECT " + ", ".join(f"count_if({c} IS NULL) AS n_null_{c}" for c in REPORT_COLUMNS)
     + " FROM dd"))(

@@ -109,18 +109,41 @@ def coerce_id(df: DataFrame) -> DataFrame:
         F.col("id").isNotNull())
 
 
+def normalized(df: DataFrame) -> DataFrame:
+    """B1-B9 as one flat projection plus a ``_valid`` flag.
+
+    Every normalized value is computed once from the trimmed text; validity is
+    a single boolean instead of a chain of filters, so Catalyst does not inline
+    (and re-evaluate) the normalizations into pushed-down predicates.
+    """
+    df = clean_comment_nulls(trim_strings(rename_columns(df)))
+    s = F.lower(strip_ws(F.col("nivel_urgencia")))
+    n_id = to_number("id")
+    gen = None
+    for k, v in GENERO_MAP.items():
+        cond = F.col("genero") == k
+        gen = F.when(cond, F.lit(v)) if gen is None else gen.when(cond, F.lit(v))
+    out = df.select(
+        *[c for c in df.columns if c not in REPORT_COLUMNS],
+        F.when(n_id.isNotNull(), n_id.cast("long")).alias("id"),
+        "nombre",
+        to_int_half_even("edad").alias("edad"),
+        gen.alias("genero"),
+        "ciudad", "comentario", "categoria_problema", "nivel_urgencia",
+        F.when(s.isin(URGENT_LABELS), F.lit(1)).when(s.isin(NOT_URGENT_LABELS), F.lit(0))
+        .alias("urgente"),
+        parse_date_iso("fecha_reporte").alias("fecha_reporte"),
+        *[to_flag(c).alias(c) for c in FLAG_COLUMNS],
+    )
+    valid = F.col("edad").between(0, 120) & F.col("id").isNotNull() & F.col("urgente").isNotNull()
+    for c in REQUIRED_FIELDS:
+        valid = valid & F.col(c).isNotNull()
+    return out.withColumn("edad", F.col("edad").cast("int")).withColumn("_valid", valid)
+
+
 def validate(df: DataFrame) -> DataFrame:
-    """B1-B9, C1-C3 in the source order: every row that would survive."""
-    df = rename_columns(df)
-    df = trim_strings(df)
-    df = clean_comment_nulls(df)
-    df = normalize_fecha(df)
-    df = normalize_edad(df)
-    df = normalize_genero(df)
-    df = normalize_flags(df)
-    df = normalize_urgencia(df)
-    df = drop_incomplete(df)
-    return coerce_id(df)
+    """Every row that would survive, normalized."""
+    return normalized(df).where(F.col("_valid")).drop("_valid")
 
 
 def _pick(df: DataFrame, key: str, order: str, last: bool) -> DataFrame:
@@ -166,8 +189,18 @@ def _clean_fields():
 
 def transform(raw: DataFrame) -> DataFrame:
     """The whole cleaning pipeline (raw strings with a ``seq`` arrival
-    order -> clean reports, unique id, first valid row wins)."""
-    return select_clean(dedup_first(validate(mark_na(raw))))
+    order -> clean reports, unique id, first valid row wins).
+
+    Validation and de-duplication are one aggregate: per id, the record with
+    the smallest ``seq`` among its valid rows (``min_by`` ignores rows whose
+    ordering value is null, i.e. invalid ones), combined map-side.
+    """
+    n = normalized(mark_na(raw))
+    cols = [c for c in REPORT_COLUMNS if c != "id"]
+    first = F.min_by(F.struct(*cols), F.when(F.col("_valid"), F.col(SEQ)))
+    agg = n.groupBy("id").agg(first.alias("_r"))
+    return select_clean(agg.where(F.col("id").isNotNull() & F.col("_r").isNotNull())
+                        .select("id", "_r.*"))
 
 
 def row_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:

@@ -69,9 +69,21 @@ class TextIndex:
         self.corpus = corpus_df
 
     @classmethod
-    def build(cls, reports: DataFrame, **kw) -> "TextIndex":
-        p = postings(reports, **kw)
-        return cls(p, term_stats(p), corpus_stats(reports, **kw))
+    def build(cls, reports: DataFrame, checkpoint: bool = True, **kw) -> "TextIndex":
+        """Build the index. With ``checkpoint`` (default) each table is
+        materialized once in the shared checkpoint folder - documents are
+        tokenized a single time, later searches reuse the tables, and a lost
+        executor does not force re-tokenizing. Corpus statistics come from
+        the postings (total tokens) and a plain row count (every document,
+        with or without tokens)."""
+        from ..session import materialize
+        keep = materialize if checkpoint else (lambda d: d)
+        p = keep(postings(reports, **kw))
+        total = p.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("double")).scalar()
+        corpus = reports.agg(F.count(F.lit(1)).alias("n_docs")).select(
+            "n_docs", F.when(F.col("n_docs") > 0, total / F.col("n_docs"))
+            .otherwise(F.lit(0.0)).alias("avgdl"))
+        return cls(p, keep(term_stats(p)), keep(corpus))
 
     def write(self, path: str, partitions: int | None = None) -> None:
         """Store the index. Postings are range-partitioned on (term, id) - a
