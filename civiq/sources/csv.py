@@ -28,14 +28,18 @@ def read_reports_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A2: clean CSV sink, overwritten, with a header."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A2: clean CSV sink, overwritten, with a header. Values are written as
+    they are (the writer's default trimming of edge whitespace is off)."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def verify_written(spark: SparkSession, path: str, expected_rows: int | None = None,
                    fmt: str = "csv") -> int:
     """A3: read the output back; fail when it is missing or the count differs."""
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+              if fmt == "csv" else spark.read)
     n = reader.format(fmt).load(path).count()
     if expected_rows is not None and n != expected_rows:
         raise RuntimeError(f"output {path} has {n} rows, expected {expected_rows}")
