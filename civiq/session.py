@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder: checkpoints must survive "
+                "the loss of the executor that wrote them")
         configured = tempfile.mkdtemp(prefix="civiq-ckpt-")
-        os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
