@@ -28,11 +28,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ascii_lower, like_contains_pattern, sanitize_query, tokenize
 from ..schema import BM25_B, BM25_K1, BM25_MIN_IDF, CONTEXT_LINE, DEFAULT_TOP_K, HIT_COLUMNS
+from ..session import materialize
 from .filters import ReportFilter, as_filter, filter_columns_predicate
 from .index import TextIndex
 
 # Largest pattern table broadcast into one nested-loop join.
 LIKE_BROADCAST_ROWS = 20_000
+# Largest (question, term) table whose derived tables are broadcast.
+QUERY_TERMS_BROADCAST_ROWS = 2_000_000
 
 FILTER_COLS = ["f_ciudad", "f_categoria_problema", "f_urgente", "f_fecha_desde", "f_fecha_hasta"]
 
@@ -62,10 +65,16 @@ def bm25_scores(questions: DataFrame, index: TextIndex) -> DataFrame:
     out per question, and no (question, document) pair is formed for
     documents lacking the rarest term.
     """
-    qt = query_terms(questions)
+    # The query side is materialized and its size checked: below the bound
+    # every query-derived table (terms, rarest terms) is broadcast, so the
+    # postings are filtered map-side and never shuffled by term; above it the
+    # joins stay shuffle joins (AQE splits skewed partitions).
+    qt = materialize(query_terms(questions))
+    small = qt.count() <= QUERY_TERMS_BROADCAST_ROWS
+    bc = F.broadcast if small else (lambda d: d)
     n_docs = index.corpus.select(F.col("n_docs").cast("double")).scalar()
     avgdl = index.corpus.select(F.col("avgdl").cast("double")).scalar()
-    qi = qt.join(index.terms, "term").select(
+    qi = index.terms.join(bc(qt), "term").select(
         "question_id", "term", "qtf", "n_terms", "df", _idf(n_docs, F.col("df")).alias("idf"))
     # A question with a term absent from the index cannot match anything.
     rare = (qi.groupBy("question_id", "n_terms")
@@ -73,9 +82,9 @@ def bm25_scores(questions: DataFrame, index: TextIndex) -> DataFrame:
                  F.min(F.struct("df", "term")).alias("r"))
             .where(F.col("n_known") == F.col("n_terms"))
             .select("question_id", F.col("r.term").alias("term")))
-    cand = index.postings.select("term", "id").join(rare, "term").select("question_id", "id")
-    wanted = index.postings.join(qi.select("term").distinct(), "term", "left_semi")
-    pairs = cand.join(qi.select("question_id", "term", "qtf", "n_terms", "idf"), "question_id")
+    cand = index.postings.select("term", "id").join(bc(rare), "term").select("question_id", "id")
+    wanted = index.postings.join(bc(qt.select("term").distinct()), "term", "left_semi")
+    pairs = cand.join(bc(qi.select("question_id", "term", "qtf", "n_terms", "idf")), "question_id")
     rel = pairs.join(wanted, ["term", "id"])
     k1, b = F.lit(BM25_K1), F.lit(BM25_B)
     tf = F.col("tf").cast("double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,10 +64,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage by writing the table into the shared checkpoint folder.
 
-    Used for small derived tables that several later stages read, so they are
-    computed once and survive the loss of the executors that computed them.
+    Used for derived tables that several later stages read: they are computed
+    once, survive the loss of the executors that computed them, and - being
+    Parquet - carry real size statistics for the planner's join choices and
+    support pruning and filter pushdown when read back.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/civiq-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
