@@ -36,6 +36,8 @@ from .index import TextIndex
 LIKE_BROADCAST_ROWS = 20_000
 # Largest (question, term) table whose derived tables are broadcast.
 QUERY_TERMS_BROADCAST_ROWS = 2_000_000
+# Largest candidate (question, document, term) table broadcast against postings.
+PAIRS_BROADCAST_ROWS = 1_000_000
 
 FILTER_COLS = ["f_ciudad", "f_categoria_problema", "f_urgente", "f_fecha_desde", "f_fecha_hasta"]
 
@@ -83,9 +85,15 @@ def bm25_scores(questions: DataFrame, index: TextIndex) -> DataFrame:
             .where(F.col("n_known") == F.col("n_terms"))
             .select("question_id", F.col("r.term").alias("term")))
     cand = index.postings.select("term", "id").join(bc(rare), "term").select("question_id", "id")
-    wanted = index.postings.join(bc(qt.select("term").distinct()), "term", "left_semi")
-    pairs = cand.join(bc(qi.select("question_id", "term", "qtf", "n_terms", "idf")), "question_id")
-    rel = pairs.join(wanted, ["term", "id"])
+    pairs = materialize(cand.join(
+        bc(qi.select("question_id", "term", "qtf", "n_terms", "idf")), "question_id"))
+    if pairs.count() <= PAIRS_BROADCAST_ROWS:
+        # candidate (question, document, term) rows are few: probe the postings
+        # with them map-side, no shuffle of the postings at all
+        rel = index.postings.join(F.broadcast(pairs), ["term", "id"])
+    else:
+        wanted = index.postings.join(bc(qt.select("term").distinct()), "term", "left_semi")
+        rel = pairs.join(wanted, ["term", "id"])
     k1, b = F.lit(BM25_K1), F.lit(BM25_B)
     tf = F.col("tf").cast("double")
     contrib = (F.col("qtf") * F.col("idf") * (tf * (k1 + F.lit(1.0)))
