@@ -38,10 +38,23 @@ def doc_stats(reports: DataFrame, **kw) -> DataFrame:
     return doc_tokens(reports, **kw).select("id", F.size("tokens").alias("doc_len"))
 
 
+def explode_terms(d: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, term) - one row per token of ``d.tokens``.
+
+    ``explode`` would let the optimizer infer ``size(tokens) > 0`` and push
+    that filter below the projection (and any repartition) into the scan, so
+    every text would be tokenized twice. ``explode_outer`` infers nothing;
+    the null row it emits for a document without tokens is dropped after the
+    generator, where the filter cannot move.
+    """
+    ex = d.select(*keep, F.explode_outer("tokens").alias("term"))
+    return ex.where(F.col("term").isNotNull())
+
+
 def postings(reports: DataFrame, **kw) -> DataFrame:
     """(term, id, tf, doc_len)."""
-    d = doc_tokens(reports, **kw)
-    ex = d.select("id", F.size("tokens").alias("doc_len"), F.explode("tokens").alias("term"))
+    d = doc_tokens(reports, **kw).select("id", "tokens", F.size("tokens").alias("doc_len"))
+    ex = explode_terms(d, "id", "doc_len")
     return ex.groupBy("term", "id", "doc_len").agg(F.count(F.lit(1)).alias("tf")).select(
         "term", "id", "tf", "doc_len")
 

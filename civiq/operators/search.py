@@ -30,7 +30,7 @@ from ..functions.text import ascii_lower, like_contains_pattern, sanitize_query,
 from ..schema import BM25_B, BM25_K1, BM25_MIN_IDF, CONTEXT_LINE, DEFAULT_TOP_K, HIT_COLUMNS
 from ..session import materialize
 from .filters import ReportFilter, as_filter, filter_columns_predicate
-from .index import TextIndex
+from .index import TextIndex, explode_terms
 
 # Largest pattern table broadcast into one nested-loop join.
 LIKE_BROADCAST_ROWS = 20_000
@@ -47,8 +47,8 @@ def query_terms(questions: DataFrame, text_col: str = "texto") -> DataFrame:
     repeated term scores once per occurrence, so its count is kept."""
     toks = tokenize(sanitize_query(F.col(text_col)))
     q = questions.select("question_id", toks.alias("tokens"))
-    q = q.select("question_id", F.size(F.array_distinct("tokens")).alias("n_terms"),
-                 F.explode("tokens").alias("term"))
+    q = explode_terms(q.withColumn("n_terms", F.size(F.array_distinct("tokens"))),
+                      "question_id", "n_terms")
     return q.groupBy("question_id", "term", "n_terms").agg(F.count(F.lit(1)).alias("qtf"))
 
 
