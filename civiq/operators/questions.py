@@ -230,7 +230,9 @@ def mentions(parsed: DataFrame, cube: ReportCube, kind: str) -> DataFrame:
 
 class QuestionStats:
     def __init__(self, questions: DataFrame, reports: DataFrame):
-        self.parsed = parse_questions(questions)
+        # Parsed once: every statistics branch reads the same window and
+        # intent columns, so the regex parsing is not repeated per branch.
+        self.parsed = materialize(parse_questions(questions))
         self.cube = ReportCube(reports)
         self.ws = WindowStats(self.parsed, self.cube)
         self._cache: dict[str, DataFrame] = {}
@@ -313,23 +315,36 @@ class QuestionStats:
         return self.parsed.select("question_id").join(lines, "question_id", "left").select(
             "question_id", F.coalesce("stats", F.lit("")).alias("stats"))
 
+    def global_summary(self) -> DataFrame:
+        """One row over the whole table (no date window): totals and the top
+        city, category and month, each as ``struct(neg_n, name)`` (ties by
+        name). Built from the cube by one union and one global aggregate."""
+        kinds = [("c", "ciudad"), ("k", "categoria_problema"), ("m", "mes")]
+        long = reduce(DataFrame.unionByName, [
+            self.cube.by(key).select(F.lit(kind).alias("kind"), F.col(key).alias("name"),
+                                     "n", "n_urg") for kind, key in kinds])
+        is_c = F.col("kind") == "c"
+        aggs = [F.coalesce(F.sum(F.when(is_c, F.col("n"))), F.lit(0)).cast("long").alias("n_all"),
+                F.coalesce(F.sum(F.when(is_c, F.col("n_urg"))), F.lit(0)).cast("long").alias("n_urg")]
+        aggs += [F.min(F.when(F.col("kind") == kind, F.struct(
+            (-F.col("n")).cast("long").alias("neg"), F.col("name").alias("name")))).alias(f"b_{kind}")
+            for kind, _ in kinds]
+        return long.agg(*aggs)
+
     def answers(self) -> DataFrame:
         """(question_id, answer) - first matching intent over the whole
-        table (dates ignored); an empty group falls through."""
-        g = self.ws
-        tot = g.totals().where(F.col("wkey") == NO_WINDOW)
-        n_all = tot.select(F.col("n").cast("long")).scalar()
-        n_urg = tot.select(F.col("n_urg").cast("long")).scalar()
-        tc = g.top("ciudad").where(F.col("wkey") == NO_WINDOW)
-        tk = g.top("categoria_problema").where(F.col("wkey") == NO_WINDOW)
-        pm = g.peak_month().where(F.col("wkey") == NO_WINDOW)
-        c_name, c_n = tc.select("ciudad").scalar(), tc.select(F.col("n").cast("long")).scalar()
-        k_name, k_n = tk.select("categoria_problema").scalar(), tk.select(F.col("n").cast("long")).scalar()
-        m_name, m_n = pm.select("mes").scalar(), pm.select(F.col("n").cast("long")).scalar()
+        table (dates ignored); an empty group falls through. The one-row
+        summary is materialized, so each value is a scalar read of it."""
+        g = materialize(self.global_summary())
+        n_all, n_urg = g.select("n_all").scalar(), g.select("n_urg").scalar()
+
+        def best(kind):
+            return g.select(f"b_{kind}.name").scalar(), g.select(-F.col(f"b_{kind}.neg")).scalar()
+
+        (c_name, c_n), (k_name, k_n), (m_name, m_n) = best("c"), best("k"), best("m")
         p = self.parsed
-        ans = (F.when(F.col("f_count") & F.col("f_urgent"),
-                      _fmt(ANSWER_URGENT_TOTAL, F.coalesce(n_urg, F.lit(0))))
-               .when(F.col("f_count"), _fmt(ANSWER_TOTAL, F.coalesce(n_all, F.lit(0))))
+        ans = (F.when(F.col("f_count") & F.col("f_urgent"), _fmt(ANSWER_URGENT_TOTAL, n_urg))
+               .when(F.col("f_count"), _fmt(ANSWER_TOTAL, n_all))
                .when(F.col("f_answer_city") & c_name.isNotNull(), _fmt(ANSWER_TOP_CITY, c_name, c_n))
                .when(F.col("f_top_category") & k_name.isNotNull(),
                      _fmt(ANSWER_TOP_CATEGORY, k_name, k_n))
