@@ -38,6 +38,8 @@ LIKE_BROADCAST_ROWS = 20_000
 QUERY_TERMS_BROADCAST_ROWS = 2_000_000
 # Largest candidate (question, document, term) table broadcast against postings.
 PAIRS_BROADCAST_ROWS = 1_000_000
+# Largest ranked-hit table (k rows per question) broadcast to fetch hit columns.
+HITS_BROADCAST_ROWS = 1_000_000
 
 FILTER_COLS = ["f_ciudad", "f_categoria_problema", "f_urgente", "f_fecha_desde", "f_fecha_hasta"]
 
@@ -57,7 +59,8 @@ def _idf(n_docs: Column, df: Column) -> Column:
     return F.when(raw <= 0, F.lit(BM25_MIN_IDF)).otherwise(raw)
 
 
-def bm25_scores(questions: DataFrame, index: TextIndex) -> DataFrame:
+def bm25_scores(questions: DataFrame, index: TextIndex, qt: DataFrame | None = None,
+                n_qt: int | None = None) -> DataFrame:
     """(question_id, id, score) for every document that holds all terms.
 
     Candidate documents come from each question's rarest term (every match
@@ -71,8 +74,10 @@ def bm25_scores(questions: DataFrame, index: TextIndex) -> DataFrame:
     # every query-derived table (terms, rarest terms) is broadcast, so the
     # postings are filtered map-side and never shuffled by term; above it the
     # joins stay shuffle joins (AQE splits skewed partitions).
-    qt = materialize(query_terms(questions))
-    small = qt.count() <= QUERY_TERMS_BROADCAST_ROWS
+    if qt is None:
+        qt = materialize(query_terms(questions))
+        n_qt = qt.count()
+    small = n_qt <= QUERY_TERMS_BROADCAST_ROWS
     bc = F.broadcast if small else (lambda d: d)
     n_docs = index.corpus.select(F.col("n_docs").cast("double")).scalar()
     avgdl = index.corpus.select(F.col("avgdl").cast("double")).scalar()
@@ -124,10 +129,13 @@ def top_k_per_question(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _attach_hits(top: DataFrame, reports: DataFrame) -> DataFrame:
-    # top holds at most k rows per question; AQE turns this into a broadcast
-    # join when that is small, else it stays a shuffle join on id.
-    return top.join(reports.select(*HIT_COLUMNS), "id")
+def _attach_hits(top: DataFrame, reports: DataFrame, bounded: bool = False) -> DataFrame:
+    """Hit columns for the ranked rows. ``bounded`` says the caller proved
+    the ranked table small (k rows per question, questions counted): it is
+    then broadcast and the reports are only scanned, never shuffled by id.
+    AQE would reach the same join only after shuffling the whole report
+    table, so the bound is checked up front; above it the join shuffles."""
+    return (F.broadcast(top) if bounded else top).join(reports.select(*HIT_COLUMNS), "id")
 
 
 def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | None = None,
@@ -135,10 +143,13 @@ def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
                 with_hits: bool = True) -> DataFrame:
     """F1: ranked top-k per question: (question_id, rank, id, score, hit columns)."""
     index = index or TextIndex.build(reports)
-    scored = _with_filters(bm25_scores(questions, index), reports, filters, questions)
+    qt = materialize(query_terms(questions))
+    n_qt = qt.count()
+    scored = _with_filters(bm25_scores(questions, index, qt, n_qt), reports, filters, questions)
     top = top_k_per_question(scored, k, [F.desc(F.round("score", 9)), F.asc("id")])
     top = top.select("question_id", "rank", "id", F.round("score", 6).alias("score"))
-    return _attach_hits(top, reports) if with_hits else top
+    # at most k rows per question, and no more questions than query-term rows
+    return _attach_hits(top, reports, k * n_qt <= HITS_BROADCAST_ROWS) if with_hits else top
 
 
 def _like_join(pats: DataFrame, docs: DataFrame) -> DataFrame:
