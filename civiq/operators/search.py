@@ -153,25 +153,22 @@ def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
 
 
 def _like_join(pats: DataFrame, docs: DataFrame) -> DataFrame:
-    """Nested-loop match of broadcast patterns against documents. A pattern
-    without ``%``/``_`` is a plain substring test (no regex per pair)."""
-    plain = pats.where(~F.col("wild"))
-    wild = pats.where(F.col("wild"))
+    """Nested-loop match of broadcast patterns against documents, in one pass
+    over the documents. A pattern without ``%``/``_`` is a plain substring
+    test (no regex per pair); the others use LIKE."""
     sub = F.col("q")
     c_plain = (F.col("_c").contains(sub) | F.col("_ci").contains(sub)
                | F.col("_k").contains(sub))
     pat = F.col("pat")
     c_wild = (F.like(F.col("_c"), pat) | F.like(F.col("_ci"), pat) | F.like(F.col("_k"), pat))
-    return (docs.join(F.broadcast(plain), c_plain, "inner")
-            .unionByName(docs.join(F.broadcast(wild), c_wild, "inner")))
+    return docs.join(F.broadcast(pats), F.when(F.col("wild"), c_wild).otherwise(c_plain), "inner")
 
 
-def like_matches(questions: DataFrame, reports: DataFrame,
-                 filters: ReportFilter | dict | None = None,
-                 text_col: str = "texto") -> DataFrame:
-    """(question_id, hit columns) for reports whose comment, city or
-    category contains the question text (SQL LIKE semantics: ``%``/``_``
-    wildcards, ASCII-only case folding, no escape character)."""
+def _like_pattern_matches(questions: DataFrame, reports: DataFrame,
+                          filters: ReportFilter | dict | None, text_col: str
+                          ) -> tuple[DataFrame, DataFrame]:
+    """(pats(question_id, q), matched(q, hit columns)): matches per distinct
+    pattern, not yet fanned out to the questions asking it."""
     q = ascii_lower(F.col(text_col))
     pats = questions.select("question_id", q.alias("q"))
     docs = reports.where(as_filter(filters).predicate()).select(
@@ -189,16 +186,34 @@ def like_matches(questions: DataFrame, reports: DataFrame,
         nb = math.ceil(2 * n / LIKE_BROADCAST_ROWS)
         bucket = F.pmod(F.xxhash64("q"), F.lit(nb))
         parts = [_like_join(distinct.where(bucket == i), docs) for i in range(nb)]
-    matched = reduce(DataFrame.unionByName, parts)
+    matched = reduce(DataFrame.unionByName, parts).select("q", *HIT_COLUMNS)
+    return pats, matched
+
+
+def like_matches(questions: DataFrame, reports: DataFrame,
+                 filters: ReportFilter | dict | None = None,
+                 text_col: str = "texto") -> DataFrame:
+    """(question_id, hit columns) for reports whose comment, city or
+    category contains the question text (SQL LIKE semantics: ``%``/``_``
+    wildcards, ASCII-only case folding, no escape character)."""
+    pats, matched = _like_pattern_matches(questions, reports, filters, text_col)
     return matched.join(pats, "q").select("question_id", *HIT_COLUMNS)
 
 
 def like_search(questions: DataFrame, reports: DataFrame, k: int = DEFAULT_TOP_K,
                 filters: ReportFilter | dict | None = None) -> DataFrame:
-    """newest-first top-k of the LIKE matches (ties by id)."""
-    m = like_matches(questions, reports, filters)
-    return top_k_per_question(m, k, [F.desc("fecha_reporte"), F.asc("id")]).select(
-        "question_id", "rank", *HIT_COLUMNS)
+    """newest-first top-k of the LIKE matches (ties by id).
+
+    The order depends on the document alone and the filters are the same for
+    every question, so the top k of a pattern is the top k of each question
+    asking it: ranking runs per distinct pattern (partial window limit before
+    the shuffle) and only k rows per question are fanned out. A pattern
+    shared by many questions and matching most reports never emits all
+    (question, report) pairs."""
+    pats, matched = _like_pattern_matches(questions, reports, filters, "texto")
+    w = Window.partitionBy("q").orderBy(F.desc("fecha_reporte"), F.asc("id"))
+    top = matched.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.join(pats, "q").select("question_id", "rank", *HIT_COLUMNS)
 
 
 def search_auto(questions: DataFrame, reports: DataFrame, index: TextIndex | None = None,
