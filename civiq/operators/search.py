@@ -61,7 +61,14 @@ def _idf(n_docs: Column, df: Column) -> Column:
 
 def bm25_scores(questions: DataFrame, index: TextIndex, qt: DataFrame | None = None,
                 n_qt: int | None = None) -> DataFrame:
-    """(question_id, id, score) for every document that holds all terms.
+    """(question_id, id, score) for every document that holds all terms."""
+    return _bm25_scored(questions, index, qt, n_qt)[0]
+
+
+def _bm25_scored(questions: DataFrame, index: TextIndex, qt: DataFrame | None,
+                 n_qt: int | None) -> tuple[DataFrame, int]:
+    """BM25 scores and the counted number of candidate (question, document,
+    term) rows, an upper bound on the number of scored rows.
 
     Candidate documents come from each question's rarest term (every match
     must contain it); only for those candidates are the other terms' postings
@@ -92,7 +99,8 @@ def bm25_scores(questions: DataFrame, index: TextIndex, qt: DataFrame | None = N
     cand = index.postings.select("term", "id").join(bc(rare), "term").select("question_id", "id")
     pairs = materialize(cand.join(
         bc(qi.select("question_id", "term", "qtf", "n_terms", "idf")), "question_id"))
-    if pairs.count() <= PAIRS_BROADCAST_ROWS:
+    n_pairs = pairs.count()
+    if n_pairs <= PAIRS_BROADCAST_ROWS:
         # candidate (question, document, term) rows are few: probe the postings
         # with them map-side, no shuffle of the postings at all
         rel = index.postings.join(F.broadcast(pairs), ["term", "id"])
@@ -105,16 +113,25 @@ def bm25_scores(questions: DataFrame, index: TextIndex, qt: DataFrame | None = N
                / (tf + k1 * (F.lit(1.0) - b + b * F.col("doc_len") / avgdl)))
     agg = rel.groupBy("question_id", "id", "n_terms").agg(
         F.count(F.lit(1)).alias("n_hit"), F.sum(contrib).alias("score"))
-    return agg.where(F.col("n_hit") == F.col("n_terms")).select("question_id", "id", "score")
+    scored = agg.where(F.col("n_hit") == F.col("n_terms")).select("question_id", "id", "score")
+    return scored, n_pairs
 
 
 def _with_filters(scored: DataFrame, reports: DataFrame, flt: ReportFilter | dict | None,
-                  questions: DataFrame | None) -> DataFrame:
-    """Keep matches allowed by the filters, before ranking."""
+                  questions: DataFrame | None, scored_bound: int | None = None) -> DataFrame:
+    """Keep matches allowed by the filters, before ranking.
+
+    With a counted bound on the scored rows at or below the broadcast limit,
+    the scores are broadcast into the filtered report scan (``id`` is the
+    reports' unique key), so the reports are never shuffled by id; above it
+    the semi-join shuffles both sides."""
     f = as_filter(flt)
     if f != ReportFilter():
         allowed = reports.where(f.predicate()).select("id")
-        scored = scored.join(allowed, "id", "left_semi")
+        if scored_bound is not None and scored_bound <= PAIRS_BROADCAST_ROWS:
+            scored = allowed.join(F.broadcast(scored), "id").select(*scored.columns)
+        else:
+            scored = scored.join(allowed, "id", "left_semi")
     if questions is not None and all(c in questions.columns for c in FILTER_COLS):
         qf = questions.select("question_id", *FILTER_COLS)
         rf = reports.select("id", "ciudad", "categoria_problema", "urgente", "fecha_reporte")
@@ -145,7 +162,8 @@ def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
     index = index or TextIndex.build(reports)
     qt = materialize(query_terms(questions))
     n_qt = qt.count()
-    scored = _with_filters(bm25_scores(questions, index, qt, n_qt), reports, filters, questions)
+    scored, n_pairs = _bm25_scored(questions, index, qt, n_qt)
+    scored = _with_filters(scored, reports, filters, questions, n_pairs)
     top = top_k_per_question(scored, k, [F.desc(F.round("score", 9)), F.asc("id")])
     top = top.select("question_id", "rank", "id", F.round("score", 6).alias("score"))
     # at most k rows per question, and no more questions than query-term rows
