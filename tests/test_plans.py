@@ -63,6 +63,31 @@ def _write_raw_csv(spark, path):
         .option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
+def test_documents_tokenized_once(spark):
+    """No tokenizer in a pushed-down filter: each text is tokenized once."""
+    text = REGISTRY["term_df"][0](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for line in text.splitlines():
+        if "Filter" in line or "DataFilters" in line:
+            assert "regexp_extract_all" not in line, line
+    from civiq.operators.index import INDEX_COLUMNS
+    assert text.count("regexp_extract_all") == len(INDEX_COLUMNS)  # once per indexed column
+
+
+def test_hits_broadcast_without_shuffling_documents(spark):
+    """Ranked hits are broadcast into the document scan; documents are
+    never hash-shuffled by id (with or without filters)."""
+    for name in ("bm25_topk", "bm25_topk_filtered"):
+        text = REGISTRY[name][0](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in text, name
+        assert "hashpartitioning(id" not in text, name
+
+
+def test_like_ranks_per_pattern_before_fan_out(spark):
+    text = plan(REGISTRY["like_search"][0](spark, SF_SMALL))
+    assert "WindowGroupLimit" in text
+    assert text.count("BroadcastNestedLoopJoin") == 1  # one pass over the documents
+
+
 def test_etl_ask_and_report_end_to_end(spark, scratch):
     from civiq.operators.clean import transform
     from civiq.plans.ask import ask
