@@ -55,6 +55,19 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.select(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).head()[0]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -62,7 +75,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 class WordHashes(dict):
     """word (bytes) -> XXH64; emptied when it has grown past its bound."""
 
-    BOUND = 1_000_000
+    BOUND = 250_000
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, 42)
@@ -77,10 +90,10 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
-    """The named columns of Arrow batches, row by row."""
-    for b in batches:
-        yield from zip(*(b.column(n).to_pylist() for n in names), strict=True)
+def values(column: pa.Array, step: int = 256) -> Iterator:
+    """A column's Python values, a few rows at a time."""
+    for at in range(0, len(column), step):
+        yield from column.slice(at, step).to_pylist()
 
 
 def chunks(items: Iterable, size, limit: int) -> Iterator[list]:

@@ -30,10 +30,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, WordHashes, chunks, runs, ship, shuffle_partitions, text_bytes
+from .common import NULL_ID, WordHashes, chunks, columns, runs, ship, shuffle_partitions, text_bytes, values
 
 WINDOW = 13
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 750_000
 MIN_WIDTH_BITS, MAX_WIDTH_BITS = 20, 29
 BLOCK_BITS = 20
 DEPTH = 2
@@ -87,7 +87,7 @@ def _read(batches, width: int) -> Iterator[list[tuple]]:
     def docs():
         for b in batches:
             known.trim()
-            for i, x in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            for i, x in zip(b.column("id").to_pylist(), values(b.column("text")), strict=True):
                 raw = (x or "").encode()
                 words = raw.split()
                 if len(words) >= width:
@@ -166,29 +166,19 @@ def repeated_sketch(docs: DataFrame, width: int, bits: int) -> list[tuple[int, b
 
 
 class Estimates:
-    """Answers from the broadcast sketch (unpacked once per Python worker)."""
+    """Answers from the broadcast sketch, unpacked once per task."""
 
-    _last: tuple = (None, None)
-
-    def __init__(self, shared, bits: int):
-        self.shared, self.bits = shared, bits
-
-    def rows(self) -> np.ndarray:
-        key, rows = Estimates._last
-        if key != id(self.shared.value):
-            low = min(self.bits, BLOCK_BITS)
-            size = (1 << low) // 8
-            rows = np.zeros((DEPTH, (1 << self.bits) // 8), np.uint8)
-            flat = rows.reshape(-1, size)
-            for part, data in self.shared.value:
-                flat[part] = np.frombuffer(zlib.decompress(data), np.uint8)
-            Estimates._last = (id(self.shared.value), rows)
-        return rows
+    def __init__(self, blocks: list[tuple[int, bytes]], bits: int):
+        self.bits = bits
+        self.rows = np.zeros((DEPTH, (1 << bits) // 8), np.uint8)
+        flat = self.rows.reshape(-1, (1 << min(bits, BLOCK_BITS)) // 8)
+        for part, data in blocks:
+            flat[part] = np.frombuffer(zlib.decompress(data), np.uint8)
 
     def repeated(self, h: np.ndarray) -> np.ndarray:
         """Whether each window is estimated to be in two documents or more."""
         keep = np.ones(len(h), bool)
-        for row, bitmap in enumerate(self.rows()):
+        for row, bitmap in enumerate(self.rows):
             at = cells(h[keep], row, self.bits)
             keep[keep] = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
         return keep
@@ -207,10 +197,11 @@ def _entry_row(bucket, part, doc, pos, h=None, h2=None):
     return (bucket, ids.tobytes(), marks.tobytes(), counts.tobytes(), None if h is None else h.tobytes(), None if h2 is None else h2.tobytes(), pos.tobytes())
 
 
-def _suspects(width: int, buckets: int, estimates: Estimates):
+def _suspects(width: int, buckets: int, shared, bits: int):
     schema = pa.schema([("bucket", pa.int32())] + [(n, pa.binary()) for n in ("ids", "hashes", "counts", "h", "h2", "pos")])
 
     def run(batches):
+        estimates = Estimates(shared.value, bits)
         for n, part in enumerate(_read(batches, width)):
             c = _Chunk(part, width)
             keep = estimates.repeated(c.h)
@@ -283,7 +274,7 @@ def repeated_starts(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     bits = min(max(int(total).bit_length(), MIN_WIDTH_BITS), MAX_WIDTH_BITS)
     buckets = max(shuffle_partitions(spark), total // BUCKET_BYTES)
     shared = spark.sparkContext.broadcast(repeated_sketch(docs, width, bits))
-    entries = docs.mapInArrow(_suspects(width, buckets, Estimates(shared, bits)), _ENTRY)
+    entries = docs.mapInArrow(_suspects(width, buckets, shared, bits), _ENTRY)
     found = entries.groupBy("bucket").applyInArrow(_settle, _REMOVED)
     return found.groupBy("id", "mark").agg(F.collect_list("pos").alias("starts"))
 
@@ -292,7 +283,7 @@ def _cut(width: int):
     def run(batches):
         for b in batches:
             out = []
-            for x, starts in zip(b.column("text").to_pylist(), b.column("starts").to_pylist(), strict=True):
+            for x, starts in zip(values(b.column("text")), values(b.column("starts")), strict=True):
                 words = (x or "").encode().split()
                 cover = np.zeros(len(words) + 1, np.int32)
                 for s in starts or ():
@@ -318,7 +309,7 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     slim = docs.select(F.coalesce(F.col(id_col), F.lit(NULL_ID)).cast("long").alias("id"), F.col(text_col).alias("text"))
     starts = repeated_starts(slim, width).withColumnsRenamed({"id": "s_id", "mark": "s_mark"})
     whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*columns(docs)).alias("row"),
         F.coalesce(F.col(id_col), F.lit(NULL_ID)).cast("long").alias("id"),
         F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("mark"))
     joined = whole.join(starts, (F.col("id") == F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left")
