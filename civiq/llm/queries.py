@@ -5,8 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sql, substring_dedup
-from .common import table
+from . import decontaminate, language_id, sentencepiece_codec, simhash_dedup, sql, substring_dedup
+from .common import remainder, table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 3, 1)
+    out = language_id.identify(table(spark, sf_dir, "documents"), ~held_out)
+    return out.select(F.col("row.doc_id").alias("doc_id"), remainder(F.col("row.doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = sentencepiece_codec.encode(table(spark, sf_dir, "documents")).select("row.doc_id", "row.text", "ids")
+    out = sentencepiece_codec.decode(ids)
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), F.coalesce(F.size("row.ids"), F.lit(0)).cast("long").alias("n_ids"),
+        F.sha2(F.array_join(F.col("row.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.col("decoded").eqNullSafe(F.col("row.text")).alias("round_trip"))
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +42,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_simhash_dedup": op2_simhash_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL = {
+    "op8_benchmark_decontamination": sql.OP8,
     "op10_substring_dedup": sql.OP10,
 }
