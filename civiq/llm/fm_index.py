@@ -9,36 +9,40 @@ import numpy as np
 from .common import runs
 
 
-def suffix_order(seq: np.ndarray) -> np.ndarray:
+def suffix_order(seq: np.ndarray, depth: int | None = None) -> np.ndarray:
     """Start positions of all suffixes in order (a shorter suffix first), by
-    prefix doubling; each round sorts only the suffixes that still tie."""
+    prefix doubling; each round sorts only the suffixes that still tie. With a
+    `depth`, suffixes that agree in so many symbols may stay in any order."""
     n = len(seq)
-    order = np.argsort(seq, kind="stable")
+    bits = max(1, int(seq.max()).bit_length()) if n else 1
+    k = max(1, 62 // bits)
+    key = np.zeros(n, np.int64)
+    for j in range(k):  # the first k symbols as one number
+        key <<= bits
+        key[:max(0, n - j)] |= seq[j:]
+    order = np.argsort(key, kind="stable")
     rank = np.zeros(n + 1, np.int64)
-    first = runs(seq[order])
+    first = runs(key[order])
     rank[order] = np.repeat(first, np.diff(np.append(first, n))) + 1
-    k = 1
-    while True:
+    while depth is None or k < depth:
         size = np.diff(np.append(first, n))
         tied = np.repeat(size > 1, size)
         if not tied.any():
             return order
         at = np.flatnonzero(tied)
         sub = order[at]
-        ahead = rank[np.minimum(sub + k, n)]
-        by = np.lexsort((ahead, rank[sub]))
-        sub, ahead = sub[by], ahead[by]
+        ahead, own = rank[np.minimum(sub + k, n)], rank[sub]
+        by = np.argsort(own * (n + 1) + ahead, kind="stable")
+        sub, ahead, own = sub[by], ahead[by], own[by]
         order[at] = sub
-        start = runs(rank[sub], ahead)
-        place = np.repeat(at[start], np.diff(np.append(start, len(at)))) + 1
-        rank[sub] = place
-        keep = np.ones(n, bool)
-        keep[at] = False
+        start = runs(own, ahead)
+        rank[sub] = np.repeat(at[start], np.diff(np.append(start, len(at)))) + 1
+        keep = np.zeros(n, bool)
+        keep[first[size == 1]] = True
         keep[at[start]] = True
-        lead = np.zeros(n, bool)
-        lead[first] = True
-        first = np.flatnonzero(keep & (lead | tied))
+        first = np.flatnonzero(keep)
         k *= 2
+    return order
 
 
 class Wavelet:
@@ -48,6 +52,7 @@ class Wavelet:
     def __init__(self, seq: np.ndarray):
         self.levels = max(1, int(seq.max()).bit_length()) if len(seq) else 1
         self.n = len(seq)
+        self._start: np.ndarray | None = None
         self.words, self.before, self.zeros = [], [], []
         for level in range(self.levels):
             bit = (seq >> (self.levels - 1 - level)) & 1
@@ -75,6 +80,31 @@ class Wavelet:
             b = np.where(one, self.zeros[level] + ob, b - ob)
         return b - a
 
+    def extend(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All symbols in the ranges [a, b): for each range and symbol in it
+        (symbol, its rank at a, its rank at b)."""
+        symbol = np.zeros(len(a), np.int64)
+        for level in range(self.levels):
+            oa, ob = self._ones(level, a), self._ones(level, b)
+            za, zb = a - oa, b - ob
+            zero, one = zb > za, ob > oa
+            z = self.zeros[level]
+            symbol = np.concatenate([symbol[zero] << 1, symbol[one] << 1 | 1])
+            a, b = np.concatenate([za[zero], z + oa[one]]), np.concatenate([zb[zero], z + ob[one]])
+        start = self._starts()[symbol]
+        return symbol, a - start, b - start
+
+    def _starts(self) -> np.ndarray:
+        if self._start is None:
+            all_ = np.arange(1 << self.levels)
+            at = np.zeros(len(all_), np.int64)
+            for level in range(self.levels):
+                one = (all_ >> (self.levels - 1 - level)) & 1 > 0
+                ones = self._ones(level, at)
+                at = np.where(one, self.zeros[level] + ones, at - ones)
+            self._start = at
+        return self._start
+
     def symbol(self, i: np.ndarray) -> np.ndarray:
         """The symbol at each place."""
         out = np.zeros(len(i), np.int64)
@@ -134,3 +164,36 @@ class FMIndex:
             at = self.less[c] + self.wavelet.rank(c, at)
             steps += 1
         return out
+
+
+def prefix_classes(seq: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, class): the suffixes of a sequence of positive integers in
+    order, and for each a number that suffixes share if and only if their
+    common prefix has at least `length` symbols.
+
+    Breadth-first backward extension on the Burrows-Wheeler transform: from the
+    range of a string w come the ranges of all cw; a range that ends where no
+    range has ended before ends at a common prefix of exactly |w|. Common
+    prefixes are found by increasing value; the search stops at `length`."""
+    seq = np.append(seq, 0).astype(np.int64)
+    n = len(seq)
+    order = suffix_order(seq, length + 1)
+    wavelet = Wavelet(seq[order - 1])
+    counts = np.bincount(seq, minlength=1 << wavelet.levels)
+    less = np.cumsum(counts) - counts
+    ended = np.zeros(n + 1, bool)
+    a, b = np.zeros(1, np.int64), np.full(1, n, np.int64)
+    for _ in range(length):
+        c, ra, rb = wavelet.extend(a, b)
+        a, b = less[c] + ra, less[c] + rb
+        new = ~ended[b]
+        a, b = a[new], b[new]
+        if not len(a):
+            break
+        # of ranges that end together the widest stands for all
+        by = np.lexsort((a, b))
+        a, b = a[by], b[by]
+        first = runs(b)
+        a, b = a[first], b[first]
+        ended[b] = True
+    return order, np.cumsum(ended[:n])

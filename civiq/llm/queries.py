@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, sentencepiece_codec, simhash_dedup, sql, substring_dedup
+from . import ann, decontaminate, language_id, license_scan, sentencepiece_codec, simhash_dedup, sql, substring_dedup, suffix_dedup, toxicity
 from .common import remainder, table
 
 
@@ -20,6 +20,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = sentencepiece_codec.encode(table(spark, sf_dir, "documents")).select("row.doc_id", "row.text", "ids")
     out = sentencepiece_codec.decode(ids)
@@ -29,6 +33,19 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("decoded").eqNullSafe(F.col("row.text")).alias("round_trip"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("licenses").cast("long").alias("n_places"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
+        F.coalesce(F.array_max("licenses.dice"), F.lit(0.0)).alias("score"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -36,6 +53,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~remainder(F.col("doc_id"), 5, 0))
+    return out.select("doc_id", remainder(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup_windows(table(spark, sf_dir, "documents"))
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
@@ -44,8 +66,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_license_scan": op6_license_scan,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

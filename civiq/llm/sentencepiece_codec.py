@@ -5,8 +5,7 @@ precede, one space is put before the text). The distinct marked words of a batch
 are sorted, which walks their trie depth-first: the best scores of all prefixes
 that a word shares with its predecessor are kept, and the Viterbi forward step
 runs only over its remaining letters. The segmentation maximises the sum of the
-piece scores; of equal sums the one whose last piece starts first wins, as in
-the library's unigram encoder. A letter that is no piece becomes byte pieces.
+piece scores; of equal sums the one whose last piece starts first wins. A letter that is no piece becomes byte pieces.
 
 No piece holds a space after another letter, a line break or a letter outside
 the vocabulary, so words can be segmented apart from each other.
