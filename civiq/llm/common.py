@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -18,13 +20,20 @@ from civiq.session import ensure_checkpoint_dir, materialize  # noqa: F401
 #: Stands for a null id where ids are compared: larger than any other id.
 NULL_ID = (1 << 63) - 1
 
+#: Bytes of an Arrow batch that a Python task gets at once.
+BATCH_BYTES = 8 << 20
+
 _SHIPPED = "_civiq_package_shipped"
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per context, so that the Python
-    tasks can import it wherever they run."""
+    tasks can import it wherever they run; and bound the bytes of a batch that
+    goes to Python, as texts may be long (a smaller setting is left alone)."""
     sc = spark.sparkContext
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", spark.conf.get(size))) > BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
     if getattr(sc, _SHIPPED, False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -72,6 +81,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release() -> None:
+    """Give freed memory of a Python worker back to the machine; workers live
+    on between tasks, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class WordHashes(dict):
     """word (bytes) -> XXH64; emptied when it has grown past its bound."""
 
@@ -106,8 +125,10 @@ def chunks(items: Iterable, size, limit: int) -> Iterator[list]:
         if total >= limit:
             yield part
             part, total = [], 0
+            release()
     if part:
         yield part
+    release()
 
 
 def runs(sorted_keys: np.ndarray, *more: np.ndarray) -> np.ndarray:

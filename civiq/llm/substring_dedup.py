@@ -30,10 +30,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, WordHashes, chunks, columns, runs, ship, shuffle_partitions, text_bytes, values
+from .common import NULL_ID, WordHashes, chunks, columns, release, runs, ship, shuffle_partitions, text_bytes, values
 
 WINDOW = 13
-CHUNK_WORDS = 750_000
+CHUNK_WORDS = 500_000
 MIN_WIDTH_BITS, MAX_WIDTH_BITS = 20, 29
 BLOCK_BITS = 20
 DEPTH = 2
@@ -230,31 +230,60 @@ def _suspects(width: int, buckets: int, shared, bits: int):
     return run
 
 
-_REMOVED = "id long, mark long, pos binary"
+_REMOVED = "home int, ids binary, marks binary, counts binary, pos binary"
 
 
-def _settle(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one bucket of window hashes: the starts whose window is in a smaller
-    document, packed per document."""
-    settled, open_ = [], []
+def _settle(buckets: int):
+    def run(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of one bucket of window hashes: the starts whose window is in a smaller
+        document, packed for the buckets that gather them by document."""
+        settled, open_ = [], []
+        for b in parts:
+            for r in b.to_pylist():
+                counts = np.frombuffer(r["counts"], np.int32)
+                entry = (np.repeat(np.frombuffer(r["ids"], np.int64), counts), np.repeat(np.frombuffer(r["hashes"], np.uint64), counts), np.frombuffer(r["pos"], np.int32))
+                if r["h"] is None:
+                    settled.append(entry)
+                else:
+                    open_.append((*entry, np.frombuffer(r["h"], np.uint64), np.frombuffer(r["h2"], np.uint32)))
+        if open_:
+            ids, marks, pos, h, h2 = map(np.concatenate, zip(*open_, strict=True))
+            order = np.lexsort((h2, h))
+            first = runs(h[order], h2[order])
+            least = np.repeat(np.minimum.reduceat(ids[order], first), np.diff(np.append(first, len(h))))
+            late = order[ids[order] > least]
+            settled.append((ids[late], marks[late], pos[late]))
+        found = [np.concatenate(c) for c in zip(*settled, strict=True)]
+        if found and len(found[0]):
+            yield _homes(*found, buckets)
+        release()
+
+    return run
+
+
+def _homes(ids: np.ndarray, marks: np.ndarray, pos: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One packed row per bucket of documents."""
+    home = ((ids.view(np.uint64) * _M1 ^ marks) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((pos, marks, ids, home))
+    home, ids, marks, pos = home[order], ids[order], marks[order], pos[order]
+    edges = np.append(runs(home), len(home))
+    rows = []
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        lead = runs(ids[s:e], marks[s:e])
+        counts = np.diff(np.append(lead, e - s)).astype(np.int32)
+        rows.append((int(home[s]), ids[s:e][lead].tobytes(), marks[s:e][lead].tobytes(), counts.tobytes(), pos[s:e].tobytes()))
+    kinds = [pa.int32()] + [pa.binary()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["home", "ids", "marks", "counts", "pos"])
+
+
+def _gather(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The starts of each document of one bucket, as one row per document."""
+    got = []
     for b in parts:
         for r in b.to_pylist():
             counts = np.frombuffer(r["counts"], np.int32)
-            entry = (np.repeat(np.frombuffer(r["ids"], np.int64), counts), np.repeat(np.frombuffer(r["hashes"], np.uint64), counts), np.frombuffer(r["pos"], np.int32))
-            if r["h"] is None:
-                settled.append(entry)
-            else:
-                open_.append((*entry, np.frombuffer(r["h"], np.uint64), np.frombuffer(r["h2"], np.uint32)))
-    if open_:
-        ids, marks, pos, h, h2 = map(np.concatenate, zip(*open_, strict=True))
-        order = np.lexsort((h2, h))
-        first = runs(h[order], h2[order])
-        least = np.repeat(np.minimum.reduceat(ids[order], first), np.diff(np.append(first, len(h))))
-        late = order[ids[order] > least]
-        settled.append((ids[late], marks[late], pos[late]))
-    if not settled:
-        return
-    ids, marks, pos = map(np.concatenate, zip(*settled, strict=True))
+            got.append((np.repeat(np.frombuffer(r["ids"], np.int64), counts), np.repeat(np.frombuffer(r["marks"], np.uint64), counts), np.frombuffer(r["pos"], np.int32)))
+    ids, marks, pos = map(np.concatenate, zip(*got, strict=True))
     order = np.lexsort((pos, marks, ids))
     ids, marks, pos = ids[order], marks[order], pos[order]
     edges = np.append(runs(ids, marks), len(ids))
@@ -262,7 +291,8 @@ def _settle(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iter
         pa.array(ids[edges[:-1]], pa.int64()),
         pa.array(marks[edges[:-1]].view(np.int64), pa.int64()),
         pa.array([pos[s:e].tobytes() for s, e in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
-    ], ["id", "mark", "pos"])
+    ], ["id", "mark", "starts"])
+    release()
 
 
 def repeated_starts(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -275,8 +305,8 @@ def repeated_starts(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     buckets = max(shuffle_partitions(spark), total // BUCKET_BYTES)
     shared = spark.sparkContext.broadcast(repeated_sketch(docs, width, bits))
     entries = docs.mapInArrow(_suspects(width, buckets, shared, bits), _ENTRY)
-    found = entries.groupBy("bucket").applyInArrow(_settle, _REMOVED)
-    return found.groupBy("id", "mark").agg(F.collect_list("pos").alias("starts"))
+    found = entries.groupBy("bucket").applyInArrow(_settle(buckets), _REMOVED)
+    return found.groupBy("home").applyInArrow(_gather, "id long, mark long, starts binary")
 
 
 def _cut(width: int):
@@ -286,8 +316,8 @@ def _cut(width: int):
             for x, starts in zip(values(b.column("text")), values(b.column("starts")), strict=True):
                 words = (x or "").encode().split()
                 cover = np.zeros(len(words) + 1, np.int32)
-                for s in starts or ():
-                    at = np.frombuffer(s, np.int32)
+                if starts:
+                    at = np.frombuffer(starts, np.int32)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + width, -1)
                 gone = np.cumsum(cover[:-1]) > 0
