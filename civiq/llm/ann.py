@@ -35,7 +35,9 @@ from .common import materialize, runs, ship
 K = 10
 NLIST = 64
 ROWS_PER_LIST = 200
-PROBED = 0.4
+#: Share of the lists a query visits. The one-bit codes do the pruning: of data
+#: without clusters a smaller share loses neighbours (recall 0.64 for 0.4).
+PROBED = 1.0
 SAMPLE = 20_000
 BLOCK, PACK = 8192, 1024
 SLOTS = 8

@@ -11,7 +11,7 @@ bigrams stand close together, and not at all in texts that are too short.
 Scale: a map; the templates (a fixed list below) travel with the task.
 
 Defined results: a null, empty or short text holds no licence; of overlapping
-windows of one template the best, then the first, is reported; other columns are
+places the best, then the longest, then the first is reported; other columns are
 carried through untouched.
 """
 
@@ -124,7 +124,14 @@ class Scanner:
                     best = (value, p)
             if best:
                 found.append((name, best[0], best[1], best[1] + width + 1))
-        return sorted(found, key=lambda f: (f[2], f[3], f[0]))
+        # of overlapping places the best, then the longest, stays
+        free = np.ones(len(words) + 1, bool)
+        kept = []
+        for f in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[2], f[0])):
+            if free[f[2]:f[3]].all():
+                free[f[2]:f[3]] = False
+                kept.append(f)
+        return sorted(kept, key=lambda f: f[2])
 
 
 def scan(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
