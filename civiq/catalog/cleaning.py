@@ -16,15 +16,12 @@ from ..schema import (
     REQUIRED_FIELDS,
     URGENT_LABELS,
 )
-from ..session import materialize
 from ..sources import tables as S
 from . import register
 
 
 def _raw(spark, sf):
-    # Raw data arrives as files; the derived raw view is staged the same way
-    # (a reliable checkpoint), so cleaning plans start from plain columns.
-    return materialize(S.raw_reports(spark, sf))
+    return S.raw_reports(spark, sf)
 
 
 def _trimmed(spark, sf):
@@ -64,14 +61,14 @@ STEPS = {
     "v3": (f"v3 AS (SELECT * REPLACE (CASE WHEN lower(comentario) IN "
            f"({_lst(COMMENT_NULL_MARKERS)}) THEN NULL ELSE comentario END AS comentario) FROM t)"),
     "v4": f"v4 AS (SELECT * REPLACE ({O.parse_date('fecha_reporte')} AS fecha_reporte) FROM v3)",
-    "v5": (f"v5 AS (SELECT * REPLACE (CAST({_age} AS INTEGER) AS edad) FROM v4 "
+    "v5": (f"v5 AS (SELECT * REPLACE (TRY_CAST({_age} AS INTEGER) AS edad) FROM v4 "
            f"WHERE {_age} BETWEEN 0 AND 120)"),
     "v6": f"v6 AS (SELECT * REPLACE ({_gen} AS genero) FROM v5)",
     "v7": f"v7 AS (SELECT * REPLACE ({_flags}) FROM v6)",
     "v8": f"v8 AS (SELECT *, {_urg} AS urgente FROM v7)",
     "v9": f"v9 AS (SELECT * FROM v8 WHERE {_required})",
-    "val": (f"val AS (SELECT * REPLACE (CAST(trunc({O.to_number('id')}) AS BIGINT) AS id) "
-            f"FROM v9 WHERE {O.to_number('id')} IS NOT NULL)"),
+    "val": (f"val AS (SELECT * REPLACE ({O.to_long('id')} AS id) "
+            f"FROM v9 WHERE {O.to_long('id')} IS NOT NULL)"),
     "dd": ("dd AS (SELECT * FROM val QUALIFY row_number() OVER "
            "(PARTITION BY id ORDER BY seq) = 1)"),
     "lw": ("lw AS (SELECT * FROM val QUALIFY row_number() OVER "
@@ -100,7 +97,7 @@ register("clean_date", O.with_(["v_raw_reports", STEPS["r0"], STEPS["r1"], STEPS
                                "FROM t"))(
     lambda spark, sf: C.normalize_fecha(_trimmed(spark, sf)).select("seq", "fecha_reporte"))
 register("clean_age", O.with_(["v_raw_reports", STEPS["r0"], STEPS["r1"], STEPS["t"]],
-                              f"SELECT seq, CAST({_age} AS INTEGER) AS edad FROM t "
+                              f"SELECT seq, TRY_CAST({_age} AS INTEGER) AS edad FROM t "
                               f"WHERE {_age} BETWEEN 0 AND 120"))(
     lambda spark, sf: C.normalize_edad(_trimmed(spark, sf)).select("seq", "edad"))
 register("clean_gender", O.with_(["v_raw_reports", STEPS["r0"], STEPS["r1"], STEPS["t"]],

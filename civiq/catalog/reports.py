@@ -130,26 +130,18 @@ SELECT cs.ciudad, ks.categoria_problema, CAST(COUNT(sub.id) AS BIGINT) AS count
 FROM cs CROSS JOIN ks
 LEFT JOIN sub ON sub.ciudad = cs.ciudad AND sub.categoria_problema = ks.categoria_problema
 GROUP BY 1, 2"""))(lambda spark, sf: A.crosstab_top(_v(spark, sf)))
-register("crosstab_top_wide", O.with_(_CROSSTAB_SUB, """
-PIVOT (SELECT ciudad, categoria_problema, id FROM sub) ON categoria_problema
-USING CAST(COUNT(id) AS BIGINT) GROUP BY ciudad"""))(
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+register("crosstab_top_wide", O.with_(_CROSSTAB_SUB, "SELECT ciudad, " + ", ".join(
+    f"COUNT(id) FILTER (WHERE categoria_problema = '{c}') AS \"{c}\"" for c in _SEGMENTS)
+    + " FROM sub GROUP BY ciudad"))(
     lambda spark, sf: A.crosstab_top(_v(spark, sf), wide=True))
 
 
 def _corr_sql() -> str:
     from ..schema import CORRELATION_COLUMNS as cols
-    aggs, sel = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(f"covar_pop({a}, {b}) AS cv_{a}__{b}, stddev_pop({a}) AS sa_{a}__{b}, "
-                        f"stddev_pop({b}) AS sb_{a}__{b}")
-    for a in cols:
-        for b in cols:
-            x, y = (a, b) if cols.index(a) <= cols.index(b) else (b, a)
-            sel.append(f"SELECT '{a}' AS var1, '{b}' AS var2, round(cv_{x}__{y} / "
-                       f"NULLIF(sa_{x}__{y} * sb_{x}__{y}, 0), 9) AS corr FROM m")
-    return O.with_(["v_reports", "m AS (SELECT " + ", ".join(aggs) + " FROM v_reports)"],
-                   "\nUNION ALL\n".join(sel))
+    sel = [f"SELECT '{a}' AS var1, '{b}' AS var2, round(CASE WHEN isnan(corr({a}, {b})) THEN NULL "
+           f"ELSE corr({a}, {b}) END, 9) AS corr FROM v_reports" for a in cols for b in cols]
+    return O.with_(["v_reports"], "\nUNION ALL\n".join(sel))
 
 
 register("correlation_matrix", _corr_sql())(lambda spark, sf: A.correlation_matrix(_v(spark, sf)))

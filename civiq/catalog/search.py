@@ -151,6 +151,29 @@ SELECT question_id, rank, id, comentario, ciudad, categoria_problema, fecha_repo
        false AS used_fts FROM ltop"""))(
     lambda spark, sf: SE.search_auto(S.questions(spark, sf), _t(spark, sf)))
 
+register("bm25_topk_many_hits", _bm25_sql("sq"))(
+    lambda spark, sf: SE.bm25_search(S.source_queries(spark, sf), _t(spark, sf)))
+
+_F_WHERE = ("(coalesce(f_ciudad, '') = '' OR {v}ciudad = f_ciudad) AND (coalesce(f_categoria_problema, '') = '' "
+            "OR {v}categoria_problema = f_categoria_problema) AND (f_urgente IS NULL OR {v}urgente = f_urgente) "
+            "AND {v}fecha_reporte >= f_fecha_desde AND (f_fecha_hasta = '' OR {v}fecha_reporte <= f_fecha_hasta)")
+register("search_auto_filtered", O.with_(
+    ["v_text", "fq", f"ftq AS (SELECT * FROM fq WHERE {O.sanitize('texto')} <> '')",
+     f"flq AS (SELECT * FROM fq WHERE {O.sanitize('texto')} = '')"]
+    + index_ctes() + match_ctes("ftq")
+    + ["mf AS (SELECT m.* FROM m JOIN ftq USING (question_id) JOIN v_text v USING (id) WHERE "
+       + _F_WHERE.format(v="v.") + ")", topk_cte(DEFAULT_TOP_K, "mf")]
+    + like_ctes("flq", where="JOIN flq USING (question_id) WHERE " + _F_WHERE.format(v="v.")), f"""
+SELECT t.question_id, t.rank, t.id, {HIT_SEL}, true AS used_fts FROM top t JOIN v_text v USING (id)
+UNION ALL
+SELECT question_id, rank, id, comentario, ciudad, categoria_problema, fecha_reporte, urgente,
+       false AS used_fts FROM ltop"""))(
+    lambda spark, sf: SE.search_auto(S.filtered_queries(spark, sf), _t(spark, sf)))
+register("search_auto_no_index", O.with_(["v_text", "bq"] + like_ctes("bq"), """
+SELECT question_id, rank, id, comentario, ciudad, categoria_problema, fecha_reporte, urgente,
+       false AS used_fts FROM ltop"""))(
+    lambda spark, sf: SE.search_auto(_b(spark, sf), _t(spark, sf), use_index=False))
+
 register("render_contexts", O.with_(
     ["v_text", "bq"] + index_ctes() + match_ctes("bq") + [topk_cte()], f"""
 SELECT t.question_id, string_agg({context_line('v.')}, chr(10) ORDER BY t.rank) AS context

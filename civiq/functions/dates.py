@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import DATE_FORMATS
+from ..schema import DATE_FORMATS, DATE_REWRITES
 from .text import col_
 
 
 def parse_date_iso(c: Column | str, formats: list[str] | None = None) -> Column:
-    """Parse text with an ordered format list (first match wins), truncate to
-    the day and format as ``yyyy-MM-dd``; unparseable text becomes null."""
-    fmts = formats or DATE_FORMATS
-    ts = F.coalesce(*[F.try_to_timestamp(col_(c), F.lit(f)) for f in fmts])
+    """Rewrite the date styles to one, parse with an ordered format list (first
+    match wins), truncate to the day and format as ``yyyy-MM-dd``; unparseable
+    text becomes null. With own ``formats`` the text is parsed as it is."""
+    x = col_(c)
+    if formats is None:
+        for pattern, form in DATE_REWRITES:
+            x = F.regexp_replace(x, pattern, form)
+    tries = [F.try_to_timestamp(x, F.lit(f)) for f in formats or DATE_FORMATS]
+    ts = F.coalesce(*tries) if len(tries) > 1 else tries[0]
     return F.date_format(F.to_date(ts), "yyyy-MM-dd")
 
 

@@ -18,6 +18,21 @@ def to_number(c: Column | str) -> Column:
     return F.when(x.rlike(NUMERIC_PATTERN), x.try_cast("double"))
 
 
+# A whole number, also written with empty decimals ("7.0").
+WHOLE_PATTERN = r"^[+-]?\d+(\.0*)?$"
+# Whole numbers from here on do not fit a 64-bit integer.
+LONG_LIMIT = 9.2e18
+
+
+def to_long(c: Column | str) -> Column:
+    """Text to a 64-bit integer: whole numbers are read digit by digit (no
+    rounding through double), other numbers are truncated; numbers that do not
+    fit are null."""
+    x, n = col_(c), to_number(c)
+    return (F.when(x.rlike(WHOLE_PATTERN), F.regexp_replace(x, r"\.0*$", "").try_cast("bigint"))
+            .when(F.abs(n) < LONG_LIMIT, n.cast("bigint")))
+
+
 def to_int_half_even(c: Column | str) -> Column:
     """Text to a number rounded half to even (so -0.5 -> 0 and 120.5 -> 120)."""
     return F.bround(to_number(c), 0)

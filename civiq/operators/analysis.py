@@ -7,6 +7,7 @@ membership (semi) joins of the crosstab.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from ..schema import (
     URGENT_LABEL_0,
     URGENT_LABEL_1,
 )
+from ..session import materialize
 
 CHART_TABLES = [
     "heatmap_correlaciones",
@@ -50,13 +52,23 @@ def profile(reports: DataFrame) -> DataFrame:
     )
 
 
-def store_profile(spark: SparkSession, reports_table: str, index_table: str | None = None) -> dict:
-    """Store presence plus the one-row profile of a saved report table."""
-    has_reports = spark.catalog.tableExists(reports_table)
-    has_index = bool(index_table) and spark.catalog.tableExists(index_table)
-    row = profile(spark.table(reports_table)).first().asDict() if has_reports else {}
-    return {"table": reports_table, "has_reports": has_reports, "has_index": has_index,
-            "row_count": row.get("row_count", 0)}
+def _readable(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def store_profile(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Which parts of a store (an ETL output folder) are there, and the
+    number of stored reports: (has_reports, has_index, row_count), one row."""
+    reports = _readable(spark, f"{out_dir}/reports")
+    has_index = all(_readable(spark, f"{out_dir}/report_search/{part}") is not None
+                    for part in ("postings", "terms", "corpus"))
+    rows = (reports if reports is not None else spark.range(0)).agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.select(F.lit(reports is not None).alias("has_reports"), F.lit(has_index).alias("has_index"), "row_count")
 
 
 def _top(reports: DataFrame, key: str, n: int) -> DataFrame:
@@ -99,29 +111,47 @@ def monthly_series(reports: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")).orderBy("mes"))
 
 
+def city_category_counts(reports: DataFrame) -> DataFrame:
+    """(ciudad, categoria_problema, n_rows, n_ids): the one aggregate that the
+    top lists and the crosstab are made of."""
+    return reports.groupBy("ciudad", "categoria_problema").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("id").alias("n_ids"))
+
+
+def _top_names(cells: DataFrame, key: str, n: int) -> list[str]:
+    """The n most frequent names (n rows reach the driver)."""
+    rows = (cells.groupBy(key).agg(F.sum("n_rows").alias("count"))
+            .orderBy(F.desc("count"), F.asc(key)).limit(n).collect())
+    return [r[key] for r in rows if r[key] is not None]
+
+
 def crosstab_top(reports: DataFrame, top_cities_n: int = CROSSTAB_TOP_CITIES,
                  top_cats_n: int = CROSSTAB_TOP_CATEGORIES, wide: bool = False) -> DataFrame:
     """City x category counts over the top cities and top categories.
 
-    The two top-N lists are bounded by N rows, so the membership tests are
-    broadcast semi joins. Long form is zero-filled over the cities and
-    categories present in the subset (pivot, fill 0, unpivot); wide form is the
-    pivot itself, one column per category.
-    """
-    cities = _top(reports, "ciudad", top_cities_n).select("ciudad")
-    cats = _top(reports, "categoria_problema", top_cats_n).select("categoria_problema")
-    sub = (reports.join(F.broadcast(cities), "ciudad", "left_semi")
-           .join(F.broadcast(cats), "categoria_problema", "left_semi"))
-    pivot = (sub.groupBy("ciudad").pivot("categoria_problema")
-             .agg(F.count("id")).na.fill(0))
-    value_cols = [c for c in pivot.columns if c != "ciudad"]
+    The reports are scanned once, to the counts per pair; lists and cells come
+    from these. Long form is zero-filled over the cities and categories present
+    in the subset; wide form has one column per category (``_`` is added to a
+    category called like the city column)."""
+    cells = materialize(city_category_counts(reports))
+    cities = _top_names(cells, "ciudad", top_cities_n)
+    cats = _top_names(cells, "categoria_problema", top_cats_n)
+    sub = cells.where(F.col("ciudad").isin(cities) & F.col("categoria_problema").isin(cats))
+    present = {r[0] for r in sub.select("categoria_problema").distinct().collect()}
+    cats = sorted(c for c in cats if c in present)
+    pivot = sub.groupBy(F.col("ciudad").alias("_ciudad")).pivot("categoria_problema", cats).agg(
+        F.sum("n_ids")) if cats else sub.select(F.col("ciudad").alias("_ciudad")).distinct()
+    slots = [f"_{i}" for i in range(len(cats))]
+    pivot = pivot.toDF("_ciudad", *slots).na.fill(0)
     if wide:
-        return pivot.select("ciudad", *[F.col(f"`{c}`").cast("long").alias(c) for c in value_cols]
-                            ).orderBy("ciudad")
-    if not value_cols:
-        return sub.select("ciudad", "categoria_problema", F.lit(0).cast("long").alias("count"))
-    return pivot.unpivot("ciudad", value_cols, "categoria_problema", "count").select(
-        "ciudad", "categoria_problema", F.col("count").cast("long").alias("count"))
+        return pivot.select(F.col("_ciudad").alias("ciudad"), *[
+            F.col(s).cast("long").alias(c if c != "ciudad" else "ciudad_")
+            for s, c in zip(slots, cats, strict=True)]).orderBy("ciudad")
+    if not cats:
+        return sub.select("ciudad", "categoria_problema", F.col("n_ids").alias("count"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("categoria_problema"), F.col(s).cast("long").alias("count"))
+                      for s, c in zip(slots, cats, strict=True)])
+    return pivot.select(F.col("_ciudad").alias("ciudad"), F.inline(pairs))
 
 
 def correlation_matrix(reports: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -131,21 +161,28 @@ def correlation_matrix(reports: DataFrame, cols: list[str] | None = None) -> Dat
     deviation; a constant column gives NULL (no division by zero).
     """
     cols = [c for c in (cols or CORRELATION_COLUMNS) if c in reports.columns]
-    aggs = []
+    aggs, sd, seen = [], {}, set()
+    fields = {f.name: f for f in reports.schema.fields}
     for i, a in enumerate(cols):
         for b in cols[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            if a == b or not (fields[a].nullable or fields[b].nullable):
+                both, key = F.lit(True), ""  # no nulls: deviations are shared
+            else:
+                both, key = F.col(a).isNotNull() & F.col(b).isNotNull(), f"_{a}__{b}"
             xa = F.when(both, F.col(a).cast("double"))
             xb = F.when(both, F.col(b).cast("double"))
             aggs.append(F.covar_pop(xa, xb).alias(f"cv_{a}__{b}"))
-            aggs.append(F.stddev_pop(xa).alias(f"sa_{a}__{b}"))
-            aggs.append(F.stddev_pop(xb).alias(f"sb_{a}__{b}"))
+            sd[a, b] = (f"sd_{a}{key}", f"sd_{b}{key}")
+            for name, x in zip(sd[a, b], (xa, xb), strict=True):
+                if name not in seen:
+                    seen.add(name)
+                    aggs.append(F.stddev_pop(x).alias(name))
     one = reports.agg(*aggs)
     cells = []
     for a in cols:
         for b in cols:
             x, y = (a, b) if cols.index(a) <= cols.index(b) else (b, a)
-            denom = F.col(f"sa_{x}__{y}") * F.col(f"sb_{x}__{y}")
+            denom = F.col(sd[x, y][0]) * F.col(sd[x, y][1])
             r = F.when(denom != 0, F.col(f"cv_{x}__{y}") / denom)
             cells.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
                                   F.round(r, 9).alias("corr")))

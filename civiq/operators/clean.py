@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date_iso
-from ..functions.numeric import to_flag, to_int_half_even, to_number
+from ..functions.numeric import to_flag, to_int_half_even, to_long
 from ..functions.text import strip_ws
 from ..schema import (
     COLUMN_RENAME_MAP,
@@ -64,81 +64,81 @@ def clean_comment_nulls(df: DataFrame) -> DataFrame:
     return df.withColumn("comentario", F.when(~F.lower(c).isin(COMMENT_NULL_MARKERS), c))
 
 
-def normalize_fecha(df: DataFrame) -> DataFrame:
+# One expression per rule; the single-rule operators and the pipeline share them.
+
+def fecha_expr() -> Column:
     """Parse with the ordered format list, keep the day as ISO text."""
-    return df.withColumn("fecha_reporte", parse_date_iso("fecha_reporte"))
+    return parse_date_iso("fecha_reporte")
 
 
-def normalize_edad(df: DataFrame) -> DataFrame:
-    """B5 + C1: numeric age rounded half-even; keep rows with 0 <= age <= 120."""
+def edad_expr() -> Column:
+    """B5 + C1: numeric age rounded half-even, null unless 0 <= age <= 120 (the
+    range is tested before the cast, so no number overflows)."""
     e = to_int_half_even("edad")
-    return (df.withColumn("edad", e).where(F.col("edad").between(0, 120))
-            .withColumn("edad", F.col("edad").cast("int")))
+    return F.when(e.between(0, 120), e.cast("int"))
 
 
-def normalize_genero(df: DataFrame) -> DataFrame:
+def genero_expr() -> Column:
     """Exact value map, anything else null."""
     g = F.col("genero")
-    out = None
-    for k, v in GENERO_MAP.items():
-        out = F.when(g == k, F.lit(v)) if out is None else out.when(g == k, F.lit(v))
-    return df.withColumn("genero", out)
+    pairs = iter(GENERO_MAP.items())
+    k, v = next(pairs)
+    out = F.when(g == k, F.lit(v))
+    for k, v in pairs:
+        out = out.when(g == k, F.lit(v))
+    return out
 
 
-def normalize_flags(df: DataFrame) -> DataFrame:
-    """Flag columns to 0/1 integers; other values null."""
-    return _replace(df, {c: to_flag(c) for c in FLAG_COLUMNS if c in df.columns})
-
-
-def normalize_urgencia(df: DataFrame) -> DataFrame:
+def urgente_expr() -> Column:
     """Urgency label to 1 / 0 / null (trimmed, case-insensitive)."""
     s = F.lower(strip_ws(F.col("nivel_urgencia")))
-    return df.withColumn("urgente", F.when(s.isin(URGENT_LABELS), F.lit(1))
-                         .when(s.isin(NOT_URGENT_LABELS), F.lit(0)))
+    return F.when(s.isin(URGENT_LABELS), F.lit(1)).when(s.isin(NOT_URGENT_LABELS), F.lit(0))
 
 
-def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop rows with a null required field or a null ``urgente``."""
-    return df.dropna(subset=REQUIRED_FIELDS + ["urgente"])
+def normalize_fecha(df: DataFrame) -> DataFrame:
+    """B4 on a table."""
+    return df.withColumn("fecha_reporte", fecha_expr())
 
 
-def coerce_id(df: DataFrame) -> DataFrame:
-    """B9 + C3: numeric id truncated to an integer; rows without one dropped."""
-    n = to_number("id")
-    return df.withColumn("id", F.when(n.isNotNull(), n.cast("long"))).where(
-        F.col("id").isNotNull())
+def normalize_edad(df: DataFrame) -> DataFrame:
+    """B5 + C1 on a table: rows with an age in range."""
+    return df.withColumn("edad", edad_expr()).where(F.col("edad").isNotNull())
 
 
-def normalized(df: DataFrame) -> DataFrame:
-    """B1-B9 as one flat projection plus a ``_valid`` flag.
+def normalize_genero(df: DataFrame) -> DataFrame:
+    """B6 on a table."""
+    return df.withColumn("genero", genero_expr())
 
-    Every normalized value is computed once from the trimmed text; validity is
-    a single boolean instead of a chain of filters, so Catalyst does not inline
-    (and re-evaluate) the normalizations into pushed-down predicates.
-    """
+
+def normalize_flags(df: DataFrame) -> DataFrame:
+    """Flag columns to 0/1 integers; other values null."""
+    return _replace(df, {c: to_flag(c) for c in FLAG_COLUMNS if c in df.columns})
+
+
+def normalize_urgencia(df: DataFrame) -> DataFrame:
+    """B8 on a table."""
+    return df.withColumn("urgente", urgente_expr())
+
+
+def normalized(df: DataFrame) -> DataFrame:
+    """B1-B9 as one flat projection plus a ``_valid`` flag (C1-C3): every row,
+    with null where a value is missing or cannot be read."""
     df = clean_comment_nulls(trim_strings(rename_columns(df)))
-    s = F.lower(strip_ws(F.col("nivel_urgencia")))
-    n_id = to_number("id")
-    gen = None
-    for k, v in GENERO_MAP.items():
-        cond = F.col("genero") == k
-        gen = F.when(cond, F.lit(v)) if gen is None else gen.when(cond, F.lit(v))
     out = df.select(
         *[c for c in df.columns if c not in REPORT_COLUMNS],
-        F.when(n_id.isNotNull(), n_id.cast("long")).alias("id"),
+        to_long("id").alias("id"),
         "nombre",
-        to_int_half_even("edad").alias("edad"),
-        gen.alias("genero"),
+        edad_expr().alias("edad"),
+        genero_expr().alias("genero"),
         "ciudad", "comentario", "categoria_problema", "nivel_urgencia",
-        F.when(s.isin(URGENT_LABELS), F.lit(1)).when(s.isin(NOT_URGENT_LABELS), F.lit(0))
-        .alias("urgente"),
-        parse_date_iso("fecha_reporte").alias("fecha_reporte"),
+        urgente_expr().alias("urgente"),
+        fecha_expr().alias("fecha_reporte"),
         *[to_flag(c).alias(c) for c in FLAG_COLUMNS],
     )
-    valid = F.col("edad").between(0, 120) & F.col("id").isNotNull() & F.col("urgente").isNotNull()
+    valid = F.col("id").isNotNull() & F.col("urgente").isNotNull()
     for c in REQUIRED_FIELDS:
         valid = valid & F.col(c).isNotNull()
-    return out.withColumn("edad", F.col("edad").cast("int")).withColumn("_valid", valid)
+    return out.withColumn("_valid", valid)
 
 
 def validate(df: DataFrame) -> DataFrame:
@@ -164,16 +164,22 @@ def upsert_last_wins(df: DataFrame, key: str = "id", order: str = SEQ) -> DataFr
     return _pick(df, key, order, last=True)
 
 
-def upsert(current: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
-    """A5 for two tables: incoming rows replace current rows with the same key."""
-    cols = [c for c in current.columns]
-    both = (current.select(*cols, F.lit(0).alias("_src"))
-            .unionByName(incoming.select(*cols, F.lit(1).alias("_src"))))
-    if SEQ in cols:
-        both = both.withColumn("_ord", F.struct("_src", SEQ))
-    else:
-        both = both.withColumn("_ord", F.struct("_src"))
-    return upsert_last_wins(both, key, "_ord").select(*cols)
+def upsert(current: DataFrame, incoming: DataFrame, key: str = "id", order: str = SEQ) -> DataFrame:
+    """A5 for two tables: incoming rows replace current rows with the same key.
+    Of incoming rows with one key the last by ``order`` wins; without that
+    column the keys of ``incoming`` must be unique, else there is no last row."""
+    if order not in incoming.columns:
+        if incoming.groupBy(key).count().where("count > 1").limit(1).count():
+            raise ValueError(f"incoming rows repeat a key and have no column {order!r} that orders them")
+        incoming = incoming.withColumn(order, F.lit(0))
+    cols = [c for c in current.columns if c != order]
+    rows = incoming.select(*cols, F.lit(1).alias("_src"), F.col(order).alias("_ord"))
+    kind = rows.schema["_ord"].dataType
+    old = current.select(*cols, F.lit(0).alias("_src"), (
+        F.col(order).cast(kind) if order in current.columns else F.lit(None).cast(kind)).alias("_ord"))
+    both = old.unionByName(rows).withColumn("_key", F.struct("_src", "_ord"))
+    picked = upsert_last_wins(both, key, "_key")
+    return picked.select(*[F.col("_ord").alias(c) if c == order else c for c in current.columns])
 
 
 def select_clean(df: DataFrame) -> DataFrame:

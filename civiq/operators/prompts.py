@@ -39,15 +39,17 @@ def build_prompts(questions: DataFrame, contexts: DataFrame, stats: DataFrame |
 
 
 def ask_batch(questions: DataFrame, reports: DataFrame, documents: DataFrame | None = None,
-              index: TextIndex | None = None, k: int = DEFAULT_TOP_K) -> DataFrame:
+              index: TextIndex | None = None, k: int = DEFAULT_TOP_K,
+              use_index: bool = True) -> DataFrame:
     """Statistics over ``reports`` + search (k hits, no filters) over
     ``documents`` (default: the reports themselves) + prompt, per question.
-    Returns (question_id, used_fts, prompt)."""
+    Returns (question_id, used_fts, prompt). ``use_index=False``: the store has
+    no text index, every question is searched by LIKE."""
     docs = documents if documents is not None else reports
     stats = QuestionStats(questions, reports).stats_text()
-    hits = search_auto(questions, docs, index, k)
+    hits = search_auto(questions, docs, index, k, use_index=use_index)
     prompts = build_prompts(questions, render_contexts(hits), stats)
     # the search mode depends on the question alone (a question without hits
     # still used the full-text path unless its query sanitizes to nothing)
-    fts = questions.select("question_id", (sanitize_query("texto") != "").alias("used_fts"))
+    fts = questions.select("question_id", ((sanitize_query("texto") != "") & F.lit(use_index)).alias("used_fts"))
     return prompts.join(fts, "question_id").select("question_id", "used_fts", "prompt")

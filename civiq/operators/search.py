@@ -12,8 +12,8 @@ A batch of questions ``(question_id, texto)`` is searched at once:
 * LIKE (C5, F2): ``%q%`` on comment, city or category with SQL-LIKE
   semantics (``%``/``_`` wildcards, ASCII-only case folding), newest first.
   Substring patterns have no equi-join key, so the pattern side is broadcast
-  into a nested-loop join after its size is checked; above the bound the
-  patterns are split into bounded broadcast batches.
+  into a nested-loop join after its size in bytes is checked; above the bound
+  the patterns are split into bounded broadcast batches.
 * ``search_auto`` (F3): questions that sanitize to an empty query use LIKE,
   the others BM25.
 """
@@ -32,8 +32,8 @@ from ..session import materialize
 from .filters import ReportFilter, as_filter, filter_columns_predicate
 from .index import TextIndex, explode_terms
 
-# Largest pattern table broadcast into one nested-loop join.
-LIKE_BROADCAST_ROWS = 20_000
+# Largest bytes of patterns broadcast into one nested-loop join.
+LIKE_BROADCAST_BYTES = 16 << 20
 # Largest (question, term) table whose derived tables are broadcast.
 QUERY_TERMS_BROADCAST_ROWS = 2_000_000
 # Largest candidate (question, document, term) table broadcast against postings.
@@ -118,20 +118,11 @@ def _bm25_scored(questions: DataFrame, index: TextIndex, qt: DataFrame | None,
 
 
 def _with_filters(scored: DataFrame, reports: DataFrame, flt: ReportFilter | dict | None,
-                  questions: DataFrame | None, scored_bound: int | None = None) -> DataFrame:
-    """Keep matches allowed by the filters, before ranking.
-
-    With a counted bound on the scored rows at or below the broadcast limit,
-    the scores are broadcast into the filtered report scan (``id`` is the
-    reports' unique key), so the reports are never shuffled by id; above it
-    the semi-join shuffles both sides."""
+                  questions: DataFrame | None) -> DataFrame:
+    """Keep matches allowed by the filters, before ranking."""
     f = as_filter(flt)
     if f != ReportFilter():
-        allowed = reports.where(f.predicate()).select("id")
-        if scored_bound is not None and scored_bound <= PAIRS_BROADCAST_ROWS:
-            scored = allowed.join(F.broadcast(scored), "id").select(*scored.columns)
-        else:
-            scored = scored.join(allowed, "id", "left_semi")
+        scored = scored.join(reports.where(f.predicate()).select("id"), "id", "left_semi")
     if questions is not None and all(c in questions.columns for c in FILTER_COLS):
         qf = questions.select("question_id", *FILTER_COLS)
         rf = reports.select("id", "ciudad", "categoria_problema", "urgente", "fecha_reporte")
@@ -141,6 +132,24 @@ def _with_filters(scored: DataFrame, reports: DataFrame, flt: ReportFilter | dic
     return scored
 
 
+def _filter_cols(questions: DataFrame) -> list[str]:
+    """The per-question filter columns, if the questions carry them."""
+    return FILTER_COLS if all(c in questions.columns for c in FILTER_COLS) else []
+
+
+def _distinct_queries(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(asked, fan): one question per distinct query - the bag of its terms and
+    its filters - and (question_id, asked_id) for all questions. Ranking runs
+    per distinct query; only ranked rows are fanned out."""
+    extra = _filter_cols(questions)
+    terms = F.array_sort(tokenize(sanitize_query(F.col("texto"))))
+    keyed = materialize(questions.select("question_id", "texto", *extra, F.to_json(F.struct(terms.alias("t"), *extra)).alias("_key")))
+    first = keyed.groupBy("_key").agg(F.min("question_id").alias("asked_id"))
+    fan = keyed.join(first, "_key").select("question_id", "asked_id")
+    asked = keyed.join(first.select(F.col("asked_id").alias("question_id")), "question_id", "left_semi").drop("_key")
+    return asked, fan
+
+
 def top_k_per_question(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     w = Window.partitionBy("question_id").orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -160,14 +169,17 @@ def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
                 with_hits: bool = True) -> DataFrame:
     """F1: ranked top-k per question: (question_id, rank, id, score, hit columns)."""
     index = index or TextIndex.build(reports)
-    qt = materialize(query_terms(questions))
+    asked, fan = _distinct_queries(questions)
+    qt = materialize(query_terms(asked))
     n_qt = qt.count()
-    scored, n_pairs = _bm25_scored(questions, index, qt, n_qt)
-    scored = _with_filters(scored, reports, filters, questions, n_pairs)
+    scored, _ = _bm25_scored(asked, index, qt, n_qt)
+    scored = _with_filters(scored, reports, filters, asked)
     top = top_k_per_question(scored, k, [F.desc(F.round("score", 9)), F.asc("id")])
-    top = top.select("question_id", "rank", "id", F.round("score", 6).alias("score"))
-    # at most k rows per question, and no more questions than query-term rows
-    return _attach_hits(top, reports, k * n_qt <= HITS_BROADCAST_ROWS) if with_hits else top
+    top = top.select(F.col("question_id").alias("asked_id"), "rank", "id", F.round("score", 6).alias("score"))
+    # at most k rows per query, and no more queries than query-term rows
+    hits = _attach_hits(top, reports, k * n_qt <= HITS_BROADCAST_ROWS) if with_hits else top
+    return fan.join(hits, "asked_id").select("question_id", "rank", "id", "score", *[
+        c for c in hits.columns if c not in ("asked_id", "rank", "id", "score")])
 
 
 def _like_join(pats: DataFrame, docs: DataFrame) -> DataFrame:
@@ -185,27 +197,28 @@ def _like_join(pats: DataFrame, docs: DataFrame) -> DataFrame:
 def _like_pattern_matches(questions: DataFrame, reports: DataFrame,
                           filters: ReportFilter | dict | None, text_col: str
                           ) -> tuple[DataFrame, DataFrame]:
-    """(pats(question_id, q), matched(q, hit columns)): matches per distinct
-    pattern, not yet fanned out to the questions asking it."""
+    """(pats(question_id, _key), matched(_key, hit columns)): matches per
+    distinct pattern and filters, not yet fanned out to the questions."""
+    extra = _filter_cols(questions)
     q = ascii_lower(F.col(text_col))
-    pats = questions.select("question_id", q.alias("q"))
+    pats = questions.select("question_id", q.alias("q"), *extra)
+    pats = pats.withColumn("_key", F.to_json(F.struct("q", *extra)))
     docs = reports.where(as_filter(filters).predicate()).select(
         *HIT_COLUMNS, ascii_lower("comentario").alias("_c"), ascii_lower("ciudad").alias("_ci"),
         ascii_lower("categoria_problema").alias("_k"))
     # Distinct patterns are what the join has to test; the same pattern asked
     # by many questions is matched once and fanned out by an equi-join.
-    distinct = pats.select("q").distinct().withColumn(
+    distinct = materialize(pats.drop("question_id").distinct().withColumn(
         "wild", F.col("q").contains("%") | F.col("q").contains("_")).withColumn(
-        "pat", like_contains_pattern(F.col("q")))
-    n = distinct.count()
-    if n <= LIKE_BROADCAST_ROWS:
-        parts = [_like_join(distinct, docs)]
-    else:
-        nb = math.ceil(2 * n / LIKE_BROADCAST_ROWS)
-        bucket = F.pmod(F.xxhash64("q"), F.lit(nb))
-        parts = [_like_join(distinct.where(bucket == i), docs) for i in range(nb)]
-    matched = reduce(DataFrame.unionByName, parts).select("q", *HIT_COLUMNS)
-    return pats, matched
+        "pat", like_contains_pattern(F.col("q"))))
+    size = distinct.agg(F.coalesce(F.sum(2 * F.octet_length("q") + F.octet_length("_key") + 64), F.lit(0))).head()[0]
+    nb = max(1, math.ceil(size / LIKE_BROADCAST_BYTES))
+    bucket = F.pmod(F.xxhash64("_key"), F.lit(nb))
+    parts = [_like_join(distinct.where(bucket == i) if nb > 1 else distinct, docs) for i in range(nb)]
+    matched = reduce(DataFrame.unionByName, parts)
+    if extra:
+        matched = matched.where(filter_columns_predicate("f_"))
+    return pats.select("question_id", "_key"), matched.select("_key", *HIT_COLUMNS)
 
 
 def like_matches(questions: DataFrame, reports: DataFrame,
@@ -215,29 +228,33 @@ def like_matches(questions: DataFrame, reports: DataFrame,
     category contains the question text (SQL LIKE semantics: ``%``/``_``
     wildcards, ASCII-only case folding, no escape character)."""
     pats, matched = _like_pattern_matches(questions, reports, filters, text_col)
-    return matched.join(pats, "q").select("question_id", *HIT_COLUMNS)
+    return matched.join(pats, "_key").select("question_id", *HIT_COLUMNS)
 
 
 def like_search(questions: DataFrame, reports: DataFrame, k: int = DEFAULT_TOP_K,
                 filters: ReportFilter | dict | None = None) -> DataFrame:
     """newest-first top-k of the LIKE matches (ties by id).
 
-    The order depends on the document alone and the filters are the same for
-    every question, so the top k of a pattern is the top k of each question
-    asking it: ranking runs per distinct pattern (partial window limit before
-    the shuffle) and only k rows per question are fanned out. A pattern
-    shared by many questions and matching most reports never emits all
-    (question, report) pairs."""
+    The order depends on the document alone, so the top k of a pattern with its
+    filters is the top k of each question asking it: ranking runs per distinct
+    pattern on (fecha_reporte, id) only, the texts are attached after the cut,
+    and only k rows per question are fanned out."""
     pats, matched = _like_pattern_matches(questions, reports, filters, "texto")
-    w = Window.partitionBy("q").orderBy(F.desc("fecha_reporte"), F.asc("id"))
-    top = matched.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.join(pats, "q").select("question_id", "rank", *HIT_COLUMNS)
+    w = Window.partitionBy("_key").orderBy(F.desc("fecha_reporte"), F.asc("id"))
+    top = (matched.select("_key", "id", "fecha_reporte").withColumn("rank", F.row_number().over(w))
+           .where(F.col("rank") <= k).drop("fecha_reporte"))
+    hits = top.join(reports.select(*HIT_COLUMNS), "id")
+    return hits.join(pats, "_key").select("question_id", "rank", *HIT_COLUMNS)
 
 
 def search_auto(questions: DataFrame, reports: DataFrame, index: TextIndex | None = None,
-                k: int = DEFAULT_TOP_K, filters: ReportFilter | dict | None = None) -> DataFrame:
+                k: int = DEFAULT_TOP_K, filters: ReportFilter | dict | None = None,
+                use_index: bool = True) -> DataFrame:
     """BM25 for questions with a non-empty sanitized query, LIKE for the
-    rest; ``used_fts`` says which. Zero BM25 hits do not fall back."""
+    rest; ``used_fts`` says which. Zero BM25 hits do not fall back. Without an
+    index (``use_index=False``: the store has none) every question uses LIKE."""
+    if not use_index:
+        return like_search(questions, reports, k, filters).withColumn("used_fts", F.lit(False))
     s = questions.withColumn("_san", sanitize_query("texto"))
     fts_q = s.where(F.col("_san") != "").drop("_san")
     like_q = s.where(F.col("_san") == "").drop("_san")

@@ -19,7 +19,7 @@ from .schema import (
     PROMPT_STATS_HEADER,
     PROMPT_SYSTEM,
 )
-from .sources.tables import CONVERSATION_ID_BASE, QUESTION_FIXTURES
+from .sources.tables import CONVERSATION_ID_BASE, NATION_QUESTIONS, QUESTION_FIXTURES
 
 
 def q(s: str) -> str:
@@ -57,6 +57,8 @@ CTE["v_raw_reports"] = """
 v_raw_reports AS (
   SELECT id AS seq,
          CASE WHEN id % 97 = 0 THEN NULL WHEN id % 89 = 0 THEN 'x'
+              WHEN id % 103 = 0 THEN '1e30' WHEN id % 107 = 0 THEN '9007199254740992'
+              WHEN id % 109 = 0 THEN '9007199254740993'
               WHEN id % 10 = 9 THEN CAST(id - 1 AS VARCHAR)
               WHEN id % 13 = 0 THEN CAST(id AS VARCHAR) || '.0'
               ELSE CAST(id AS VARCHAR) END AS "ID",
@@ -64,6 +66,7 @@ v_raw_reports AS (
          CASE WHEN id % 17 = 0 THEN '130' WHEN id % 19 = 0 THEN 'abc'
               WHEN id % 23 = 0 THEN '-0.5' WHEN id % 29 = 0 THEN '120.5'
               WHEN id % 31 = 0 THEN 'NaN' WHEN id % 37 = 0 THEN '1d'
+              WHEN id % 43 = 0 THEN '9999999999'
               ELSE CAST(edad AS VARCHAR) || '.0' END AS "Edad",
          CASE WHEN id % 11 = 0 THEN 'O' WHEN id % 41 = 0 THEN 'femenino' ELSE genero END AS "Género",
          CASE WHEN id % 43 = 0 THEN '   ' ELSE '  ' || ciudad || ' ' END AS "Ciudad",
@@ -75,6 +78,12 @@ v_raw_reports AS (
          CASE WHEN id % 61 = 0 THEN '2020-13-45'
               WHEN id % 6 = 0 THEN substr(fecha_reporte, 6, 2) || '/' || substr(fecha_reporte, 9, 2) || '/' || substr(fecha_reporte, 1, 4)
               WHEN id % 4 = 0 THEN fecha_reporte || ' 10:30:00'
+              WHEN id % 7 = 0 THEN CAST(CAST(substr(fecha_reporte, 6, 2) AS INTEGER) AS VARCHAR) || '/' || CAST(CAST(substr(fecha_reporte, 9, 2) AS INTEGER) AS VARCHAR) || '/' || substr(fecha_reporte, 1, 4)
+              WHEN id % 11 = 0 THEN fecha_reporte || 'T10:30:00'
+              WHEN id % 13 = 0 THEN fecha_reporte || ' 10:30'
+              WHEN id % 17 = 0 THEN replace(fecha_reporte, '-', '/')
+              WHEN id % 19 = 0 THEN fecha_reporte || ' 10:30:00.5'
+              WHEN id % 23 = 0 THEN substr(fecha_reporte, 6, 2) || '/' || substr(fecha_reporte, 9, 2) || '/' || substr(fecha_reporte, 1, 4) || ' 10:30:00'
               ELSE fecha_reporte END AS "Fecha del reporte",
          CASE WHEN id % 73 = 0 THEN '2' WHEN id % 3 = 0 THEN CAST(acceso_internet AS VARCHAR) || '.0'
               ELSE CAST(acceso_internet AS VARCHAR) END AS "Acceso a internet",
@@ -96,6 +105,8 @@ CTE["bq"] = """
 bq AS (SELECT item_id AS question_id, text AS texto FROM benchmark)"""
 
 _fixture_rows = ",\n    ".join(f"({i}, {q(t)})" for i, t in QUESTION_FIXTURES)
+_nation_rows = " ".join(
+    f"UNION ALL SELECT {b} + n_nationkey, {q(x)} || n_name || {q(y)} FROM nation" for b, x, y in NATION_QUESTIONS)
 CTE["questions"] = f"""
 questions AS (
   SELECT * FROM (VALUES
@@ -103,6 +114,21 @@ questions AS (
   UNION ALL
   SELECT (conv_id + 1) * {CONVERSATION_ID_BASE} + turn AS question_id, text AS texto
   FROM conversations WHERE role = 'user'
+  {_nation_rows}
+)"""
+
+CTE["sq"] = """
+sq AS (SELECT min(doc_id) AS question_id, source || ' ' || lang AS texto FROM documents GROUP BY source, lang)"""
+
+_marks = [(i, t) for i, t in QUESTION_FIXTURES if i >= 15]
+CTE["fq"] = f"""
+fq AS (
+  SELECT *, CASE WHEN question_id % 3 = 0 THEN 'src0' END AS f_ciudad,
+    CASE WHEN question_id % 5 = 0 THEN 'en' END AS f_categoria_problema,
+    CASE WHEN question_id % 2 = 0 THEN 1 END AS f_urgente, '2021-01-01' AS f_fecha_desde,
+    CASE WHEN question_id % 7 = 0 THEN '2023-06-30' ELSE '' END AS f_fecha_hasta
+  FROM (SELECT min(doc_id) AS question_id, source || ' ' || lang AS texto FROM documents GROUP BY source, lang
+        UNION ALL SELECT * FROM (VALUES {", ".join(f"(-{i}, {q(t)})" for i, t in _marks)}) AS t(question_id, texto))
 )"""
 
 DEPENDS = {
@@ -167,9 +193,20 @@ def to_flag(x: str) -> str:
     return f"CASE WHEN {n} IN (0.0, 1.0) THEN CAST({n} AS INTEGER) END"
 
 
+def to_long(x: str) -> str:
+    whole = f"regexp_full_match({x}, '[+-]?[0-9]+([.]0*)?')"
+    return (f"CASE WHEN {whole} THEN TRY_CAST(regexp_replace({x}, '[.]0*$', '') AS BIGINT) "
+            f"WHEN abs({to_number(x)}) < 9.2e18 THEN CAST(trunc({to_number(x)}) AS BIGINT) END")
+
+
+DATE_FORMATS = [d + t for d in ("%Y-%m-%d", "%m/%d/%Y", "%Y/%m/%d")
+                for t in ("", " %H:%M:%S", "T%H:%M:%S", " %H:%M", "T%H:%M", " %H:%M:%S.%f", "T%H:%M:%S.%f")
+                if not (t.startswith("T") and "/" in d)]
+
+
 def parse_date(x: str) -> str:
-    return (f"strftime(CAST(coalesce(try_strptime({x}, '%Y-%m-%d'), "
-            f"try_strptime({x}, '%Y-%m-%d %H:%M:%S'), try_strptime({x}, '%m/%d/%Y')) AS DATE), '%Y-%m-%d')")
+    tries = ", ".join(f"try_strptime({x}, '{f}')" for f in DATE_FORMATS)
+    return f"strftime(CAST(coalesce({tries}) AS DATE), '%Y-%m-%d')"
 
 
 BM25 = {"k1": BM25_K1, "b": BM25_B, "min_idf": BM25_MIN_IDF}

@@ -23,9 +23,11 @@ def ask(spark: SparkSession, questions: DataFrame, out_dir: str,
     reports = spark.read.parquet(os.path.join(out_dir, "reports"))
     try:
         index = TextIndex.read(spark, os.path.join(out_dir, "report_search"))
-    except AnalysisException:  # no stored index: build it from the reports
-        index = None
-    prompts = ask_batch(questions, reports, reports, index, k)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        index = None  # no stored index: questions are searched by LIKE
+    prompts = ask_batch(questions, reports, reports, index, k, use_index=index is not None)
     if write_to:
         prompts.write.mode("overwrite").parquet(write_to)
         return spark.read.parquet(write_to)

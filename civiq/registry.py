@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .catalog import REGISTRY, QueryFn  # noqa: F401
-from .catalog import cleaning, questions, reports, search  # noqa: F401
+from .catalog import cleaning, questions, reports, search, stores  # noqa: F401
+
 
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}

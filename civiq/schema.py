@@ -65,8 +65,15 @@ COMMENT_NULL_MARKERS = ["", "nan", "none", "null"]
 # Flag columns that must hold 0 or 1.
 FLAG_COLUMNS = ["acceso_internet", "atencion_previa_gobierno", "zona_rural"]
 
-# Date formats tried in order; the first that parses wins.
-DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy"]
+# Date styles: rewritten in order to one form, then read with the format list
+# (first match wins). Day and month may have one digit, a time may follow after
+# a space or a T, with or without seconds and fractions.
+DATE_REWRITES = [
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+    (r"^(\d{4}-\d{1,2}-\d{1,2})T", "$1 "),
+]
+DATE_FORMATS = ["yyyy-M-d[ H:m[:s][.SSSSSSSSS]]"]
 
 # Numeric columns of the correlation matrix, in order.
 CORRELATION_COLUMNS = [
@@ -144,9 +151,7 @@ CROSSTAB_TOP_CATEGORIES = 12
 URGENT_LABEL_0 = "No urgente (0)"
 URGENT_LABEL_1 = "Urgente (1)"
 
-# ---------------------------------------------------------------------------
-# Schemas
-# ---------------------------------------------------------------------------
+# Clean report columns in order, and their types.
 
 REPORT_COLUMNS = [
     "id",

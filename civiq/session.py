@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -54,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a shared folder: checkpoints must survive "
                 "the loss of the executor that wrote them")
@@ -63,16 +64,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_MATERIALIZED: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by writing the table into the shared checkpoint folder.
 
     Used for derived tables that several later stages read: they are computed
     once, survive the loss of the executors that computed them, and - being
     Parquet - carry real size statistics for the planner's join choices and
-    support pruning and filter pushdown when read back.
+    support pruning and filter pushdown when read back. The tables stay until
+    ``drop_materialized`` is called.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/civiq-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.append(path)
     return spark.read.parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables that ``materialize`` has written in this process, once
+    no result needs them any more; returns how many."""
+    n = len(_MATERIALIZED)
+    while _MATERIALIZED:
+        fs, p = _file_system(spark, _MATERIALIZED.pop())
+        fs.delete(p, True)
+    return n
+
+
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Put a finished folder in the place of another one."""
+    fs, p = _file_system(spark, target)
+    source = spark._jvm.org.apache.hadoop.fs.Path(new)
+    if fs.exists(p):
+        fs.delete(p, True)
+    if not fs.rename(source, p):
+        raise RuntimeError(f"could not move {new} to {target}")

@@ -2,29 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import SEQ, mark_na
 
 
-def read_reports_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read raw report CSV: UTF-8, header, quoted multi-line fields, every
-    column as text (matched by header name), NA markers -> null, plus a
-    ``seq`` arrival order (file, block, row) for first/last-row-wins rules."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")
-          .csv(path))
-    raw_cols = df.columns
-    df = df.select(
-        *[F.col(f"`{c}`") for c in raw_cols],
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(SEQ),
-    )
-    return mark_na(df)
+def _reader(spark: SparkSession, multiline: bool):
+    return (spark.read.option("header", True).option("inferSchema", False)
+            .option("multiLine", multiline).option("escape", '"').option("encoding", "UTF-8"))
+
+
+def _files_by_header(spark: SparkSession, path: str, multiline: bool) -> dict[tuple, list[str]]:
+    """Files of a folder by their header, read by name (one header per file)."""
+    groups: dict[tuple, list[str]] = {}
+    for f in sorted(_reader(spark, multiline).csv(path).inputFiles()):
+        groups.setdefault(tuple(_reader(spark, multiline).csv(f).columns), []).append(f)
+    return groups
+
+
+def read_reports_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Read raw report CSV: UTF-8, header, every column as text, matched by
+    header name in every file (files may order their columns differently; a
+    column that a file lacks is null), NA markers -> null, plus a ``seq``
+    arrival order (file, block, row) for first/last-row-wins rules.
+
+    ``multiline`` allows quoted line breaks; such a file is one task. Without
+    it large files are split."""
+    parts = []
+    for files in _files_by_header(spark, path, multiline).values():
+        df = _reader(spark, multiline).csv(files)
+        parts.append(df.select(
+            *[F.col(f"`{c}`") for c in df.columns],
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias(SEQ),
+        ))
+    return mark_na(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -17,8 +17,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_SF_DIR = "/root/testdata/sf0.01"
-
 # Literal question fixtures (id, text): each covers a parsing rule.
 QUESTION_FIXTURES = [
     (1, "¿Cuantos reportes urgentes hay en NATION_3 en 1997?"),
@@ -35,23 +33,22 @@ QUESTION_FIXTURES = [
     (12, "¿?, !"),
     (13, "Setiembre 1998 FURNITURE urgente"),
     (14, "1996-1998 cantidad reportes"),
+    (15, "###"),
+    (16, "!!"),
+    (17, "***"),
+    (18, "&&&"),
 ]
 
-# Question ids of conversation turns: (conv_id + 1) * 1000 + turn.
-CONVERSATION_ID_BASE = 1000
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give an under-partitioned scan at least one partition per core.
+# Questions about every nation: id base and the words around its name.
+NATION_QUESTIONS = [
+    (1000, "cantidad de reportes urgentes en ", " entre 1995 y 1997"),
+    (2000, "en que mes hubo mas reportes de ", ""),
+    (3000, "cantidad de reportes de ", " en 1996"),
+]
 
-    A large input already scans as many partitions and is left alone; a small
-    file read as a single row group would otherwise run all later narrow work
-    (tokenizing, cleaning) in one task.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+# Question ids of conversation turns: (conv_id + 1) * 2**32 + turn, which no two
+# turns share as long as a conversation has fewer than 2**32 of them.
+CONVERSATION_ID_BASE = 1 << 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +63,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean reports (V). nation is a fixed 25-row dimension, so it is
     broadcast; orders x customer is left to the planner (AQE turns it into a
     broadcast join at run time when customer is small enough)."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
@@ -111,6 +108,8 @@ def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.substring(f, 1, 4))
     flag = lambda c: F.col(c).cast("string")
     id_raw = (F.when(i % 97 == 0, null).when(i % 89 == 0, s("x"))
+              .when(i % 103 == 0, s("1e30")).when(i % 107 == 0, s("9007199254740992"))
+              .when(i % 109 == 0, s("9007199254740993"))
               .when(i % 10 == 9, (i - 1).cast("string"))
               .when(i % 13 == 0, F.concat(i.cast("string"), s(".0")))
               .otherwise(i.cast("string")))
@@ -119,7 +118,7 @@ def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         id_raw.alias("ID"),
         _rules(i, [(101, null)], F.concat(s(" "), F.col("nombre"), s(" "))).alias("Nombre"),
         _rules(i, [(17, s("130")), (19, s("abc")), (23, s("-0.5")), (29, s("120.5")),
-                   (31, s("NaN")), (37, s("1d"))],
+                   (31, s("NaN")), (37, s("1d")), (43, s("9999999999"))],
                F.concat(F.col("edad").cast("string"), s(".0"))).alias("Edad"),
         _rules(i, [(11, s("O")), (41, s("femenino"))], F.col("genero")).alias("Género"),
         _rules(i, [(43, s("   "))], F.concat(s("  "), F.col("ciudad"), s(" "))).alias("Ciudad"),
@@ -128,7 +127,11 @@ def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("categoria_problema").alias("Categoría del problema"),
         _rules(i, [(5, s(" ALTA ")), (71, s("media")), (7, s("Baja urgencia"))],
                F.col("nivel_urgencia")).alias("Nivel de urgencia"),
-        _rules(i, [(61, s("2020-13-45")), (6, us_date), (4, F.concat(f, s(" 10:30:00")))],
+        _rules(i, [(61, s("2020-13-45")), (6, us_date), (4, F.concat(f, s(" 10:30:00"))),
+                   (7, F.concat_ws("/", F.substring(f, 6, 2).cast("int"), F.substring(f, 9, 2).cast("int"), F.substring(f, 1, 4))),
+                   (11, F.concat(f, s("T10:30:00"))), (13, F.concat(f, s(" 10:30"))),
+                   (17, F.replace(f, F.lit("-"), F.lit("/"))), (19, F.concat(f, s(" 10:30:00.5"))),
+                   (23, F.concat(us_date, s(" 10:30:00")))],
                f).alias("Fecha del reporte"),
         _rules(i, [(73, s("2")), (3, F.concat(flag("acceso_internet"), s(".0")))],
                flag("acceso_internet")).alias("Acceso a internet"),
@@ -140,7 +143,7 @@ def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as searchable reports (T)."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     i = F.col("doc_id")
     fecha = F.concat(
         (F.lit(2020) + i % 5).cast("string"), F.lit("-"),
@@ -168,8 +171,38 @@ def question_fixtures(spark: SparkSession) -> DataFrame:
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions (Q): literal fixtures plus all user turns of conversations."""
-    conv = spread(table(spark, sf_dir, "conversations"))
+    conv = table(spark, sf_dir, "conversations")
     turns = conv.where(F.col("role") == "user").select(
         ((F.col("conv_id") + 1) * CONVERSATION_ID_BASE + F.col("turn")).alias("question_id"),
         F.col("text").alias("texto"))
-    return question_fixtures(spark).unionByName(turns)
+    out = question_fixtures(spark).unionByName(turns)
+    n = table(spark, sf_dir, "nation")
+    for base, before, after in NATION_QUESTIONS:
+        out = out.unionByName(n.select(
+            (F.lit(base) + F.col("n_nationkey")).cast("long").alias("question_id"),
+            F.concat(F.lit(before), F.col("n_name"), F.lit(after)).alias("texto")))
+    return out
+
+
+def source_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One search query per source and language of the documents: their names,
+    which many documents hold."""
+    return (table(spark, sf_dir, "documents").groupBy("source", "lang")
+            .agg(F.min("doc_id").alias("question_id"))
+            .select("question_id", F.concat_ws(" ", "source", "lang").alias("texto")))
+
+
+def filtered_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source queries and punctuation, each with filters of its own."""
+    i = F.col("question_id")
+    q = source_queries(spark, sf_dir).unionByName(
+        question_fixtures(spark).where(F.col("question_id") >= 15)
+        .select((-i).alias("question_id"), "texto"))
+    null = F.lit(None).cast("string")
+    return q.select(
+        "question_id", "texto",
+        F.when(i % 3 == 0, F.lit("src0")).otherwise(null).alias("f_ciudad"),
+        F.when(i % 5 == 0, F.lit("en")).otherwise(null).alias("f_categoria_problema"),
+        F.when(i % 2 == 0, F.lit(1)).otherwise(F.lit(None).cast("int")).alias("f_urgente"),
+        F.lit("2021-01-01").alias("f_fecha_desde"),
+        F.when(i % 7 == 0, F.lit("2023-06-30")).otherwise(F.lit("")).alias("f_fecha_hasta"))

@@ -61,7 +61,8 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> dict:
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    res = con.execute(sql)
+    con.execute(f"CREATE OR REPLACE VIEW oracle_{name} AS {sql}")  # as the driver runs it
+    res = con.execute(f"SELECT * FROM oracle_{name}")
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     t2 = time.time()

@@ -1,4 +1,4 @@
-"""Plan checks and end-to-end jobs (ETL, ask, analysis, streaming ingest)."""
+"""Plan checks and end-to-end jobs (ETL, ask, analysis)."""
 
 import contextlib
 import io
@@ -116,23 +116,3 @@ def test_etl_ask_and_report_end_to_end(spark, scratch):
     back = spark.read.json(os.path.join(scratch, "analysis", "summary")).first()
     assert back.rows == expected
     assert set(json.loads(json.dumps(summary["charts"]))) == set(back.charts.asDict())
-
-
-def test_streaming_ingest_first_row_wins(spark, scratch):
-    from civiq.schema import RAW_COLUMNS
-    from civiq.streaming.ingest import current_table, start_ingest
-
-    inbox = os.path.join(scratch, "inbox")
-    os.makedirs(inbox)
-    header = ",".join(f'"{c}"' for c in RAW_COLUMNS)
-    row = '{id},{name},30,F,Cali,agua,Agua,Urgente,2023-01-05,1,0,1'
-    with open(os.path.join(inbox, "a.csv"), "w", encoding="utf-8") as f:
-        f.write("\n".join([header, row.format(id=1, name="Ana"), row.format(id=2, name="Bea")]))
-    q = start_ingest(spark, inbox, os.path.join(scratch, "table"), os.path.join(scratch, "ckpt"))
-    q.awaitTermination(120)
-    with open(os.path.join(inbox, "b.csv"), "w", encoding="utf-8") as f:
-        f.write("\n".join([header, row.format(id=2, name="Otra"), row.format(id=3, name="Cia")]))
-    q = start_ingest(spark, inbox, os.path.join(scratch, "table"), os.path.join(scratch, "ckpt"))
-    q.awaitTermination(120)
-    got = {r.id: r.nombre for r in current_table(spark, os.path.join(scratch, "table")).collect()}
-    assert got == {1: "Ana", 2: "Bea", 3: "Cia"}
