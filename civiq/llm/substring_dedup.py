@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, WordHashes, chunks, columns, release, runs, ship, shuffle_partitions, text_bytes, values
+from .homes import PACKED, pack, unpack
 
 WINDOW = 13
 CHUNK_WORDS = 500_000
@@ -230,9 +231,6 @@ def _suspects(width: int, buckets: int, shared, bits: int):
     return run
 
 
-_REMOVED = "home int, ids binary, marks binary, counts binary, pos binary"
-
-
 def _settle(buckets: int):
     def run(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of one bucket of window hashes: the starts whose window is in a smaller
@@ -255,43 +253,17 @@ def _settle(buckets: int):
             settled.append((ids[late], marks[late], pos[late]))
         found = [np.concatenate(c) for c in zip(*settled, strict=True)]
         if found and len(found[0]):
-            yield _homes(*found, buckets)
+            yield pack(found[0], found[1], found[2][:, None], buckets)
         release()
 
     return run
 
 
-def _homes(ids: np.ndarray, marks: np.ndarray, pos: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One packed row per bucket of documents."""
-    home = ((ids.view(np.uint64) * _M1 ^ marks) % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((pos, marks, ids, home))
-    home, ids, marks, pos = home[order], ids[order], marks[order], pos[order]
-    edges = np.append(runs(home), len(home))
-    rows = []
-    for s, e in zip(edges[:-1], edges[1:], strict=True):
-        lead = runs(ids[s:e], marks[s:e])
-        counts = np.diff(np.append(lead, e - s)).astype(np.int32)
-        rows.append((int(home[s]), ids[s:e][lead].tobytes(), marks[s:e][lead].tobytes(), counts.tobytes(), pos[s:e].tobytes()))
-    kinds = [pa.int32()] + [pa.binary()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["home", "ids", "marks", "counts", "pos"])
-
-
 def _gather(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The starts of each document of one bucket, as one row per document."""
-    got = []
-    for b in parts:
-        for r in b.to_pylist():
-            counts = np.frombuffer(r["counts"], np.int32)
-            got.append((np.repeat(np.frombuffer(r["ids"], np.int64), counts), np.repeat(np.frombuffer(r["marks"], np.uint64), counts), np.frombuffer(r["pos"], np.int32)))
-    ids, marks, pos = map(np.concatenate, zip(*got, strict=True))
-    order = np.lexsort((pos, marks, ids))
-    ids, marks, pos = ids[order], marks[order], pos[order]
-    edges = np.append(runs(ids, marks), len(ids))
-    yield pa.RecordBatch.from_arrays([
-        pa.array(ids[edges[:-1]], pa.int64()),
-        pa.array(marks[edges[:-1]].view(np.int64), pa.int64()),
-        pa.array([pos[s:e].tobytes() for s, e in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
-    ], ["id", "mark", "starts"])
+    rows = [(i, m, p.tobytes()) for i, m, p in unpack(parts, 1)]
+    cols = list(zip(*rows, strict=True)) or [()] * 3
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["id", "mark", "starts"])
     release()
 
 
@@ -305,7 +277,7 @@ def repeated_starts(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     buckets = max(shuffle_partitions(spark), total // BUCKET_BYTES)
     shared = spark.sparkContext.broadcast(repeated_sketch(docs, width, bits))
     entries = docs.mapInArrow(_suspects(width, buckets, shared, bits), _ENTRY)
-    found = entries.groupBy("bucket").applyInArrow(_settle(buckets), _REMOVED)
+    found = entries.groupBy("bucket").applyInArrow(_settle(buckets), PACKED)
     return found.groupBy("home").applyInArrow(_gather, "id long, mark long, starts binary")
 
 

@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import GRAM, anchors
-from .common import NULL_ID, chunks, columns, materialize, runs, ship, shuffle_partitions, text_bytes, values
+from .common import NULL_ID, chunks, columns, materialize, release, runs, ship, shuffle_partitions, text_bytes, values
 from .fm_index import prefix_classes
+from .homes import PACKED, pack, unpack
 
 LENGTH = 200
 CHUNK_BYTES = 3 << 20
@@ -132,66 +133,68 @@ def _texts(batches, length: int):
                 yield i, raw
 
 
+def _decide(buckets: int):
+    """Of one bucket, packed by document: (0, from, to) of pieces that repeat as
+    a whole, and (1, place, 1 if the piece is the only one of its kind) of the
+    pieces to be indexed."""
+    def run(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[str, list] = {f: [] for f in ("id", "mark", *(f for f, _ in _FIELDS))}
+        for b in parts:
+            for r in b.to_pylist():
+                counts = np.frombuffer(r["counts"], np.int32)
+                got["id"].append(np.repeat(np.frombuffer(r["ids"], np.int64), counts))
+                got["mark"].append(np.repeat(np.frombuffer(r["marks"], np.uint64), counts))
+                for f, t in _FIELDS:
+                    got[f].append(np.frombuffer(r[f], t))
+        if not got["id"]:
+            return
+        c = {k: np.concatenate(v) for k, v in got.items()}
+        del got
+        open_ = np.flatnonzero(c["settled"] < 2)
+        # marks come first among the entries of their anchor and count as a kind
+        mark = c["kind"][open_] == _OTHERS
+        piece = np.where(mark, _NONE, c["piece"][open_])
+        order = open_[np.lexsort((~mark, piece, c["anchor"][open_], c["kind"][open_] == _KIND))]
+        group = c["kind"][order] == _KIND
+        is_mark = c["kind"][order] == _OTHERS
+        p = np.where(is_mark, _NONE, c["piece"][order])
+        lead_anchor, lead = runs(c["anchor"][order], group), runs(c["anchor"][order], group, p, is_mark)
+        size = np.diff(np.append(lead, len(order)))
+        whole = np.add.reduceat(c["settled"][order], lead, dtype=np.int64) + size > 1 if len(order) else np.zeros(0, bool)
+        kinds = np.add.reduceat(np.isin(np.arange(len(order)), lead), lead_anchor, dtype=np.int64) if len(order) else np.zeros(0, np.int64)
+        of_anchor = np.repeat(np.arange(len(lead_anchor)), np.diff(np.append(lead_anchor, len(order))))
+        ask = (kinds[of_anchor] > 1) | group
+        of_kind = np.repeat(np.arange(len(lead)), size)
+        covered = whole[of_kind] & ~is_mark
+        first = np.zeros(len(order), bool)
+        first[lead] = True
+        ask &= first & ~is_mark
+        single = ask & ~covered
+        span_at = np.concatenate([order[covered], np.flatnonzero(c["settled"] == 2)])
+        at = np.concatenate([span_at, order[ask]])
+        places = np.zeros((len(at), 3), np.int32)
+        places[:len(span_at), 1:] = np.stack([c["low"][span_at], c["high"][span_at]], axis=1)
+        places[len(span_at):] = np.stack([np.ones(int(ask.sum())), c["at"][order[ask]], single[ask]], axis=1)
+        if len(at):
+            yield pack(c["id"][at], c["mark"][at], places, buckets)
+        release()
+
+    return run
+
+
 _PLACES = "id long, mark long, spans binary, asked binary"
 
 
-def _decide(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one bucket, per document: spans (from, to) of pieces that repeat as a
-    whole, and asked (place, 1 if the piece is the only one of its kind) of the
-    pieces to be indexed."""
-    got: dict[str, list] = {f: [] for f in ("id", "mark", *(f for f, _ in _FIELDS))}
-    for b in parts:
-        for r in b.to_pylist():
-            counts = np.frombuffer(r["counts"], np.int32)
-            got["id"].append(np.repeat(np.frombuffer(r["ids"], np.int64), counts))
-            got["mark"].append(np.repeat(np.frombuffer(r["marks"], np.uint64), counts))
-            for f, t in _FIELDS:
-                got[f].append(np.frombuffer(r[f], t))
-    if not got["id"]:
-        return
-    c = {k: np.concatenate(v) for k, v in got.items()}
-    del got
-    open_ = np.flatnonzero(c["settled"] < 2)
-    # marks come first among the entries of their anchor and count as a kind
-    mark = c["kind"][open_] == _OTHERS
-    piece = np.where(mark, _NONE, c["piece"][open_])
-    order = open_[np.lexsort((~mark, piece, c["anchor"][open_], c["kind"][open_] == _KIND))]
-    group = c["kind"][order] == _KIND
-    is_mark = c["kind"][order] == _OTHERS
-    p = np.where(is_mark, _NONE, c["piece"][order])
-    lead_anchor, lead = runs(c["anchor"][order], group), runs(c["anchor"][order], group, p, is_mark)
-    size = np.diff(np.append(lead, len(order)))
-    whole = np.add.reduceat(c["settled"][order], lead, dtype=np.int64) + size > 1 if len(order) else np.zeros(0, bool)
-    kinds = np.add.reduceat(np.isin(np.arange(len(order)), lead), lead_anchor, dtype=np.int64) if len(order) else np.zeros(0, np.int64)
-    of_anchor = np.repeat(np.arange(len(lead_anchor)), np.diff(np.append(lead_anchor, len(order))))
-    ask = (kinds[of_anchor] > 1) | group
-    of_kind = np.repeat(np.arange(len(lead)), size)
-    covered = whole[of_kind] & ~is_mark
-    first = np.zeros(len(order), bool)
-    first[lead] = True
-    ask &= first & ~is_mark
-    single = ask & ~covered
-    span_at = np.concatenate([order[covered], np.flatnonzero(c["settled"] == 2)])
-    yield from _per_document(c, span_at, order[ask], single[ask])
-
-
-def _per_document(c: dict, span_at: np.ndarray, ask_at: np.ndarray, single: np.ndarray) -> Iterator[pa.RecordBatch]:
-    at = np.concatenate([span_at, ask_at])
-    asked = np.append(np.zeros(len(span_at), bool), np.ones(len(ask_at), bool))
-    a = np.where(asked, c["at"][at], c["low"][at])
-    b = np.where(asked, np.append(np.zeros(len(span_at), np.int32), single.astype(np.int32)), c["high"][at])
-    ids, marks = c["id"][at], c["mark"][at]
-    order = np.lexsort((a, asked, marks, ids))
-    pair = np.stack([a, b], axis=1).astype(np.int32)[order]
-    ids, marks, asked = ids[order], marks[order], asked[order]
-    edges = np.append(runs(ids, marks), len(ids))
-    spans, asks = [], []
-    for s, e in zip(edges[:-1], edges[1:], strict=True):
-        cut = s + int(np.searchsorted(asked[s:e], True))
-        spans.append(pair[s:cut].tobytes() if cut > s else None)
-        asks.append(pair[cut:e].tobytes() if e > cut else None)
-    if len(ids):
-        yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:-1]]), pa.array(marks[edges[:-1]].view(np.int64)), pa.array(spans, pa.binary()), pa.array(asks, pa.binary())], ["id", "mark", "spans", "asked"])
+def _gather(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document: spans and asked, as _decide found them."""
+    rows = []
+    for i, m, p in unpack(parts, 3):
+        asked = p[:, 0] == 1
+        rows.append((i, m, p[~asked, 1:].tobytes() or None, p[asked, 1:].tobytes() or None))
+    cols = list(zip(*rows, strict=True)) or [()] * 4
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["id", "mark", "spans", "asked"])
+    release()
 
 
 _PIECE = "anchor long, id long, mark long, low int, single boolean, piece binary"
@@ -203,11 +206,10 @@ def _cut_pieces(length: int):
             cols: tuple[list, ...] = ([], [], [], [], [], [])
             for i, m, x, asked in zip(b.column("id").to_pylist(), b.column("mark").to_pylist(), values(b.column("text")), values(b.column("asked")), strict=True):
                 raw = x.encode()
-                for pair in asked:
-                    for at, single in np.frombuffer(pair, np.int32).reshape(-1, 2).tolist():
-                        low = max(0, at - (length - GRAM))
-                        for c, v in zip(cols, (xxhash.xxh64_intdigest(raw[at:at + GRAM], 1), i, m, low, single == 1, raw[low:at + length]), strict=True):
-                            c.append(v)
+                for at, single in np.frombuffer(asked, np.int32).reshape(-1, 2).tolist():
+                    low = max(0, at - (length - GRAM))
+                    for c, v in zip(cols, (xxhash.xxh64_intdigest(raw[at:at + GRAM], 1), i, m, low, single == 1, raw[low:at + length]), strict=True):
+                        c.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
             cols[0][:] = np.array(cols[0], np.uint64).view(np.int64).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["anchor", "id", "mark", "low", "single", "piece"])
@@ -312,9 +314,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     are covered by repeated runs; mark is the text's XXH64."""
     spark = docs.sparkSession
     buckets = max(shuffle_partitions(spark), text_bytes(docs, "text") // BUCKET_BYTES)
-    places = materialize(docs.mapInArrow(_entries(length, buckets), _ENTRY).groupBy("bucket").applyInArrow(_decide, _PLACES))
-    asked = places.filter("asked IS NOT NULL").groupBy("id", "mark").agg(F.collect_list("asked").alias("asked"))
-    asked = asked.withColumnsRenamed({"id": "a_id", "mark": "a_mark"})
+    entries = docs.mapInArrow(_entries(length, buckets), _ENTRY)
+    decided = entries.groupBy("bucket").applyInArrow(_decide(buckets), PACKED)
+    places = materialize(decided.groupBy("home").applyInArrow(_gather, _PLACES))
+    asked = places.filter("asked IS NOT NULL").select(F.col("id").alias("a_id"), F.col("mark").alias("a_mark"), "asked")
     keyed = docs.withColumn("mark", F.xxhash64("text"))
     texts = keyed.join(asked, (F.col("id") == F.col("a_id")) & (F.col("mark") == F.col("a_mark"))).select("id", "mark", "text", "asked")
     cut = materialize(texts.mapInArrow(_cut_pieces(length), _PIECE))
