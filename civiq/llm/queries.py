@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, language_id, license_scan, sentencepiece_codec, simhash_dedup, sql, substring_dedup, suffix_dedup, toxicity
+from . import ann, decontaminate, language_id, license_scan, lm_scoring, sentencepiece_codec, simhash_dedup, sql, substring_dedup, suffix_dedup, toxicity
 from .common import remainder, table
 
 
@@ -24,6 +24,11 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm_scoring.score(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7, 2))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = sentencepiece_codec.encode(table(spark, sf_dir, "documents")).select("row.doc_id", "row.text", "ids")
     out = sentencepiece_codec.decode(ids)
@@ -67,6 +72,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_license_scan": op6_license_scan,
     "op7_suffix_dedup": op7_suffix_dedup,
