@@ -14,6 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiq.session import ensure_checkpoint_dir, materialize  # noqa: F401
 
@@ -77,6 +78,11 @@ def columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def with_row(df: DataFrame, more: str) -> T.StructType:
+    """Schema of the column `row` of a table and further columns."""
+    return T.StructType([T.StructField("row", df.schema["row"].dataType), *T.StructType.fromDDL(more).fields])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, columns, materialize, runs, ship, values
+from .common import chunks, columns, materialize, runs, ship, values, with_row
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -148,7 +148,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_co
         F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"),
         F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.lit(None).cast("binary").alias("hits"),
         F.lit(None).cast("array<string>").alias("items"))
-    schema = state.schema
+    schema = with_row(state, "text string, n_words long, n_hit long, hits binary, items array<string>")
     shared = None
     for block in _blocks(benchmark, id_col, text_col):
         if shared is not None:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns, ship, values
+from .common import columns, ship, values, with_row
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -139,5 +139,4 @@ def identify(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_c
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["row", "lang_pred", "score"])
 
     whole = docs.select(F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"))
-    schema = whole.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return whole.mapInArrow(run, schema)
+    return whole.mapInArrow(run, with_row(whole, "lang_pred string, score double"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, ship, values
+from .common import columns, ship, values, with_row
 
 THRESHOLD = 0.8
 
@@ -147,5 +147,4 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(found, kind)], ["row", "licenses"])
 
     whole = docs.select(F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"))
-    schema = whole.select("row", F.lit(None).cast("array<struct<license:string,dice:double,first:int,last:int>>").alias("licenses")).schema
-    return whole.mapInArrow(run, schema)
+    return whole.mapInArrow(run, with_row(whole, "licenses array<struct<license:string,dice:double,first:int,last:int>>"))

@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, ship, values
+from .common import columns, ship, values, with_row
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -162,7 +162,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataF
             yield pa.RecordBatch.from_arrays([b.column("row"), _lists(encoder.encode(values(b.column("text"))))], ["row", "ids"])
 
     whole = docs.select(F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"))
-    return whole.mapInArrow(run, whole.select("row", F.lit(None).cast("array<int>").alias("ids")).schema)
+    return whole.mapInArrow(run, with_row(whole, "ids array<int>"))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> DataFrame:
@@ -179,4 +179,4 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Data
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])
 
     whole = encoded.select(F.struct(*columns(encoded)).alias("row"), F.col(ids_col).alias("ids"))
-    return whole.mapInArrow(run, whole.select("row", F.lit("").alias("decoded")).schema)
+    return whole.mapInArrow(run, with_row(whole, "decoded string"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, WordHashes, chunks, columns, release, runs, ship, shuffle_partitions, text_bytes, values
+from .common import chunks, columns, NULL_ID, release, runs, ship, shuffle_partitions, text_bytes, values, with_row, WordHashes
 from .homes import PACKED, pack, unpack
 
 WINDOW = 13
@@ -315,5 +315,5 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.coalesce(F.col(id_col), F.lit(NULL_ID)).cast("long").alias("id"),
         F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("mark"))
     joined = whole.join(starts, (F.col("id") == F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left")
-    schema = whole.select("row", F.lit("").alias("kept"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed")).schema
+    schema = with_row(whole, "kept string, n_words long, n_removed long")
     return joined.select("row", F.col(f"row.{text_col}").alias("text"), "starts").mapInArrow(_cut(width), schema)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import GRAM, anchors
-from .common import NULL_ID, chunks, columns, materialize, release, runs, ship, shuffle_partitions, text_bytes, values
+from .common import chunks, columns, materialize, NULL_ID, release, runs, ship, shuffle_partitions, text_bytes, values, with_row
 from .fm_index import prefix_classes
 from .homes import PACKED, pack, unpack
 
@@ -369,6 +369,5 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.struct(*columns(docs)).alias("row"), F.coalesce(F.col(id_col), F.lit(NULL_ID)).cast("long").alias("id"),
         F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("mark"))
     joined = whole.join(spans, (F.col("id") == F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left")
-    zero = F.lit(0).cast("long")
-    schema = whole.select("row", F.lit(b"").alias("kept"), zero.alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans")).schema
+    schema = with_row(whole, "kept binary, n_bytes long, n_removed long, n_spans long")
     return joined.select("row", F.col(f"row.{text_col}").alias("text"), "spans").mapInArrow(_cut, schema)

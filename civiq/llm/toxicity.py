@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship, values
+from .common import materialize, ship, values, with_row
 
 LABELLED = 40_000
 MINED = 2_000
@@ -263,9 +263,6 @@ def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, wi
     return w
 
 
-_FEATURES = "votes int, at array<int>, counts array<int>, words int"
-
-
 def _read_all(shared):
     def run(batches):
         read = shared.value.reader()
@@ -293,7 +290,7 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     voters = Voters(mine(known))
     shared = spark.sparkContext.broadcast(voters)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("l_id")).alias("row"), F.col(text_col).alias("text"))
-    schema = whole.select("row", F.lit(0).alias("votes"), F.lit(None).cast("array<int>").alias("at"), F.lit(None).cast("array<int>").alias("counts"), F.lit(0).alias("words")).schema
+    schema = with_row(whole, "votes int, at array<int>, counts array<int>, words int")
     read = materialize(whole.mapInArrow(_read_all(shared), schema))
     with_label = read.withColumn("l_id", F.col("row.l_id")).join(F.broadcast(sample), "l_id", "left")
     seen = with_label.groupBy("votes", F.coalesce("label", F.lit(-1)).alias("label")).count().collect()  # at most 3 * 2**voters rows
@@ -304,7 +301,7 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     fit = with_label.filter("label IS NOT NULL").select("votes", "at", "counts", "words", "label", "l_id")
     if not fit.limit(1).count():
         fit = with_label.orderBy(F.xxhash64("l_id"), "l_id").limit(LABELLED).select("votes", "at", "counts", "words", F.lit(-1).alias("label"), "l_id")
-    rows = sorted(fit.orderBy(F.xxhash64("l_id"), "l_id").limit(LABELLED).collect(), key=lambda r: (r["l_id"], r["votes"], r["at"]))
+    rows = sorted(fit.orderBy(F.xxhash64("l_id"), "l_id").limit(LABELLED).collect(), key=lambda r: (r["l_id"] is None, r["l_id"] or 0, r["votes"], r["at"]))
     post = model.posterior(np.array([r["votes"] for r in rows], np.int64))
     label = np.array([r["label"] for r in rows])
     target = np.where(label >= 0, 0.9 * label + 0.1 * post, post)
@@ -321,5 +318,5 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
             p = np.array(out, float)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], ["row", "score", "predicted"])
 
-    scored = read.mapInArrow(judge, read.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema)
+    scored = read.mapInArrow(judge, with_row(read, "score double, predicted int"))
     return scored.select(*[F.col("row")[c].alias(c) for c in keep], "score", "predicted")
