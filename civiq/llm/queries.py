@@ -82,6 +82,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op7_suffix_dedup": sql.OP7,
     "op8_benchmark_decontamination": sql.OP8,
     "op10_substring_dedup": sql.OP10,
 }

@@ -52,3 +52,31 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)
 """
+
+# Texts as hexadecimal strings, two letters a byte; runs of 200 bytes by md5.
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+part AS (
+  SELECT doc_id, 500 * p AS base, substring(h, 1000 * p + 1, 1398) AS hp, least(500, n - 199 - 500 * p) AS m
+  FROM (SELECT doc_id, h, n, unnest(range(0, (n - 199 + 499) // 500)) AS p FROM d WHERE n >= 200)),
+pos AS (
+  SELECT doc_id, base + j AS i, md5(substring(hp, 2 * j + 1, 400)) AS k
+  FROM (SELECT doc_id, base, hp, unnest(range(0, m)) AS j FROM part)),
+rep AS (SELECT doc_id, i FROM pos JOIN (SELECT k FROM pos GROUP BY k HAVING count(*) > 1) USING (k)),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM rep),
+spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS b
+  FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked) GROUP BY doc_id, g),
+pieces AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM spans
+  UNION ALL SELECT doc_id, max(b), max(n) FROM spans JOIN d USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substring(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS kh
+  FROM pieces JOIN d USING (doc_id) WHERE e > s GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN gone IS NULL THEN h ELSE coalesce(kh, '') END)) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
