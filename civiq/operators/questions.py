@@ -157,9 +157,16 @@ class WindowStats:
     def __init__(self, parsed: DataFrame, cube: ReportCube):
         self.cube = cube
         self.wm = materialize(window_months(parsed))
+        self._counts: dict[tuple, DataFrame] = {}
 
     def counts(self, *keys: str) -> DataFrame:
-        """(wkey, *keys, n, n_urg) - only combinations with reports."""
+        """(wkey, *keys, n, n_urg) - only combinations with reports. Written
+        once per key: mention lines and top lists read the same table."""
+        if keys not in self._counts:
+            self._counts[keys] = materialize(self._count(*keys))
+        return self._counts[keys]
+
+    def _count(self, *keys: str) -> DataFrame:
         by_month = self.cube.by(*dict.fromkeys(("mes",) + keys))
         dated = (self.wm.join(by_month, "mes").groupBy("wkey", *keys)
                  .agg(F.sum("n").alias("n"), F.sum("n_urg").alias("n_urg")))
@@ -248,6 +255,11 @@ class QuestionStats:
     def category_mentions(self) -> DataFrame:
         return self._get("mk", lambda: mentions(self.parsed, self.cube, "category"))
 
+    def _found(self, kind: str) -> DataFrame:
+        """The mentions of a kind, written once for the lines that read them."""
+        build = self.city_mentions if kind == "city" else self.category_mentions
+        return self._get(f"found_{kind}", lambda: materialize(build()))
+
     def totals(self) -> DataFrame:
         """(question_id, fecha_desde, fecha_hasta, total, total_urgentes)."""
         t = self.ws.totals()
@@ -280,7 +292,9 @@ class QuestionStats:
     def lines(self) -> DataFrame:
         """G5 long form: (question_id, line_no, line)."""
         p = self.parsed
-        tot = self.totals().join(p.select("question_id", "f_count", "f_urgent"), "question_id")
+        tot = p.where("f_count").join(F.broadcast(self.ws.totals()), "wkey", "left").select(
+            "question_id", "f_urgent", F.coalesce("n", F.lit(0)).cast("long").alias("total"),
+            F.coalesce("n_urg", F.lit(0)).cast("long").alias("total_urgentes"))
         zero = F.lit(0).cast("long")
         blank = F.lit("")
 
@@ -289,16 +303,16 @@ class QuestionStats:
                              blank.alias("k2"), line.alias("line"))
 
         parts = [
-            row(tot.where(F.col("f_count") & F.col("f_urgent")), 1,
+            row(tot.where("f_urgent"), 1,
                 _fmt(LINE_TOTAL_URGENT, F.col("total_urgentes"))),
-            row(tot.where(F.col("f_count")), 2, _fmt(LINE_TOTAL, F.col("total"))),
-            self._mention_lines(self.city_mentions(), "ciudad", LINE_CITY, 3),
-            self._mention_lines(self.category_mentions(), "categoria_problema", LINE_CATEGORY, 4),
+            row(tot, 2, _fmt(LINE_TOTAL, F.col("total"))),
+            self._mention_lines(self._found("city"), "ciudad", LINE_CITY, 3),
+            self._mention_lines(self._found("category"), "categoria_problema", LINE_CATEGORY, 4),
         ]
-        tc = (p.where("f_top_city").join(self.city_mentions(), "question_id", "left_anti")
+        tc = (p.where("f_top_city").join(self._found("city"), "question_id", "left_anti")
               .join(F.broadcast(self.ws.top("ciudad")), "wkey"))
         parts.append(row(tc, 5, _fmt(LINE_TOP_CITY, F.col("ciudad"), F.col("n"))))
-        tk = (p.where("f_top_category").join(self.category_mentions(), "question_id", "left_anti")
+        tk = (p.where("f_top_category").join(self._found("category"), "question_id", "left_anti")
               .join(F.broadcast(self.ws.top("categoria_problema")), "wkey"))
         parts.append(row(tk, 6, _fmt(LINE_TOP_CATEGORY, F.col("categoria_problema"), F.col("n"))))
         pm = p.where("f_month").join(F.broadcast(self.ws.peak_month()), "wkey")
