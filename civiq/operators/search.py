@@ -13,7 +13,8 @@ A batch of questions ``(question_id, texto)`` is searched at once:
   semantics (``%``/``_`` wildcards, ASCII-only case folding), newest first.
   Substring patterns have no equi-join key, so the pattern side is broadcast
   into a nested-loop join after its size in bytes is checked; above the bound
-  the patterns are split into bounded broadcast batches.
+  the patterns are split into bounded broadcast batches. With an index, a plain
+  pattern's inner words give candidates instead.
 * ``search_auto`` (F3): questions that sanitize to an empty query use LIKE,
   the others BM25.
 """
@@ -194,11 +195,32 @@ def _like_join(pats: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(pats), F.when(F.col("wild"), c_wild).otherwise(c_plain), "inner")
 
 
+def _inner_terms(q: Column) -> Column:
+    """Terms that any text containing the plain pattern must hold whole: those
+    not touching an end of the pattern."""
+    core = F.regexp_replace(q, r"^[\p{L}\p{N}\p{M}]+|[\p{L}\p{N}\p{M}]+$", "")
+    return F.array_distinct(tokenize(core))
+
+
+def _like_candidates(patterns: DataFrame, docs: DataFrame, index: TextIndex) -> DataFrame:
+    """Matches of plain patterns with inner terms: candidates come from the
+    postings of a pattern's rarest inner term, and only these are tested."""
+    terms = patterns.select("_key", F.size("_inner").alias("n"), F.explode("_inner").alias("term"))
+    rare = (terms.join(index.terms, "term").groupBy("_key", "n")
+            .agg(F.count(F.lit(1)).alias("known"), F.min(F.struct("df", "term")).alias("r"))
+            .where("known = n").select("_key", F.col("r.term").alias("term")))
+    cand = index.postings.select("term", "id").join(rare, "term").select("_key", "id")
+    sub = F.col("q")
+    return (cand.join(patterns, "_key").join(docs, "id")
+            .where(F.col("_c").contains(sub) | F.col("_ci").contains(sub) | F.col("_k").contains(sub)))
+
+
 def _like_pattern_matches(questions: DataFrame, reports: DataFrame,
-                          filters: ReportFilter | dict | None, text_col: str
-                          ) -> tuple[DataFrame, DataFrame]:
+                          filters: ReportFilter | dict | None, text_col: str,
+                          index: TextIndex | None = None) -> tuple[DataFrame, DataFrame]:
     """(pats(question_id, _key), matched(_key, hit columns)): matches per
-    distinct pattern and filters, not yet fanned out to the questions."""
+    distinct pattern and filters, not yet fanned out to the questions. With an
+    index only patterns without inner terms are tested against every report."""
     extra = _filter_cols(questions)
     q = ascii_lower(F.col(text_col))
     pats = questions.select("question_id", q.alias("q"), *extra)
@@ -210,12 +232,18 @@ def _like_pattern_matches(questions: DataFrame, reports: DataFrame,
     # by many questions is matched once and fanned out by an equi-join.
     distinct = materialize(pats.drop("question_id").distinct().withColumn(
         "wild", F.col("q").contains("%") | F.col("q").contains("_")).withColumn(
-        "pat", like_contains_pattern(F.col("q"))))
+        "pat", like_contains_pattern(F.col("q"))).withColumn(
+        "_inner", F.when(F.col("wild"), F.array().cast("array<string>")).otherwise(_inner_terms(F.col("q")))))
+    out = [*[c for c in distinct.columns if c != "_inner"], *HIT_COLUMNS]
+    found = []
+    if index is not None:
+        found.append(_like_candidates(distinct.where(F.size("_inner") > 0), docs, index).select(*out))
+        distinct = distinct.where(F.size("_inner") == 0)
     size = distinct.agg(F.coalesce(F.sum(2 * F.octet_length("q") + F.octet_length("_key") + 64), F.lit(0))).head()[0]
     nb = max(1, math.ceil(size / LIKE_BROADCAST_BYTES))
     bucket = F.pmod(F.xxhash64("_key"), F.lit(nb))
-    parts = [_like_join(distinct.where(bucket == i) if nb > 1 else distinct, docs) for i in range(nb)]
-    matched = reduce(DataFrame.unionByName, parts)
+    found += [_like_join(distinct.where(bucket == i) if nb > 1 else distinct, docs).select(*out) for i in range(nb)]
+    matched = reduce(DataFrame.unionByName, found)
     if extra:
         matched = matched.where(filter_columns_predicate("f_"))
     return pats.select("question_id", "_key"), matched.select("_key", *HIT_COLUMNS)
@@ -232,14 +260,16 @@ def like_matches(questions: DataFrame, reports: DataFrame,
 
 
 def like_search(questions: DataFrame, reports: DataFrame, k: int = DEFAULT_TOP_K,
-                filters: ReportFilter | dict | None = None) -> DataFrame:
-    """newest-first top-k of the LIKE matches (ties by id).
+                filters: ReportFilter | dict | None = None,
+                index: TextIndex | None = None) -> DataFrame:
+    """newest-first top-k of the LIKE matches (ties by id); an index of the
+    same reports, if there is one, saves testing every report.
 
     The order depends on the document alone, so the top k of a pattern with its
     filters is the top k of each question asking it: ranking runs per distinct
     pattern on (fecha_reporte, id) only, the texts are attached after the cut,
     and only k rows per question are fanned out."""
-    pats, matched = _like_pattern_matches(questions, reports, filters, "texto")
+    pats, matched = _like_pattern_matches(questions, reports, filters, "texto", index)
     w = Window.partitionBy("_key").orderBy(F.desc("fecha_reporte"), F.asc("id"))
     top = (matched.select("_key", "id", "fecha_reporte").withColumn("rank", F.row_number().over(w))
            .where(F.col("rank") <= k).drop("fecha_reporte"))
@@ -260,7 +290,7 @@ def search_auto(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
     like_q = s.where(F.col("_san") == "").drop("_san")
     a = bm25_search(fts_q, reports, index, k, filters).drop("score").withColumn(
         "used_fts", F.lit(True))
-    b = like_search(like_q, reports, k, filters).withColumn("used_fts", F.lit(False))
+    b = like_search(like_q, reports, k, filters, index).withColumn("used_fts", F.lit(False))
     return a.unionByName(b)
 
 

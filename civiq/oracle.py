@@ -120,6 +120,11 @@ questions AS (
 CTE["sq"] = """
 sq AS (SELECT min(doc_id) AS question_id, source || ' ' || lang AS texto FROM documents GROUP BY source, lang)"""
 
+CTE["sbq"] = """
+sbq AS (SELECT item_id AS question_id, substr(text, 2, CAST(floor(length(text) / 2) AS INTEGER)) AS texto FROM benchmark
+        UNION ALL SELECT * FROM (VALUES {}) AS t(question_id, texto))""".format(
+    ", ".join(f"(-{i}, {q(t)})" for i, t in QUESTION_FIXTURES if i >= 15))
+
 _marks = [(i, t) for i, t in QUESTION_FIXTURES if i >= 15]
 CTE["fq"] = f"""
 fq AS (

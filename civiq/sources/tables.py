@@ -165,6 +165,15 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(F.col("item_id").alias("question_id"), F.col("text").alias("texto"))
 
 
+def passage_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of every benchmark text (it begins inside a document's
+    text where the document holds the passage), and punctuation."""
+    b = search_queries(spark, sf_dir)
+    half = b.select("question_id", F.expr("substring(texto, 2, int(length(texto) / 2))").alias("texto"))
+    marks = question_fixtures(spark).where(F.col("question_id") >= 15)
+    return half.unionByName(marks.select((-F.col("question_id")).alias("question_id"), "texto"))
+
+
 def question_fixtures(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(QUESTION_FIXTURES, "question_id long, texto string")
 
