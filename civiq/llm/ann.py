@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, runs, ship
+from .common import first_by_hash, materialize, runs, ship
 
 K = 10
 NLIST = 64
@@ -218,8 +218,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not count:
         return empty
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    sample = np.array([r["vec"] for r in sample], np.float64)
+    sample = np.array([r["vec"] for r in first_by_hash(rows, "id", SAMPLE).collect()], np.float64)
     nlist = max(1, min(NLIST, len(sample) // ROWS_PER_LIST))
     model = Model(sample, nlist)
     index = materialize(rows.mapInArrow(_index(spark.sparkContext.broadcast((model, None))), _BLOCK))

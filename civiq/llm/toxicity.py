@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship, values, with_row
+from .common import first_by_hash, materialize, ship, values, with_row
 
 LABELLED = 40_000
 MINED = 2_000
@@ -282,9 +282,8 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     spark = docs.sparkSession
     ship(spark)
     sample = (labels.filter(learn_from & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
-              .orderBy(F.xxhash64("l_id"), "l_id").limit(LABELLED))
-    sample = materialize(sample)
+              .groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
+    sample = materialize(first_by_hash(materialize(sample), "l_id", LABELLED))
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     known = text.join(F.broadcast(sample), F.col("id") == F.col("l_id")).select("text", "label")  # at most LABELLED rows
     voters = Voters(mine(known))
@@ -298,10 +297,11 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
         return read.select("row.*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).drop("l_id")
     cols = np.array([(r[0], r[1], r[2]) for r in sorted(seen)], np.int64)
     model = LabelModel(cols[:, 0], cols[:, 1], cols[:, 2].astype(float), len(voters.names))
-    fit = with_label.filter("label IS NOT NULL").select("votes", "at", "counts", "words", "label", "l_id")
+    cols = ("votes", "at", "counts", "words", "label", "l_id")
+    fit = with_label.filter("label IS NOT NULL").select(*cols)
     if not fit.limit(1).count():
-        fit = with_label.orderBy(F.xxhash64("l_id"), "l_id").limit(LABELLED).select("votes", "at", "counts", "words", F.lit(-1).alias("label"), "l_id")
-    rows = sorted(fit.orderBy(F.xxhash64("l_id"), "l_id").limit(LABELLED).collect(), key=lambda r: (r["l_id"] is None, r["l_id"] or 0, r["votes"], r["at"]))
+        fit = with_label.withColumn("label", F.lit(-1)).select(*cols)
+    rows = sorted(first_by_hash(fit, "l_id", LABELLED).collect(), key=lambda r: (r["l_id"] is None, r["l_id"] or 0, r["votes"], r["at"]))
     post = model.posterior(np.array([r["votes"] for r in rows], np.int64))
     label = np.array([r["label"] for r in rows])
     target = np.where(label >= 0, 0.9 * label + 0.1 * post, post)
