@@ -107,13 +107,15 @@ def release() -> None:
 
 
 class WordHashes(dict):
-    """word (bytes) -> XXH64; emptied when it has grown past its bound."""
+    """word (bytes) -> XXH64; keeps no long words and is emptied when it has
+    grown past its bound."""
 
-    BOUND = 250_000
+    BOUND, LONG = 250_000, 64
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, 42)
-        self[word] = h
+        if len(word) <= self.LONG:
+            self[word] = h
         return h
 
     def trim(self) -> None:

@@ -11,7 +11,8 @@ No piece holds a space after another letter, a line break or a letter outside
 the vocabulary, so words can be segmented apart from each other.
 
 Scale: a map; the vocabulary (a fixed file) is broadcast, and the memory of
-words already segmented is emptied when it reaches CACHE entries.
+words already segmented is emptied when it reaches CACHE entries or 16 letters
+for each.
 
 Defined results: a null text has null ids and decodes to null; an empty text has
 no ids; the letter U+2581 in a text stands for itself and is written as bytes,
@@ -114,11 +115,12 @@ def segment(words: list[str], pieces: Pieces) -> Iterator[tuple[int, ...]]:
 
 class Encoder:
     def __init__(self, pieces: Pieces):
-        self.pieces, self.known = pieces, {}
+        self.pieces, self.known, self.letters = pieces, {}, 0
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        if len(self.known) > CACHE:
+        if len(self.known) > CACHE or self.letters > 16 * CACHE:
             self.known.clear()
+            self.letters = 0
         out: list[np.ndarray | None] = []
         group: list[tuple[int, list[str]]] = []
         size = 0
@@ -126,6 +128,7 @@ class Encoder:
         def flush():
             new = sorted({w for _, words in group for w in words}.difference(self.known))
             self.known.update(zip(new, segment(new, self.pieces), strict=True))
+            self.letters += sum(map(len, new))
             for at, words in group:
                 out[at] = np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
             group.clear()

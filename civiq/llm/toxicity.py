@@ -69,7 +69,8 @@ def units_of(word: str) -> list[str]:
 
 
 class _Units(dict):
-    """word -> values kept for it, made by `make`; emptied past its bound."""
+    """word -> values kept for it, made by `make`; keeps no long words and is
+    emptied past its bound."""
 
     def __init__(self, make):
         self.make = make
@@ -77,7 +78,9 @@ class _Units(dict):
     def __missing__(self, word):
         if len(self) > 200_000:
             self.clear()
-        self[word] = found = self.make(word)
+        found = self.make(word)
+        if len(word) <= 64:
+            self[word] = found
         return found
 
 
