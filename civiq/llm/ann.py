@@ -226,7 +226,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     for r in index.groupBy("center").agg(F.sum(F.octet_length("ids") / 8).alias("n")).collect():  # NLIST rows at most
         sizes[r["center"]] = int(r["n"])
     shared = spark.sparkContext.broadcast((model, sizes))
-    packs = rows.filter(is_query).repartition(F.pmod(F.xxhash64("id"), F.lit(SLOTS))).mapInArrow(_queries(shared, k), _PACK)
+    packs = rows.filter(is_query).repartition("id").mapInArrow(_queries(shared, k), _PACK)
     packs = packs.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
     cells = index.join(packs, ["center", "slot"])
     found = cells.mapInArrow(_cells(shared, k), "query_id long, vec_id long, score double")
