@@ -11,7 +11,8 @@ distances is then measured exactly too.
 Scale: the index is written as Parquet blocks of at most BLOCK rows of one
 centroid, made by a map without a shuffle; queries are packed likewise, per
 centroid they probe, and joined with the blocks in SLOTS parts per centroid, so
-that no centroid is one task. Rotation and centroids (broadcast, NLIST at most)
+that no centroid is one task. A task merges what its blocks give for a query
+before it sends it, packed per group of queries. Rotation and centroids (broadcast, NLIST at most)
 are fitted on a sample of SAMPLE vectors, the first by a hash of their id; every
 vector is indexed.
 
@@ -27,7 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import first_by_hash, materialize, runs, ship
@@ -40,6 +42,7 @@ ROWS_PER_LIST = 200
 PROBED = 1.0
 SAMPLE = 20_000
 BLOCK, PACK = 8192, 1024
+HELD = 1_000_000  # results a task merges before it sends them
 SLOTS = 8
 EPSILON = 2.5
 SEED = 7
@@ -139,7 +142,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 _BLOCK = "center int, slot int, ids binary, vecs binary, codes binary, length binary, own binary"
-_PACK = "center int, q_ids binary, q_vecs binary"
+_PACK = "home int, center int, q_ids binary, q_vecs binary"
 
 
 def _index(shared):
@@ -167,6 +170,7 @@ def _index(shared):
 def _queries(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, sizes = shared.value
+        home = TaskContext.get().partitionId()  # each query is packed by one task
         least = max(1, int(np.ceil(PROBED * len(sizes))))
         for b in batches:
             if not b.num_rows:
@@ -184,17 +188,42 @@ def _queries(shared, k: int):
                 mine = row[center == c]
                 for s in range(0, len(mine), PACK):
                     at = mine[s:s + PACK]
-                    out.append((c, ids[at].tobytes(), q[at].tobytes()))
+                    out.append((home, c, ids[at].tobytes(), q[at].tobytes()))
             cols = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["center", "q_ids", "q_vecs"])
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["home", "center", "q_ids", "q_vecs"])
 
     return run
 
 
+def best(q: np.ndarray, v: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The k nearest of each query among (query, vector, distance), in order,
+    and their ranks from 1."""
+    by = np.lexsort((v, d, q))
+    q, v, d = q[by], v[by], d[by]
+    start = runs(q)
+    rank = np.arange(len(q)) - np.repeat(start, np.diff(np.append(start, len(q))))
+    keep = rank < k
+    return q[keep], v[keep], d[keep], rank[keep] + 1
+
+
+_FOUND = "home int, q binary, v binary, d binary"
+
+
 def _cells(shared, k: int):
+    def packed(held: dict) -> pa.RecordBatch:
+        rows = []
+        for home, parts in sorted(held.items()):
+            q, v, d, _ = best(*map(np.concatenate, zip(*parts, strict=True)), k)
+            rows.append((home, q.tobytes(), v.tobytes(), d.tobytes()))
+        kinds = [pa.int32()] + [pa.binary()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["home", "q", "v", "d"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best of all cells of a task, packed per home of queries."""
         model = shared.value[0]
         d = model.rotation.shape[0]
+        held: dict[int, list] = {}
+        total = 0
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
@@ -203,7 +232,27 @@ def _cells(shared, k: int):
                 codes = np.frombuffer(r["codes"], np.uint8).reshape(len(ids), -1)
                 for s in range(0, len(q), 64):
                     at, to, dist = search_block(model, r["center"], q[s:s + 64], q_ids[s:s + 64], x, ids, codes, np.frombuffer(r["length"]), np.frombuffer(r["own"]), k)
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[s:s + 64][at]), pa.array(ids[to]), pa.array(dist)], ["query_id", "vec_id", "score"])
+                    held.setdefault(r["home"], []).append((q_ids[s:s + 64][at], ids[to], dist))
+                    total += len(at)
+                if total > HELD:
+                    yield packed(held)
+                    held, total = {}, 0
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def _rank(k: int):
+    def run(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k nearest of a home's queries, merged part by part."""
+        top = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        rank = np.zeros(0, np.int64)
+        for b in parts:
+            for r in b.to_pylist():
+                new = (np.frombuffer(r["q"], np.int64), np.frombuffer(r["v"], np.int64), np.frombuffer(r["d"]))
+                *top, rank = best(*(np.concatenate(c) for c in zip(top, new, strict=True)), k)
+        yield pa.RecordBatch.from_arrays([pa.array(top[0]), pa.array(rank.astype(np.int32)), pa.array(top[1]), pa.array(top[2])], ["query_id", "rank", "vec_id", "score"])
 
     return run
 
@@ -229,6 +278,5 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     packs = rows.filter(is_query).repartition("id").mapInArrow(_queries(shared, k), _PACK)
     packs = packs.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
     cells = index.join(packs, ["center", "slot"])
-    found = cells.mapInArrow(_cells(shared, k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = cells.mapInArrow(_cells(shared, k), _FOUND)
+    return found.groupBy("home").applyInArrow(_rank(k), "query_id long, rank int, vec_id long, score double")
