@@ -17,7 +17,8 @@ members already connected are not searched against each other again.
 
 Defined results: a text that is null or has no word has fingerprint zero and
 is linked like any other; rows that repeat an id are kept as rows; a null id is
-never the component id unless the whole component has only null ids.
+never the component id unless the whole component has only null ids. Of each
+component exactly one row is kept, whatever the ids of other components are.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, materialize, runs, ship, unused, values
+from .common import columns, materialize, runs, ship, values, with_row
 from .components import connected
 
 SHINGLE = 4
@@ -243,27 +244,46 @@ def _prints(shingle: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """One row per document: id, fp (signed long), component (smallest id that
-    can be reached by links of at most `limit` differing bits)."""
+def _with_prints(shingle: int):
+    def run(batches):
+        for b in batches:
+            fp = np.array([fingerprint(x, shingle) for x in values(b.column("text"))], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(fp.view(np.int64))], ["row", "fp"])
+
+    return run
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row, and per distinct fp the label (a fingerprint) of
+    its component and the component's smallest id."""
     ship(docs.sparkSession)
     prints = materialize(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_prints(shingle), "id long, fp long"))
     distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
     labels = materialize(connected(links(distinct.select("fp"), limit)))
     members = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = members.groupBy("label").agg(F.min("least").alias("component"))
-    named = members.join(least, "label").select("fp", "component")
+    return prints, members.join(least, "label").select("fp", "label", "component")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
+    """One row per document: id, fp (signed long), component (smallest id that
+    can be reached by links of at most `limit` differing bits)."""
+    prints, named = _grouped(docs, id_col, text_col, shingle, limit)
     return prints.join(named, "fp").select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component (rows
-    without an id only where their component has no id); of rows that repeat
-    an id, the first in the order of all columns stays."""
-    found = near_duplicates(docs, id_col, text_col).filter(F.col("id").eqNullSafe(F.col("component")))
-    key, n = unused(docs, "kept_id"), unused(docs, "kept_rows")
-    kept = found.groupBy(F.col("id").alias(key)).agg(F.count("*").alias(n))
-    joined = docs.join(kept, F.col(id_col).eqNullSafe(F.col(key)))
-    once = joined.filter(F.col(n) == 1).select(*columns(docs))
-    again = joined.filter(F.col(n) > 1).groupBy(key).agg(F.min(F.struct(*columns(docs))).alias("row")).select("row.*")
-    return once.unionByName(again)
+    """One row of `docs` per component: the one with the smallest id (a null id
+    comes last), of several the first in the order of all columns."""
+    prints, named = _grouped(docs, id_col, text_col, SHINGLE, LIMIT)
+    # rows that may stay: their id is the smallest of their own component
+    found = prints.join(named, "fp").filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("id", "fp", "label").count()
+    total = found.groupBy("label").agg(F.sum("count").alias("n"))
+    kept = materialize(found.join(total, "label").select(F.col("id").alias("kept_id"), F.col("fp").alias("kept_fp"), "label", "n"))
+    whole = docs.select(F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"))
+    rows = whole.mapInArrow(_with_prints(SHINGLE), with_row(whole, "fp long"))
+    own = F.col("row")[id_col].cast("long")
+    joined = rows.join(kept, (F.col("fp") == F.col("kept_fp")) & own.eqNullSafe(F.col("kept_id"))).select("row", "label", "n")
+    once = joined.filter("n = 1").select("row")
+    again = joined.filter("n > 1").groupBy("label").agg(F.min("row").alias("row")).select("row")
+    return once.unionByName(again).select("row.*")

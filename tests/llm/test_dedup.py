@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from civiq.llm import components, simhash_dedup, substring_dedup, suffix_dedup
 from civiq.llm.fm_index import prefix_classes, suffix_order
 
-from .data import documents, texts
+from .data import documents, texts, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BIG = (1 << 63) - 1
@@ -117,6 +117,18 @@ def test_simhash_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
 
 
+def test_simhash_keeps_rows_of_unrelated_texts(spark):
+    """Null and repeated ids: every component keeps exactly one row."""
+    import random
+    rng = random.Random(8)
+    a, b, c, d, e, f = (" ".join(words(rng, 60, 9000)) for _ in range(6))
+    rows = [(1, a), (None, a), (None, b), (None, b), (None, c), (5, d), (5, e), (5, a), (9, f), (9, f), (None, "")]
+    kept = [(r.doc_id, r.text) for r in simhash_dedup.keep_one(documents(spark, rows)).collect()]
+    assert order(kept) == order([(1, a), (None, b), (None, c), (5, d), (5, e), (9, f), (None, "")])
+    alone = simhash_dedup.keep_one(documents(spark, [(1, a), (None, a), (None, b)])).collect()
+    assert order((r.doc_id, r.text) for r in alone) == order([(1, a), (None, b)])
+
+
 def slow_windows(rows, width):
     key = lambda i: BIG if i is None else i
     first = {}
