@@ -110,23 +110,25 @@ class Profiles:
         for lang, gram, rank in rows:
             self.ranks[np.searchsorted(self.grams, gram), column[lang]] = rank
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The nearest language and 1 - distance / the largest distance."""
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """The nearest language, 1 - distance / the largest distance, and
+        whether the text has a letter."""
         g, n = counted(list(grams(text)))
         if not len(g) or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, len(g) > 0
         top = g[np.argsort(-n, kind="stable")[:self.profile]]
         at = np.searchsorted(self.grams, top)
         at[self.grams[np.minimum(at, len(self.grams) - 1)] != top] = len(self.grams)
         ranks = self.ranks[at]
         off = np.where(ranks < 0, self.profile, np.abs(ranks - np.arange(len(top))[:, None])).sum(axis=0)
         best = int(off.argmin())
-        return self.langs[best], 1.0 - float(off[best]) / (self.profile * len(top))
+        return self.langs[best], 1.0 - float(off[best]) / (self.profile * len(top)), True
 
 
 def identify(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: str = "lang", profile: int = PROFILE) -> DataFrame:
     """Learn profiles from the rows for which `learn_from` is true, then judge
-    every row by its text alone: row (the whole input row), lang_pred, score."""
+    every row by its text alone: row (the whole input row), lang_pred, score,
+    has_letter (false: `und` for want of a letter, not of profiles)."""
     spark = docs.sparkSession
     ship(spark)
     learned = learn(docs.filter(learn_from).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), profile)
@@ -136,7 +138,7 @@ def identify(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_c
     def run(batches):
         for b in batches:
             found = [shared.value.predict(x) for x in values(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["row", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())], ["row", "lang_pred", "score", "has_letter"])
 
     whole = docs.select(F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"))
-    return whole.mapInArrow(run, with_row(whole, "lang_pred string, score double"))
+    return whole.mapInArrow(run, with_row(whole, "lang_pred string, score double, has_letter boolean"))

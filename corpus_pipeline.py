@@ -16,10 +16,10 @@ from civiq.llm.common import materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (no letter in them) go. Profiles
-    are learned from the labelled documents."""
+    """Documents without a letter go. Profiles are learned from the labelled
+    documents; where there are none, every document with a letter stays."""
     found = language_id.identify(docs, F.col("lang").isNotNull())
-    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
+    return found.filter("has_letter").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

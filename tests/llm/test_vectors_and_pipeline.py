@@ -80,3 +80,14 @@ def test_pipeline_stages(spark, scratch):
     assert all(r.text == third[r.doc_id] == pieces.decode(r.ids) and r.n_ids == len(r.ids) for r in last)
     again = corpus_pipeline.run(spark, scratch)
     assert sorted(map(str, again.collect())) == sorted(map(str, last))
+
+
+def test_pipeline_without_language_labels(spark):
+    rows = [(1, "some words"), (2, "123 !!"), (3, None), (4, "漢字"), (5, "")]
+    docs = documents(spark, rows)
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    letterless = docs.withColumn("lang", F.when(F.col("doc_id") == 2, "en"))
+    for table in (none, letterless):
+        kept = corpus_pipeline.identify_language(spark, table, "")
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
