@@ -5,17 +5,21 @@ from labelled learning rows. A generative model of their votes, fitted by EM ove
 the counts of all vote patterns of the whole table, estimates each voter's
 accuracy in both classes and the correlations between voters (a tree in which a
 voter's vote depends on the class and on one other voter). Its posterior labels
-train a linear classifier on the mined units, which scores every text.
+train a linear classifier on mined units, lexicon words and the fixed voters'
+votes, which scores every text. Given labels serve to mine units and as known
+classes in the EM; the classifier sees posteriors alone.
 
-Scale: texts are read by maps and never shuffled. What reaches the driver is
-bounded by parameters: MINED units, 2**voters vote patterns, and the features of
-at most LABELLED labelled rows (the documented sample the classifier is fitted
-on, the first ones in the order of a hash of the id).
+Scale: texts are read by maps. Of the labels of learning rows the first FITTED by a
+hash of the id are joined with texts (units) and votes (known classes).
+What reaches the driver is bounded by parameters: MINED units, 2**voters vote
+patterns, and the features of at most FITTED learning rows, labelled or not (the
+documented sample the classifier is fitted on, the first ones in the order of a
+hash of the row's id and features).
 
 Defined results: a null or empty text has no unit and no vote and gets the score
 of such a text; labels other than 0 and 1 or without id are ignored; of several
-labels of one id the larger part decides, toxic if equal; without any label the
-fixed voters alone decide.
+labels of one id the larger part decides, toxic if equal; without labels of both
+classes nothing is mined and the fixed voters and lexicon words alone decide.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import first_by_hash, materialize, ship, values, with_row
 
-LABELLED = 40_000
+FITTED = 40_000
 MINED = 2_000
 MINED_VOTERS = 6
 PREFIXES = (5, 6, 7)
@@ -56,6 +60,9 @@ PATTERNS = {
     "exclaiming": r"[!?]{3,}",
 }
 
+#: The first voters: lexicons, "dense", patterns.
+FIXED = len(LEXICONS) + 1 + len(PATTERNS)
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -126,14 +133,16 @@ class Voters:
     """All voters, and the features of the linear classifier."""
 
     def __init__(self, mined: list[tuple[str, float]], groups: int = MINED_VOTERS):
-        self.mined = mined
-        self.index = {u: i for i, (u, _) in enumerate(mined)}
-        self.odds = np.array([o for _, o in mined])
-        self.groups = groups
         self.lexicons = {w: i for i, words in enumerate(LEXICONS.values()) for w in words.split()}
+        strong = {u for u, _ in mined}
+        # lexicon words are units too, without odds where they are not mined
+        units = [*mined, *((w, 0.0) for w in self.lexicons if w not in strong)]
+        self.index = {u: i for i, (u, _) in enumerate(units)}
+        self.odds = np.array([o for _, o in units])
+        self.groups = groups
         self.patterns = [re.compile(p, re.I if k == "address" else 0) for k, p in PATTERNS.items()]
         self.names = [*LEXICONS, "dense", *PATTERNS, *(f"mined_{g}" for g in range(groups))]
-        self.width = len(mined) + 3
+        self.width = len(units) + 3 + FIXED
 
     def _known(self, word: str) -> tuple[int, list[int]]:
         return self.lexicons.get(word, -1), [self.index[u] for u in units_of(word) if u in self.index]
@@ -239,13 +248,14 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(log[0] - log[1], -60, 60)))
 
 
-def features(at, counts, words, odds) -> tuple[np.ndarray, np.ndarray]:
+def features(votes, at, counts, words, odds) -> tuple[np.ndarray, np.ndarray]:
     """Sparse features of a text: (numbers, values)."""
     at, n = np.asarray(at, np.int64), np.asarray(counts, float)
     m = len(odds)
     drawn = float((odds[at] * np.minimum(n, BURST)).sum()) if len(at) else 0.0
     extra = [drawn / math.sqrt(words + 20.0), math.log1p(drawn), drawn / (words + 20.0)]
-    return np.append(at, [m, m + 1, m + 2]), np.append(np.log1p(n), extra)
+    fixed = [m + 3 + k for k in range(FIXED) if votes >> k & 1]
+    return np.concatenate([at, [m, m + 1, m + 2], fixed]).astype(np.int64), np.concatenate([np.log1p(n), extra, np.ones(len(fixed))])
 
 
 def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, width: int, rounds: int = 400, decay: float = 2e-4) -> np.ndarray:
@@ -284,39 +294,41 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     its id column) is true."""
     spark = docs.sparkSession
     ship(spark)
-    sample = (labels.filter(learn_from & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
-    sample = materialize(first_by_hash(materialize(sample), "l_id", LABELLED))
-    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    known = text.join(F.broadcast(sample), F.col("id") == F.col("l_id")).select("text", "label")  # at most LABELLED rows
-    voters = Voters(mine(known))
+    known = materialize(labels.filter(learn_from & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+                        .groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
+    known = materialize(first_by_hash(known, "l_id", FITTED))
+    text = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text"))
+    voters = Voters(mine(text.join(known, "l_id").select("text", "label")))
     shared = spark.sparkContext.broadcast(voters)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("l_id")).alias("row"), F.col(text_col).alias("text"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("l_id"), learn_from.alias("learns")).alias("row"), F.col(text_col).alias("text"))
     schema = with_row(whole, "votes int, at array<int>, counts array<int>, words int")
     read = materialize(whole.mapInArrow(_read_all(shared), schema))
-    with_label = read.withColumn("l_id", F.col("row.l_id")).join(F.broadcast(sample), "l_id", "left")
-    seen = with_label.groupBy("votes", F.coalesce("label", F.lit(-1)).alias("label")).count().collect()  # at most 3 * 2**voters rows
-    if not seen:
-        return read.select("row.*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).drop("l_id")
-    cols = np.array([(r[0], r[1], r[2]) for r in sorted(seen)], np.int64)
+    all_votes = dict(map(tuple, read.groupBy("votes").count().collect()))  # at most 2**voters rows
+    if not all_votes:
+        return read.select(*[F.col("row")[c].alias(c) for c in keep], F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    seen = read.select(F.col("row.l_id").alias("l_id"), "votes").join(known, "l_id").groupBy("votes", "label").count().collect()  # at most 2 * 2**voters rows
+    for votes, _, n in seen:
+        all_votes[votes] -= n
+    cols = np.array(sorted([(v, y, n) for v, y, n in seen] + [(v, -1, n) for v, n in all_votes.items() if n]), np.int64)
     model = LabelModel(cols[:, 0], cols[:, 1], cols[:, 2].astype(float), len(voters.names))
-    cols = ("votes", "at", "counts", "words", "label", "l_id")
-    fit = with_label.filter("label IS NOT NULL").select(*cols)
-    if not fit.limit(1).count():
-        fit = with_label.withColumn("label", F.lit(-1)).select(*cols)
-    rows = sorted(first_by_hash(fit, "l_id", LABELLED).collect(), key=lambda r: (r["l_id"] is None, r["l_id"] or 0, r["votes"], r["at"]))
-    post = model.posterior(np.array([r["votes"] for r in rows], np.int64))
-    label = np.array([r["label"] for r in rows])
-    target = np.where(label >= 0, 0.9 * label + 0.1 * post, post)
-    weights = fit_linear([features(r["at"], r["counts"], r["words"], voters.odds) for r in rows], target, voters.width)
+    names = ("votes", "at", "counts", "words")
+    fit = read.select(F.struct(F.col("row.l_id").alias("l_id"), *names).alias("key"), "row.learns")
+    learning = fit.filter("learns")
+    if not learning.limit(1).count():
+        learning = fit
+    # if equal rows lie beyond the hash cut all together, the first rows in order
+    rows = first_by_hash(learning, "key", FITTED).collect() or learning.orderBy("key").limit(FITTED).collect()
+    rows = sorted((r["key"] for r in rows), key=lambda r: (r["l_id"] is None, r["l_id"] or 0, *(r[c] for c in names)))
+    target = model.posterior(np.array([r["votes"] for r in rows], np.int64))
+    weights = fit_linear([features(*(r[c] for c in names), voters.odds) for r in rows], target, voters.width)
     linear = spark.sparkContext.broadcast((voters.odds, weights))
 
     def judge(batches):
         odds, w = linear.value
         for b in batches:
             out = []
-            for at, counts, words in zip(b.column("at").to_pylist(), b.column("counts").to_pylist(), b.column("words").to_pylist(), strict=True):
-                i, v = features(at, counts, words, odds)
+            for found in zip(*(b.column(c).to_pylist() for c in names), strict=True):
+                i, v = features(*found, odds)
                 out.append(float(1 / (1 + np.exp(-np.clip(v @ w[i] + w[-1], -60, 60)))))
             p = np.array(out, float)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], ["row", "score", "predicted"])

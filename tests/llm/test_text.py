@@ -208,6 +208,50 @@ def test_toxicity(spark):
     assert toxicity.score(docs.filter("false"), labels, ~held).count() == 0
 
 
+def toxic_rows(n, seed=6):
+    """(id, text, toxic): every third text has words of several lexicons."""
+    import random
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        w = [f"word{rng.randrange(300)}" for _ in range(60)]
+        if i % 3 == 0:
+            for k in ("idiot", "pathetic", "scum", "idiot"):
+                w[rng.randrange(60)] = k
+        elif i % 10 == 1:
+            w[0] = "kill"
+        rows.append((i, " ".join(w), int(i % 3 == 0)))
+    return rows
+
+
+@pytest.mark.parametrize("given", [(), (0,), (1,)])
+def test_toxicity_without_labels_of_both_classes(spark, given):
+    rows = toxic_rows(240)
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows if x in given and i % 2], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(documents(spark, [(i, t) for i, t, _ in rows]), labels, F.col("doc_id") % 5 != 0).collect()}
+    assert min(got[i] for i, _, x in rows if x) > max(got[i] for i, _, x in rows if not x)
+
+
+def test_toxicity_classifier_is_fitted_on_posteriors(spark, monkeypatch):
+    """Of all learning rows, labelled or not; its targets are the model's."""
+    seen = {}
+
+    def posterior(self, patterns, real=toxicity.LabelModel.posterior):
+        seen["post"] = real(self, patterns)
+        return seen["post"]
+
+    def fit(rows, target, width, real=toxicity.fit_linear):
+        seen["fit"] = target
+        return real(rows, target, width)
+
+    monkeypatch.setattr(toxicity.LabelModel, "posterior", posterior)
+    monkeypatch.setattr(toxicity, "fit_linear", fit)
+    rows = toxic_rows(240)
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows if i % 4 == 0], "doc_id long, toxic int")
+    toxicity.score(documents(spark, [(i, t) for i, t, _ in rows]), labels, F.col("doc_id") % 5 != 0).count()
+    assert len(seen["fit"]) == 192 and (seen["fit"] == seen["post"]).all()
+
+
 def test_label_model_learns_accuracies():
     rng = np.random.default_rng(2)
     y = rng.random(20000) < 0.2
