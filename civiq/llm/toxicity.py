@@ -9,8 +9,8 @@ train a linear classifier on mined units, lexicon words and the fixed voters'
 votes, which scores every text. Given labels serve to mine units and as known
 classes in the EM; the classifier sees posteriors alone.
 
-Scale: texts are read by maps. Of the labels of learning rows the first FITTED by a
-hash of the id are joined with texts (units) and votes (known classes).
+Scale: texts are read by maps. All labels of learning rows are joined with their
+texts (units) and with the votes (known classes), by a shuffle if they are many.
 What reaches the driver is bounded by parameters: MINED units, 2**voters vote
 patterns, and the features of at most FITTED learning rows, labelled or not (the
 documented sample the classifier is fitted on, the first ones in the order of a
@@ -296,7 +296,6 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     ship(spark)
     known = materialize(labels.filter(learn_from & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
                         .groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
-    known = materialize(first_by_hash(known, "l_id", FITTED))
     text = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text"))
     voters = Voters(mine(text.join(known, "l_id").select("text", "label")))
     shared = spark.sparkContext.broadcast(voters)

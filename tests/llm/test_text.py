@@ -252,6 +252,28 @@ def test_toxicity_classifier_is_fitted_on_posteriors(spark, monkeypatch):
     assert len(seen["fit"]) == 192 and (seen["fit"] == seen["post"]).all()
 
 
+def test_toxicity_mines_all_labels(spark, monkeypatch):
+    """The bound of the classifier's sample does not bound mining or the EM."""
+    seen = {}
+
+    def mine(labelled, real=toxicity.mine):
+        seen["mined"] = labelled.count()
+        return real(labelled)
+
+    def init(self, patterns, label, counts, voters, real=toxicity.LabelModel.__init__):
+        seen["known"] = counts[label >= 0].sum()
+        real(self, patterns, label, counts, voters)
+
+    monkeypatch.setattr(toxicity, "mine", mine)
+    monkeypatch.setattr(toxicity.LabelModel, "__init__", init)
+    monkeypatch.setattr(toxicity, "FITTED", 20)
+    rows = toxic_rows(240)
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows if i % 4], "doc_id long, toxic int")
+    got = toxicity.score(documents(spark, [(i, t) for i, t, _ in rows]), labels, F.col("doc_id") % 5 != 0)
+    assert got.count() == 240
+    assert seen == {"mined": 144, "known": 144}
+
+
 def test_label_model_learns_accuracies():
     rng = np.random.default_rng(2)
     y = rng.random(20000) < 0.2
