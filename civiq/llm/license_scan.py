@@ -2,23 +2,27 @@
 
 Method: texts and templates are normalised (lower case, words of letters and
 digits, spelling variants and copyright lines evened out) and compared as bags
-of word bigrams. A place in a text is a window of as many bigrams as the
-template has. Size bounds prune: the Dice coefficient of bags of sizes a and b is
-at most 2 * min(a, b) / (a + b), and of a window with h bigrams that the template
-knows at most h / size, so a template is compared only where enough of its
-bigrams stand close together, and not at all in texts that are too short.
+of word bigrams. A place in a text is a window of any width. Size bounds prune:
+a window of w bigrams reaches Dice t with a template of m only for w from
+m * t / (2 - t) to m * (2 - t) / t, with as many bigrams that the template knows
+as the least width; so a template is compared only where enough of its bigrams
+stand close together. Windows that begin or end with a bigram that the template
+does not know are worse than their inner part and are not looked at.
 
 Scale: a map; the templates (a fixed list below) travel with the task.
 
 Defined results: a null, empty or short text holds no licence; of overlapping
-places the best, then the longest, then the first is reported; other columns are
+places the best, then the longest, then the first, then that of the smaller
+licence name is reported; other columns are
 carried through untouched.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
+from heapq import heapify, heappop, heappush
 from itertools import repeat
 
 import numpy as np
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, ship, values, with_row
+from .common import columns, runs, ship, values, with_row
 
 THRESHOLD = 0.8
 
@@ -77,6 +81,39 @@ def dice(a: list, b: list) -> float:
     return 2 * sum((Counter(a) & Counter(b)).values()) / (len(a) + len(b))
 
 
+class _Look:
+    """Places of one template in one text."""
+
+    def __init__(self, at: np.ndarray, gram: np.ndarray, own: np.ndarray, size: int, threshold: float):
+        """at, gram: places and numbers of the bigrams that the template has."""
+        self.at, self.size = at, size
+        self.widest = int(size * (2 - threshold) / threshold + 1e-9)
+        # a bigram counts in a window unless the window holds as many of its
+        # kind before it as the template has: place of the first of these
+        order = np.argsort(gram, kind="stable")
+        g = gram[order]
+        start = np.repeat(runs(g), np.diff(np.append(runs(g), len(g))))
+        back = np.arange(len(g)) - own[g]
+        self.full = np.full(len(g), -1)
+        self.full[order] = np.where(back >= start, at[order][np.maximum(back, 0)], -1)
+
+    def starts(self, need: float) -> list[int]:
+        """Those with enough known bigrams in the widest window."""
+        ends = np.searchsorted(self.at, self.at + self.widest)
+        return np.flatnonzero(ends - np.arange(len(self.at)) >= need).tolist()
+
+    def best(self, i: int, free: int) -> tuple[float, int]:
+        """Dice and word after the last of the best window (of several the
+        longest) that begins at start i."""
+        first = int(self.at[i])
+        j = int(np.searchsorted(self.at, min(first + self.widest, free - 1)))
+        if j <= i:
+            return 0.0, 0
+        value = 2 * np.cumsum(self.full[i:j] < first) / (self.size + self.at[i:j] - first + 1)
+        end = len(value) - 1 - int(value[::-1].argmax())
+        return float(value[end]), int(self.at[i + end]) + 2
+
+
 class Scanner:
     def __init__(self, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD):
         self.threshold = threshold
@@ -90,49 +127,64 @@ class Scanner:
         self.base = base
         self.bags = [(name, np.array(ids[:-1], np.int64) * base + np.array(ids[1:], np.int64)) for name, ids in self.templates if len(ids) > 1]
         self.all = np.unique(np.concatenate([g for _, g in self.bags]))
-        self.smallest = min(len(g) for _, g in self.bags)
+        self.own = np.zeros((len(self.bags), len(self.all)), np.int32)  # times a template has a bigram
+        for row, (_, bag) in zip(self.own, self.bags, strict=True):
+            np.add.at(row, np.searchsorted(self.all, bag), 1)
+        self.has = np.ascontiguousarray((self.own > 0).T)
+        self.need = np.array([len(g) for _, g in self.bags]) * threshold / (2 - threshold) - 1e-9
+
+    def _hits(self, gram: np.ndarray) -> np.ndarray:
+        """How many of the known bigrams of a text each template knows."""
+        hits = np.zeros(len(self.bags), np.int64)
+        for at in range(0, len(gram), 1 << 14):
+            hits += self.has[gram[at:at + (1 << 14)]].sum(axis=0)
+        return hits
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(licence, Dice, first word, word after the last) of every place."""
         words = normalised(text)
-        if len(words) <= self.smallest * self.threshold:
+        if len(words) <= self.need.min():
             return []
         ids = np.fromiter(map(self.words.get, words, repeat(0)), np.int64, len(words))
         grams = ids[:-1] * self.base + ids[1:]
-        if np.isin(grams, self.all).sum() < self.threshold * self.smallest:
+        gram = np.searchsorted(self.all, grams)
+        at = np.flatnonzero(self.all[np.minimum(gram, len(self.all) - 1)] == grams)
+        gram = gram[at]
+        if len(at) < self.need.min():
             return []
-        found = []
-        for name, bag in self.bags:
-            size = len(bag)
-            width = min(size, len(grams))
-            if 2 * width < self.threshold * (size + width):
-                continue
-            known = np.append(0, np.cumsum(np.isin(grams, bag)))
-            bound = 2 * (known[width:] - known[:-width]) / (size + width)
-            places = np.flatnonzero(bound >= self.threshold)
-            own = Counter(bag.tolist())
-            best: tuple[float, int] | None = None
-            for p in places.tolist():
-                here = Counter(grams[p:p + width].tolist())
-                value = 2 * sum(min(n, own[g]) for g, n in here.items() if g in own) / (size + width)
-                if value < self.threshold:
-                    continue
-                if best and p >= best[1] + width:
-                    found.append((name, best[0], best[1], best[1] + width + 1))
-                    best = None
-                if not best or value > best[0]:
-                    best = (value, p)
-            if best:
-                found.append((name, best[0], best[1], best[1] + width + 1))
-        # of overlapping places the best, then the longest, stays
-        free = np.ones(len(words) + 1, bool)
+        looks, heap = {}, []
+        for k in np.flatnonzero(self._hits(gram) >= self.need).tolist():
+            mine = self.has[gram, k]
+            looks[k] = look = _Look(at[mine], gram[mine], self.own[k], len(self.bags[k][1]), self.threshold)
+            heap.extend(self._entry(k, look, i, len(words)) for i in look.starts(self.need[k]))
+        heap = [h for h in heap if h]
+        heapify(heap)
+        # of overlapping places the best, then the longest, stays; a place that
+        # runs into a better one is cut before it and measured again
+        taken: list[tuple[int, int]] = []
         kept = []
-        for f in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[2], f[0])):
-            if free[f[2]:f[3]].all():
-                free[f[2]:f[3]] = False
-                kept.append(f)
+        while heap:
+            value, _, first, name, k, i, last = heappop(heap)
+            n = bisect_right(taken, (first, len(words)))
+            if n and taken[n - 1][1] > first:
+                continue
+            free = taken[n][0] if n < len(taken) else len(words)
+            if last > free:
+                again = self._entry(k, looks[k], i, free)
+                if again:
+                    heappush(heap, again)
+                continue
+            taken.insert(n, (first, last))
+            kept.append((name, -value, first, last))
         return sorted(kept, key=lambda f: f[2])
 
+    def _entry(self, k: int, look: _Look, i: int, free: int):
+        """Heap entry of the best place that begins at a start of a template
+        and ends before the word `free`."""
+        value, last = look.best(i, free)
+        first = int(look.at[i])
+        return (-value, first - last, first, self.bags[k][0], k, i, last) if value >= self.threshold else None
+
 
 def scan(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """row (the whole input row) and licenses: array of (license, dice, first,

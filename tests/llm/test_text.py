@@ -208,6 +208,44 @@ def test_toxicity(spark):
     assert toxicity.score(docs.filter("false"), labels, ~held).count() == 0
 
 
+def all_widths(templates, text, threshold):
+    """Places by trying every window of every width."""
+    words = license_scan.normalised(text)
+    grams, found = license_scan.bigrams(words), []
+    for name, parts in templates.items():
+        for t in parts:
+            bag = license_scan.bigrams(license_scan.normalised(t))
+            for p in range(len(grams)):
+                for q in range(p + 1, len(grams) + 1):
+                    value = license_scan.dice(bag, grams[p:q])
+                    if value >= threshold:
+                        found.append((name, value, p, q + 1))
+    kept = []
+    for f in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[2], f[0])):
+        if all(f[3] <= k[2] or f[2] >= k[3] for k in kept):
+            kept.append(f)
+    return sorted(kept, key=lambda f: f[2])
+
+
+def test_license_windows_of_all_widths():
+    import random
+    rng = random.Random(9)
+    longer = license_scan.TEMPLATES["ISC"][0].split()
+    longer[15:15] = [f"inserted{i}" for i in range(10)]
+    found = license_scan.Scanner({"ISC": license_scan.TEMPLATES["ISC"][:1]}).scan("a b c " + " ".join(longer) + " d e")
+    assert [(f[0], f[2], f[3]) for f in found] == [("ISC", 3, 3 + len(license_scan.normalised(" ".join(longer))))] and found[0][1] > 0.8
+    for _ in range(60):
+        templates = {n: [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(4, 14)))] for n in "XYZ"}
+        text = [rng.choice("abcdefgh") for _ in range(12)]
+        for t in (templates["X"][0], templates["Y"][0], templates["X"][0]):
+            w = t.split()
+            w[rng.randrange(len(w)):0] = rng.choices("ghab", k=rng.randrange(3))
+            text += w[rng.randrange(2):] + rng.choices("abgh", k=rng.randrange(4))
+        got = license_scan.Scanner(templates).scan(" ".join(text))
+        want = all_widths(templates, " ".join(text), license_scan.THRESHOLD)
+        assert [(f[0], round(f[1], 12), f[2], f[3]) for f in got] == [(f[0], round(f[1], 12), f[2], f[3]) for f in want]
+
+
 def toxic_rows(n, seed=6):
     """(id, text, toxic): every third text has words of several lexicons."""
     import random
