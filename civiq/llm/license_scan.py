@@ -9,7 +9,7 @@ as the least width; so a template is compared only where enough of its bigrams
 stand close together. Windows that begin or end with a bigram that the template
 does not know are worse than their inner part and are not looked at.
 
-Scale: a map; the templates (a fixed list below) travel with the task.
+Scale: a map; the templates (fixed lists) travel with the task.
 
 Defined results: a null, empty or short text holds no licence; of overlapping
 places the best, then the longest, then the first, then that of the smaller
@@ -31,17 +31,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns, runs, ship, values, with_row
+from .license_texts import WHOLE
 
 THRESHOLD = 0.8
 
-# Licence notices and short licences, by SPDX identifier.
+# Parts that licences share.
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_THIRD = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_DISCLAIMER = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_MIT_DISCLAIMER = "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_ISC_DISCLAIMER = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+_FSF = "as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+
+# Licence notices and licences, by SPDX identifier.
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."],
     "MIT": ["Released under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."],
+    "BSD-2-Clause": [_BSD, f"{_BSD} {_BSD_DISCLAIMER}"],
+    "BSD-3-Clause": [f"{_BSD} {_BSD_THIRD}", f"{_BSD} {_BSD_THIRD} {_BSD_DISCLAIMER}"],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.",
@@ -54,6 +64,40 @@ TEMPLATES = {
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
 }
 
+# Names that stand in the usual short notices. No wording shares so
+# much with another licence's that a third licence's notice reaches the threshold.
+NAMES = {
+    "MIT": ["MIT License"], "ISC": ["ISC License"], "0BSD": ["Zero-Clause BSD License", "BSD Zero Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License"],
+    "Apache-2.0": ["Apache License 2.0"], "MPL-1.1": ["Mozilla Public License 1.1", "Mozilla Public License, version 1.1"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0"], "Unlicense": ["Unlicense License"],
+    "GPL-1.0-or-later": ["GNU General Public License"], "LGPL-2.0-or-later": ["GNU Lesser General Public License"], "AGPL-3.0": ["GNU Affero General Public License"],
+}
+_GNU = {"GPL": ("GNU General Public License", ("1.0", "2.0", "3.0")), "LGPL": ("GNU Lesser General Public License", ("2.1", "3.0")), "AGPL": ("GNU Affero General Public License", ("3.0",))}
+
+
+def _add(name: str, *texts: str) -> None:
+    TEMPLATES.setdefault(name, []).extend(texts)
+
+
+for _name, _known in NAMES.items():
+    _add(_name, *(f"{verb} under the {n}" for n in _known for verb in ("Licensed", "Released", "Distributed")))
+for _short, (_long, _versions) in _GNU.items():
+    for _v in _versions:
+        _n = _v.removesuffix(".0")
+        _add(f"{_short}-{_v}", f"This work is licensed under the {_long}, version {_n}.", f"Licensed under the {_long}, version {_n}", f"Licensed under the {_long} v{_n}.0" if _n in "123" else f"Licensed under the {_long} v{_n}",
+             f"you can redistribute it and/or modify it under the terms of the {_long} {_FSF.format(_n)}")
+_add("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License " + _FSF.format("2"))
+for _short, _long in (("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-NC", "-NonCommercial"), ("BY-ND", "-NoDerivatives"), ("BY-NC-SA", "-NonCommercial-ShareAlike"), ("BY-NC-ND", "-NonCommercial-NoDerivatives")):
+    for _v, _port in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+        _add(f"CC-{_short}-{_v}", f"Licensed under CC {_short} {_v}.", f"This work is licensed under a Creative Commons Attribution{_long} {_v} {_port} License.")
+_add("MIT", TEMPLATES["MIT"][1] + " " + _MIT_DISCLAIMER)
+_add("ISC", TEMPLATES["ISC"][0] + " " + _ISC_DISCLAIMER)
+_add("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + _ISC_DISCLAIMER)
+#: What is searched by default: notices, short licences and whole licences.
+ALL = {n: TEMPLATES.get(n, []) + ([WHOLE[n]] if n in WHOLE else []) for n in {**TEMPLATES, **WHOLE}}
+
 _COPYRIGHT = re.compile(r"^[^\w\n]*(?:copyright\b|\(c\)|©)[^\n]*$", re.I | re.M)
 _WORD = re.compile(r"[^\W_]+")
 # Spelling variants.
@@ -115,7 +159,7 @@ class _Look:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, templates: dict[str, list[str]] = ALL, threshold: float = THRESHOLD):
         self.threshold = threshold
         self.words: dict[str, int] = {}
         self.templates = []

@@ -246,6 +246,28 @@ def test_license_windows_of_all_widths():
         assert [(f[0], round(f[1], 12), f[2], f[3]) for f in got] == [(f[0], round(f[1], 12), f[2], f[3]) for f in want]
 
 
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under the MIT License", ["MIT"]), ("This project is licensed under the MIT license, see LICENSE.", ["MIT"]),
+    ("Distributed under the ISC License", ["ISC"]), ("Released under the BSD 2-Clause License", ["BSD-2-Clause"]), ("licensed under the BSD 3-Clause license", ["BSD-3-Clause"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]), ("Licensed under the GNU Affero General Public License, version 3", ["AGPL-3.0"]),
+    ("This work is licensed under the GNU General Public License, version 1.", ["GPL-1.0"]), ("This work is licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", ["CC-BY-ND-4.0"]), ("licensed under CC BY-NC-SA 4.0", ["CC-BY-NC-SA-4.0"]),
+    ("This project is licensed under the Foo License", []), ("the general public license of the house", []),
+])
+def test_license_wordings(text, want):
+    assert [f[0] for f in license_scan.Scanner().scan("some words before. " + text + "\nand more after")] == want
+
+
+def test_whole_licenses():
+    scanner = license_scan.Scanner()
+    for name, text in license_scan.WHOLE.items():
+        assert [f[0] for f in scanner.scan("before it " + text)] == [name]
+    two = license_scan.TEMPLATES["BSD-2-Clause"][1]
+    assert [f[0] for f in scanner.scan(two)] == ["BSD-2-Clause"]
+    assert [f[0] for f in scanner.scan(license_scan.TEMPLATES["BSD-3-Clause"][1])] == ["BSD-3-Clause"]
+    assert [f[0] for f in scanner.scan(license_scan.TEMPLATES["0BSD"][-1])] == ["0BSD"]
+
+
 def toxic_rows(n, seed=6):
     """(id, text, toxic): every third text has words of several lexicons."""
     import random
