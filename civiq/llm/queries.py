@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, language_id, license_scan, lm_scoring, sentencepiece_codec, simhash_dedup, sql, substring_dedup, suffix_dedup, toxicity
+from . import (ann, conversation_repair, decontaminate, language_id, license_scan, line_quality, lm_scoring, merkle_manifest, sentencepiece_codec, simhash_dedup, sql, substring_dedup,
+               suffix_dedup, toxicity)
 from .common import remainder, table
 
 
@@ -68,6 +69,39 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_quality.judge(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The contract's damage, by crc32 of `conv_id:turn` modulo 20."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    kind = F.crc32(key) % 20
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = conversations.select("conv_id", "turn", F.when(kind == 4, F.lit("user")).otherwise(F.col("role")).alias("role"), text.alias("text"), kind.alias("kind")).filter("kind <> 0")
+    return rows.withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).select("conv_id", "turn", "role", "text")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    cols = [F.col(c) for c in ("conv_id", "turn", "role", "text")]
+    report = conversation_repair.Repair(damaged(conversations), *cols).report()
+    every = conversations.select("conv_id").distinct().withColumn("k", conversation_repair.key(F.col("conv_id")))
+    zeros = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(report, "k", "left").select(
+        "conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    without = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    out = merkle_manifest.prove(docs, F.col("doc_id"), F.col("source"), merkle_manifest.leaf(*fields, F.col("text")), F.when(tampered, merkle_manifest.leaf(*fields, without)))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -79,10 +113,16 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
     "op7_suffix_dedup": sql.OP7,
     "op8_benchmark_decontamination": sql.OP8,
     "op10_substring_dedup": sql.OP10,
+    "op11_quality_rules": sql.OP11,
+    "op12_conversation_repair": sql.OP12,
+    "op13_merkle_manifest": sql.OP13,
 }
