@@ -27,7 +27,8 @@ def slow_fingerprint(text, shingle=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def slow_components(rows, limit):
+def slow_labels(rows, limit):
+    """Fingerprints, and the component (a row's number) of every row."""
     fps = [slow_fingerprint(t) for _, t in rows]
     label = list(range(len(rows)))
 
@@ -41,11 +42,16 @@ def slow_components(rows, limit):
             if (fps[i] ^ fps[j]).bit_count() <= limit:
                 a, b = root(i), root(j)
                 label[max(a, b)] = min(a, b)
+    return fps, [root(k) for k in range(len(rows))]
+
+
+def slow_components(rows, limit):
+    fps, label = slow_labels(rows, limit)
     least = {}
-    for k, (i, _) in enumerate(rows):
+    for k, (i, _) in zip(label, rows, strict=True):
         if i is not None:
-            least[root(k)] = min(i, least.get(root(k), i))
-    return fps, [least.get(root(k)) for k in range(len(rows))]
+            least[k] = min(i, least.get(k, i))
+    return fps, [least.get(k) for k in label]
 
 
 def order(rows):
@@ -109,12 +115,19 @@ def test_gray_index_links_like_brute_force(pairs, monkeypatch):
 
 
 def test_simhash_keeps_one_of_each_group(spark):
+    """Of every component the row with the smallest id, ids repeating or not."""
     rows = texts()
-    _, comps = slow_components(rows, simhash_dedup.LIMIT)
-    want = sorted({c for c in comps if c is not None})
+    _, label = slow_labels(rows, simhash_dedup.LIMIT)
+    _, least = slow_components(rows, simhash_dedup.LIMIT)
+    want = [least[k] for k in set(label)]
     kept = simhash_dedup.keep_one(documents(spark, rows))
     assert kept.columns == documents(spark, rows).columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
+    found = kept.collect()
+    assert order(r.doc_id for r in found) == order(want)
+    place = {}
+    for k, row in zip(label, rows, strict=True):
+        place.setdefault(row, k)
+    assert {place[r.doc_id, r.text] for r in found} == set(label)
 
 
 def test_simhash_keeps_rows_of_unrelated_texts(spark):
