@@ -95,7 +95,9 @@ def learn(docs: DataFrame, profile: int = PROFILE) -> DataFrame:
     counts = docs.filter("lang IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(_count, "lang string, gram long, n long")
     total = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return total.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < profile).select("lang", "gram", "rank")
+    # the limit is on the row number itself, so each map task sends its first rows alone
+    top = total.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= profile)
+    return top.select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 class Profiles:
