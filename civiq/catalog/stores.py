@@ -42,6 +42,40 @@ def csv_scan(spark, sf):
     return CSV.read_reports_csv(spark, f"{base}/*").select(*_RAW)
 
 
+def csv_scan_split(spark, sf):
+    """One file whose comments hold line breaks, commas and quotes, read in
+    sixteen splits."""
+    base = _folder(spark)
+    broken = F.concat(F.coalesce("Comentario", F.lit("")), F.lit('\n"'), F.coalesce("Nombre", F.lit("-")), F.lit('",\r\n""'), F.coalesce("Ciudad", F.lit("-")))
+    comment = F.when(F.col("seq") % 3 != 0, broken).otherwise(F.col("Comentario"))
+    raw = S.raw_reports(spark, sf).withColumn("Comentario", comment)
+    CSV.write_csv(raw.orderBy("seq").select(*_RAW).coalesce(1), base)
+    size = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(base).agg(F.max("length")).head()[0]
+    return CSV.read_reports_csv(spark, base, split_bytes=max(1, size // 16)).select(*_RAW)
+
+
+def _date_styles():
+    """The day's text in each style, one style per file."""
+    y, m, d = (F.substring("fecha_reporte", *at) for at in ((1, 4), (6, 2), (9, 2)))
+    day = F.to_date("fecha_reporte")
+    return [
+        F.concat_ws("-", m, d, y), F.concat_ws("/", d, m, y), F.concat(y, m, d), F.concat_ws(".", y, m, d),
+        F.concat_ws("/", m, d, F.substring(y, 3, 2)), F.date_format(day, "MMM d, yyyy"), F.date_format(day, "d MMMM yyyy"),
+        F.concat("fecha_reporte", F.lit(" 10:30 AM")), F.concat("fecha_reporte", F.lit("T10:30:00Z")),
+        F.concat_ws("-", d, m, F.substring(y, 3, 2)), F.concat_ws("/", m, d, y)]
+
+
+def clean_date_styles(spark, sf):
+    """The reports dealt over files, each with a date style of its own."""
+    base, reports = _folder(spark), S.reports(spark, sf)
+    styles = _date_styles()
+    for i, style in enumerate(styles):
+        own = reports.where(F.col("id") % len(styles) == i)
+        CSV.write_csv(own.select(F.col("id").cast("string").alias("ID"), style.alias("Fecha del reporte")).coalesce(1), f"{base}/style{i}")
+    raw = C.with_date_style(CSV.read_reports_csv(spark, f"{base}/*"))
+    return C.normalize_fecha(C.trim_strings(C.rename_columns(raw))).select(F.col("id").cast("long").alias("id"), "fecha_reporte")
+
+
 def csv_round_trip(spark, sf):
     base, reports = _folder(spark), S.reports(spark, sf)
     CSV.write_csv(reports.select(*REPORT_COLUMNS), base)
@@ -89,6 +123,13 @@ def store_presence(spark, sf):
 
 
 register("csv_scan", chain("r0", "SELECT " + ", ".join(f'"{c}"' for c in _RAW) + " FROM r0"))(csv_scan)
+_BREAKS = """'
+"' || coalesce("Nombre", '-') || '",' || chr(13) || '
+""' || coalesce("Ciudad", '-')"""
+register("csv_scan_split", O.with_(["v_raw_reports", "broken AS (SELECT * REPLACE (CASE WHEN seq % 3 <> 0 THEN coalesce(\"Comentario\", '') || "
+                                    + _BREAKS + ' ELSE "Comentario" END AS "Comentario") FROM v_raw_reports)'],
+                                   "SELECT " + ", ".join(f'{O.na(chr(34) + c + chr(34))} AS "{c}"' for c in _RAW) + " FROM broken"))(csv_scan_split)
+register("clean_date_styles", O.with_(["v_reports"], "SELECT id, fecha_reporte FROM v_reports"))(clean_date_styles)
 register("csv_round_trip", O.with_(["v_reports"], f"SELECT {_COLS} FROM v_reports"))(csv_round_trip)
 register("table_round_trip", O.with_(["v_reports"], f"SELECT {_COLS} FROM v_reports"))(table_round_trip)
 register("upsert_tables", O.with_(["v_reports"], f"""

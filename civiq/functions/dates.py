@@ -5,21 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import DATE_FORMATS, DATE_REWRITES
+from ..schema import DATE_DAY, DATE_DAY_MONTH, DATE_DIGITS, DATE_MONTH_FIRST, DATE_TIME, DATE_YEAR_FIRST, DATE_YEAR_LAST, MONTHS_SHORT
 from .text import col_
 
 
-def parse_date_iso(c: Column | str, formats: list[str] | None = None) -> Column:
-    """Rewrite the date styles to one, parse with an ordered format list (first
-    match wins), truncate to the day and format as ``yyyy-MM-dd``; unparseable
-    text becomes null. With own ``formats`` the text is parsed as it is."""
+def day_first_votes(c: Column | str) -> tuple[Column, Column]:
+    """Whether a cell can be read with the day first, and with the month first
+    (only cells whose year stands last can)."""
     x = col_(c)
-    if formats is None:
-        for pattern, form in DATE_REWRITES:
-            x = F.regexp_replace(x, pattern, form)
-    tries = [F.try_to_timestamp(x, F.lit(f)) for f in formats or DATE_FORMATS]
-    ts = F.coalesce(*tries) if len(tries) > 1 else tries[0]
-    return F.date_format(F.to_date(ts), "yyyy-MM-dd")
+    fits = x.rlike(DATE_YEAR_LAST + DATE_TIME + "$")
+    a, b = (F.when(fits, F.regexp_extract(x, DATE_YEAR_LAST, i)).cast("int") for i in (1, 3))
+    return F.coalesce(a.between(1, 31) & b.between(1, 12), F.lit(False)), F.coalesce(a.between(1, 12) & b.between(1, 31), F.lit(False))
+
+
+def parse_date_iso(c: Column | str, formats: list[str] | None = None, day_first: Column | None = None) -> Column:
+    """The day of a date as ``yyyy-MM-dd``; unparseable text becomes null. With
+    own ``formats`` the text is parsed with these (first match wins). Otherwise
+    every known style is read: the year first (with ``-``, ``/``, ``.`` or
+    nothing between), the year last (``day_first`` says which number is the day;
+    the month comes first without it; of a two-digit year 69-99 are 19xx), and
+    English month names; a time of 24 or 12 hours and a zone may follow.
+
+    Each style is one replacement that leaves all other texts alone, so that the
+    column is evaluated once; the plain form passes them all by."""
+    x = col_(c)
+    if formats is not None:
+        tries = [F.try_to_timestamp(x, F.lit(f)) for f in formats]
+        return F.date_format(F.to_date(F.coalesce(*tries) if len(tries) > 1 else tries[0]), "yyyy-MM-dd")
+
+    def rewritten(month: int, day: int) -> Column:
+        y = x
+        for year, century in ((r"(\d{4})", ""), (r"((?:69|[7-9]\d))", "19"), (r"(\d{2})", "20")):
+            y = F.regexp_replace(y, DATE_DAY + year + DATE_TIME + "$", f"{century}$4-${month}-${day}")
+        return y
+
+    y = rewritten(1, 3) if day_first is None else F.when(day_first, rewritten(3, 1)).otherwise(rewritten(1, 3))
+    y = F.regexp_replace(y, DATE_YEAR_FIRST + DATE_TIME + "$", "$1-$3-$4")
+    y = F.regexp_replace(y, DATE_DIGITS + DATE_TIME + "$", "$1-$2-$3")
+    # the month's name is looked for at its place in the row of short names
+    words = F.regexp_replace(F.lower(x), DATE_DAY_MONTH + DATE_TIME + "$", "$2 $1 $3")
+    words = F.regexp_replace(words, DATE_MONTH_FIRST + DATE_TIME + "$", "$3-$1-$2")
+    month = ((F.instr(F.lit(MONTHS_SHORT), F.substring(words, 6, 3)) + 2) / 3).cast("int").cast("string")
+    named = F.concat_ws("-", F.substring(words, 1, 4), month, F.regexp_extract(words, r"-(\d{1,2})$", 1))
+    text = F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}$"), x).when(x.rlike("[A-Za-z]{3}"), named).otherwise(y)
+    # a cast alone would let anything follow the day
+    return F.regexp_extract(text, r"^\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date").cast("string")
 
 
 def month_key(c: Column | str) -> Column:

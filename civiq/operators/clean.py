@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import parse_date_iso
+from ..functions.dates import day_first_votes, parse_date_iso
 from ..functions.numeric import to_flag, to_int_half_even, to_long
 from ..functions.text import strip_ws
 from ..schema import (
@@ -28,6 +28,8 @@ from ..schema import (
 )
 
 SEQ = "seq"
+#: Whether the dates of a row's file are written with the day first.
+DAY_FIRST = "_day_first"
 
 
 def _string_cols(df: DataFrame, skip: tuple[str, ...] = (SEQ,)) -> list[str]:
@@ -66,9 +68,30 @@ def clean_comment_nulls(df: DataFrame) -> DataFrame:
 
 # One expression per rule; the single-rule operators and the pipeline share them.
 
-def fecha_expr() -> Column:
-    """Parse with the ordered format list, keep the day as ISO text."""
-    return parse_date_iso("fecha_reporte")
+def fecha_expr(day_first: Column | None = None) -> Column:
+    """Parse the known styles, keep the day as ISO text."""
+    return parse_date_iso("fecha_reporte", day_first=day_first)
+
+
+def day_first_files(raw: DataFrame, date_col: str = "Fecha del reporte") -> DataFrame:
+    """B4, the style of a column: (file, _day_first) of the files whose dates are
+    read with the day first. Every cell that can be read one way or the other
+    votes; a 13th month shows which way is wrong; of equal votes the month comes
+    first. One aggregate, a row per file."""
+    day, month = day_first_votes(strip_ws(date_col))
+    votes = raw.groupBy(F.col(f"{SEQ}.file").alias("file")).agg(F.count_if(day).alias("day"), F.count_if(month).alias("month"))
+    return votes.where("day > month").select("file", F.lit(True).alias(DAY_FIRST))
+
+
+def with_date_style(raw: DataFrame, date_col: str = "Fecha del reporte") -> DataFrame:
+    """Raw rows with the style of their file's dates. The broadcast table has a
+    row per file at most, fewer than the file list that the driver plans with."""
+    if date_col not in raw.columns:
+        return raw
+    file = F.col(f"{SEQ}.file")
+    winners = day_first_files(raw, date_col).withColumnRenamed("file", "_file")
+    return (raw.join(F.broadcast(winners), file == F.col("_file"), "left").drop("_file")
+            .withColumn(DAY_FIRST, F.coalesce(DAY_FIRST, F.lit(False))))
 
 
 def edad_expr() -> Column:
@@ -96,8 +119,8 @@ def urgente_expr() -> Column:
 
 
 def normalize_fecha(df: DataFrame) -> DataFrame:
-    """B4 on a table."""
-    return df.withColumn("fecha_reporte", fecha_expr())
+    """B4 on a table (with the style of each row's file, if that is known)."""
+    return df.withColumn("fecha_reporte", fecha_expr(F.col(DAY_FIRST) if DAY_FIRST in df.columns else None))
 
 
 def normalize_edad(df: DataFrame) -> DataFrame:
@@ -125,14 +148,14 @@ def normalized(df: DataFrame) -> DataFrame:
     with null where a value is missing or cannot be read."""
     df = clean_comment_nulls(trim_strings(rename_columns(df)))
     out = df.select(
-        *[c for c in df.columns if c not in REPORT_COLUMNS],
+        *[c for c in df.columns if c not in (*REPORT_COLUMNS, DAY_FIRST)],
         to_long("id").alias("id"),
         "nombre",
         edad_expr().alias("edad"),
         genero_expr().alias("genero"),
         "ciudad", "comentario", "categoria_problema", "nivel_urgencia",
         urgente_expr().alias("urgente"),
-        fecha_expr().alias("fecha_reporte"),
+        fecha_expr(F.col(DAY_FIRST) if DAY_FIRST in df.columns else None).alias("fecha_reporte"),
         *[to_flag(c).alias(c) for c in FLAG_COLUMNS],
     )
     valid = F.col("id").isNotNull() & F.col("urgente").isNotNull()

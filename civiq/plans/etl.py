@@ -3,7 +3,8 @@
 Steps (each a distributed write; a written table is re-read for the next
 step, so lineage is cut and a lost executor recomputes from files):
 
-1. A1  read the raw CSV (all text, NA markers -> null, arrival order).
+1. A1  read the raw CSV (all text, NA markers -> null, arrival order) and vote
+       on the date style of every file (B4).
 2. B11 clean, validate and de-duplicate.
 3. A4  write the report table beside the old one, check NOT NULL, replace it.
 4. A2  write the clean CSV beside it; A3 read it back and compare counts.
@@ -19,7 +20,7 @@ import uuid
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import transform
+from ..operators.clean import transform, with_date_style
 from ..operators.index import TextIndex
 from ..session import replace_folder
 from ..sources.csv import read_reports_csv, verify_written, write_csv
@@ -35,7 +36,7 @@ def run_etl(spark: SparkSession, input_path: str, out_dir: str,
     # A10 and the NOT NULL check are observed while the clean table is written:
     # one pass over the CSV. The target is replaced only after the check.
     seen, made = Observation("source"), Observation("clean")
-    raw = read_reports_csv(spark, input_path).observe(seen, F.count(F.lit(1)).alias("rows"))
+    raw = with_date_style(read_reports_csv(spark, input_path)).observe(seen, F.count(F.lit(1)).alias("rows"))
     clean = transform(raw)
     clean = clean.observe(made, F.count(F.lit(1)).alias("rows"), *[
         F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in clean.columns])

@@ -65,15 +65,17 @@ COMMENT_NULL_MARKERS = ["", "nan", "none", "null"]
 # Flag columns that must hold 0 or 1.
 FLAG_COLUMNS = ["acceso_internet", "atencion_previa_gobierno", "zona_rural"]
 
-# Date styles: rewritten in order to one form, then read with the format list
-# (first match wins). Day and month may have one digit, a time may follow after
-# a space or a T, with or without seconds and fractions.
-DATE_REWRITES = [
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
-    (r"^(\d{4}-\d{1,2}-\d{1,2})T", "$1 "),
-]
-DATE_FORMATS = ["yyyy-M-d[ H:m[:s][.SSSSSSSSS]]"]
+# Date styles (patterns of the day), and the time and zone that may follow.
+DATE_YEAR_FIRST = r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})"
+DATE_DAY = r"^(\d{1,2})([-/.])(\d{1,2})\2"
+DATE_YEAR_LAST = DATE_DAY + r"(\d{4}|\d{2})"
+DATE_DIGITS = r"^(\d{4})(\d{2})(\d{2})"
+_MONTH = r"(jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august|sep|september|oct|october|nov|november|dec|december)"
+DATE_MONTH_FIRST = rf"^{_MONTH}[ -](\d{{1,2}}),?[ -](\d{{4}})"
+DATE_DAY_MONTH = rf"^(\d{{1,2}})[ -]{_MONTH},?[ -](\d{{4}})"
+DATE_TIME = (r"(?:[ Tt](?:(?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d{1,9})?)?"
+             r"|(?:0?[1-9]|1[0-2]):[0-5]\d(?::[0-5]\d(?:\.\d{1,9})?)? ?[AaPp][Mm])(?:[Zz]| ?[+-]\d{2}:?\d{2})?)?")
+MONTHS_SHORT = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 # Numeric columns of the correlation matrix, in order.
 CORRELATION_COLUMNS = [

@@ -1,48 +1,145 @@
-"""CSV source of raw reports (A1) and file sinks (A2, A3)."""
+"""CSV source of raw reports (A1) and file sinks (A2, A3).
+
+Reading splits files of any size, also where quoted values hold line breaks. The
+parity of the quotes before a line says whether the line starts inside a quoted
+value: quotes are counted per split (one row each), a running sum over the splits
+of a file gives the parity at which each split starts, and inside a split a
+running sum over its lines says where its records start. A split cuts its own
+records; only the piece of a record that a split's edge breaks (two per split at
+most) meets its other pieces. Records are parsed after that, each on its own.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+import csv as stdlib_csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.clean import SEQ, mark_na
+from ..schema import COLUMN_RENAME_MAP
+from ..session import materialize
+
+_PLACE = ["file", "block"]
+_SEQ_TYPE = "struct<file: string, block: bigint, row: bigint>"
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, row, value): every line with its place (row grows inside a
+    split); a carriage return at its end stays."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value")
+
+
+def _quotes(value: str) -> Column:
+    return F.length(value) - F.length(F.replace(F.col(value), F.lit('"'), F.lit("")))
+
+
+def _names(header: str) -> list[str]:
+    """Column names of a header line; a name that repeats gets a number."""
+    names: list[str] = []
+    for name in next(stdlib_csv.reader([header])):
+        n, new = 0, name
+        while new in names:
+            n, new = n + 1, f"{name}.{n + 1}"
+        names.append(new)
+    return names
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """One row per split: the parity that it starts with, the file's header line,
+    and the last split before it in which a record starts."""
+    counted = materialize(lines.groupBy(*_PLACE).agg(
+        F.sum(_quotes("value")).alias("quotes"), F.min_by("value", "row").alias("first")))
+    before = Window.partitionBy("file").orderBy("block")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    return counted.select(
+        *_PLACE, (F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).alias("parity"),
+        F.regexp_replace(F.first("first").over(before), "\r$", "").alias("header"))
 
 
-def _reader(spark: SparkSession, multiline: bool):
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("multiLine", multiline).option("escape", '"').option("encoding", "UTF-8"))
+def _placed(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """Lines with what is known of their split. Both passes must cut the files
+    alike; a line of an unknown split ends the job."""
+    same = F.coalesce("parity", F.raise_error(F.lit("the files were split anew between two passes")).cast("long"))
+    return lines.join(splits, _PLACE, "left").withColumn("parity", same)
 
 
-def _files_by_header(spark: SparkSession, path: str, multiline: bool) -> dict[tuple, list[str]]:
-    """Files of a folder by their header, read by name (one header per file)."""
-    groups: dict[tuple, list[str]] = {}
-    for f in sorted(_reader(spark, multiline).csv(path).inputFiles()):
-        groups.setdefault(tuple(_reader(spark, multiline).csv(f).columns), []).append(f)
-    return groups
+def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """(file, block, row, header, record): all records but the headers, at the
+    place of their first line."""
+    inside = Window.partitionBy(*_PLACE).orderBy("row")
+    to_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = _placed(lines, splits).withColumn("own", _quotes("value"))
+    # the parity behind a line; with its own quotes that before it
+    behind = (F.col("parity") + F.sum("own").over(to_here)) % 2
+    cut = placed.withColumn("behind", behind).withColumn("number", F.row_number().over(inside))
+    cut = cut.where((F.col("block") > 0) | (F.col("number") > 1)).withColumn("starts", (F.col("behind") + F.col("own")) % 2 == 0)
+    cut = cut.withColumn("start", F.last(F.when(F.col("starts"), F.col("row")), ignorenulls=True).over(to_here))
+    lines_in_order = F.sort_array(F.collect_list(F.struct("row", "value")))
+    pieces = cut.groupBy(*_PLACE, "header", "start").agg(
+        F.array_join(F.transform(lines_in_order, lambda x: x["value"]), "\n").alias("piece"),
+        (F.max_by("behind", "row") == 1).alias("open"), F.min("row").alias("row"))
+    whole = pieces.where(F.col("start").isNotNull() & ~F.col("open")).select(*_PLACE, "row", "header", F.col("piece").alias("record"))
+    # pieces at the edges of splits: a head has no start, a tail is left open
+    broken = pieces.where(F.col("start").isNull() | F.col("open"))
+    order = Window.partitionBy("file").orderBy(*_PLACE, "row")
+    at = F.last(F.when(F.col("start").isNotNull(), F.struct("block", "row")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = broken.withColumn("at", at).groupBy("file", "header", "at").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "row", "piece"))), lambda x: x["piece"]), "\n").alias("record"))
+    both = whole.unionByName(joined.select("file", "at.block", "at.row", "header", "record"))
+    record = F.regexp_replace("record", "\r$", "")
+    both = both.withColumn("record", record).where(F.trim("record") != "")
+    first = Window.partitionBy("file").orderBy("block", "row")
+    del first
+    return both
 
 
-def read_reports_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def _parsed(records: DataFrame, headers: list[str]) -> DataFrame:
+    """Records as columns, by the names of their own file's header."""
+    names: list[str] = []
+    for h in headers:
+        names += [n for n in _names(h) if n not in names]
+    options = {"escape": '"', "mode": "PERMISSIVE"}
+    fields = []
+    for h in headers:
+        own = _names(h)
+        value = F.from_csv(F.col("record"), ", ".join(f"`{n.replace('`', '``')}` STRING" for n in own), options)
+        row = F.struct(*[(value[n] if n in own else F.lit(None).cast("string")).alias(n) for n in names])
+        fields.append(F.when(F.col("header") == h, row))
+    seq = F.struct("file", "block", "row").alias(SEQ)
+    return records.select(F.coalesce(*fields).alias("_v"), seq).select(*[F.col("_v")[n].alias(n) for n in names], SEQ)
+def read_reports_csv(spark: SparkSession, path: str, multiline: bool = True, split_bytes: int | None = None) -> DataFrame:
     """Read raw report CSV: UTF-8, header, every column as text, matched by
     header name in every file (files may order their columns differently; a
     column that a file lacks is null), NA markers -> null, plus a ``seq``
     arrival order (file, block, row) for first/last-row-wins rules.
 
-    ``multiline`` allows quoted line breaks; such a file is one task. Without
-    it large files are split."""
-    parts = []
-    for files in _files_by_header(spark, path, multiline).values():
-        df = _reader(spark, multiline).csv(files)
-        parts.append(df.select(
-            *[F.col(f"`{c}`") for c in df.columns],
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias(SEQ),
-        ))
-    return mark_na(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
+    Files are split, also where quoted values hold line breaks (doubled quotes
+    are allowed; a quote inside an unquoted value is not, as everywhere in the
+    format). ``multiline=False`` takes every line as a record and skips that
+    work. All headers are read in one job; a header is one line. The cut records
+    are written once, so later passes need not cut again. ``split_bytes`` sets
+    the size of the splits. A folder without files gives an empty table of the
+    known columns."""
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    if split_bytes:
+        spark.conf.set(size, str(split_bytes))
+    try:
+        lines = _lines(spark, path)
+        splits = materialize(_splits(lines))
+        headers = sorted(r[0] for r in splits.where("header IS NOT NULL").select("header").distinct().collect())
+        if any(h.count('"') % 2 for h in headers):
+            raise ValueError("a CSV header holds a line break")
+        records = materialize((_records if multiline else _single_lines)(lines, splits))
+    finally:
+        spark.conf.set(size, before)
+    if not headers:
+        return spark.createDataFrame([], T.StructType([*[T.StructField(n, T.StringType()) for n in COLUMN_RENAME_MAP], *T.StructType.fromDDL(f"{SEQ} {_SEQ_TYPE}").fields]))
+    return mark_na(_parsed(records, headers))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
