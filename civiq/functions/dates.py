@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import DATE_DAY, DATE_DAY_MONTH, DATE_DIGITS, DATE_MONTH_FIRST, DATE_TIME, DATE_YEAR_FIRST, DATE_YEAR_LAST, MONTHS_SHORT
+from ..schema import DATE_DAY_MONTH, DATE_DIGITS, DATE_MONTH_FIRST, DATE_TIME, DATE_YEAR_FIRST, DATE_YEAR_LAST, MONTHS_SHORT
 from .text import col_
 
 
@@ -26,28 +26,29 @@ def parse_date_iso(c: Column | str, formats: list[str] | None = None, day_first:
     the month comes first without it; of a two-digit year 69-99 are 19xx), and
     English month names; a time of 24 or 12 hours and a zone may follow.
 
-    Each style is one replacement that leaves all other texts alone, so that the
-    column is evaluated once; the plain form passes them all by."""
+    The shape of a text decides which style it is tried as, so that each text
+    meets one long pattern at most; the plain form meets none."""
     x = col_(c)
     if formats is not None:
         tries = [F.try_to_timestamp(x, F.lit(f)) for f in formats]
         return F.date_format(F.to_date(F.coalesce(*tries) if len(tries) > 1 else tries[0]), "yyyy-MM-dd")
 
-    def rewritten(month: int, day: int) -> Column:
-        y = x
-        for year, century in ((r"(\d{4})", ""), (r"((?:69|[7-9]\d))", "19"), (r"(\d{2})", "20")):
-            y = F.regexp_replace(y, DATE_DAY + year + DATE_TIME + "$", f"{century}$4-${month}-${day}")
-        return y
-
-    y = rewritten(1, 3) if day_first is None else F.when(day_first, rewritten(3, 1)).otherwise(rewritten(1, 3))
-    y = F.regexp_replace(y, DATE_YEAR_FIRST + DATE_TIME + "$", "$1-$3-$4")
-    y = F.regexp_replace(y, DATE_DIGITS + DATE_TIME + "$", "$1-$2-$3")
+    # the year last: its century is put before two digits
+    numbers = DATE_YEAR_LAST + DATE_TIME + "$"
+    y = F.regexp_replace(x, numbers, "$4-$1-$3")
+    if day_first is not None:
+        y = F.when(day_first, F.regexp_replace(x, numbers, "$4-$3-$1")).otherwise(y)
+    last = F.when(F.substring(y, 3, 1) != "-", y).otherwise(F.concat(F.when(y >= "69", F.lit("19")).otherwise(F.lit("20")), y))
     # the month's name is looked for at its place in the row of short names
     words = F.regexp_replace(F.lower(x), DATE_DAY_MONTH + DATE_TIME + "$", "$2 $1 $3")
     words = F.regexp_replace(words, DATE_MONTH_FIRST + DATE_TIME + "$", "$3-$1-$2")
     month = ((F.instr(F.lit(MONTHS_SHORT), F.substring(words, 6, 3)) + 2) / 3).cast("int").cast("string")
     named = F.concat_ws("-", F.substring(words, 1, 4), month, F.regexp_extract(words, r"-(\d{1,2})$", 1))
-    text = F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}$"), x).when(x.rlike("[A-Za-z]{3}"), named).otherwise(y)
+    text = (F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}$"), x)
+            .when(x.rlike(r"^\d{4}[-/.]"), F.regexp_replace(x, DATE_YEAR_FIRST + DATE_TIME + "$", "$1-$3-$4"))
+            .when(x.rlike("[A-Za-z]{3}"), named)
+            .when(x.rlike(r"^\d{8}"), F.regexp_replace(x, DATE_DIGITS + DATE_TIME + "$", "$1-$2-$3"))
+            .otherwise(last))
     # a cast alone would let anything follow the day
     return F.regexp_extract(text, r"^\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date").cast("string")
 

@@ -67,8 +67,7 @@ FLAG_COLUMNS = ["acceso_internet", "atencion_previa_gobierno", "zona_rural"]
 
 # Date styles (patterns of the day), and the time and zone that may follow.
 DATE_YEAR_FIRST = r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})"
-DATE_DAY = r"^(\d{1,2})([-/.])(\d{1,2})\2"
-DATE_YEAR_LAST = DATE_DAY + r"(\d{4}|\d{2})"
+DATE_YEAR_LAST = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4}|\d{2})"
 DATE_DIGITS = r"^(\d{4})(\d{2})(\d{2})"
 _MONTH = r"(jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august|sep|september|oct|october|nov|november|dec|december)"
 DATE_MONTH_FIRST = rf"^{_MONTH}[ -](\d{{1,2}}),?[ -](\d{{4}})"

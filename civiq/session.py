@@ -100,10 +100,24 @@ def drop_materialized(spark: SparkSession) -> int:
 
 
 def replace_folder(spark: SparkSession, new: str, target: str) -> None:
-    """Put a finished folder in the place of another one."""
+    """Put a finished folder in the place of another one. The old one is moved
+    aside first and deleted last, so that it can be moved back if the new one
+    cannot be moved in."""
     fs, p = _file_system(spark, target)
-    source = spark._jvm.org.apache.hadoop.fs.Path(new)
-    if fs.exists(p):
-        fs.delete(p, True)
-    if not fs.rename(source, p):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old = path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex}")
+    there = fs.exists(p)
+    if not fs.exists(path(new)):
+        raise RuntimeError(f"there is no {new} to move to {target}")
+    if there and not fs.rename(p, old):
+        raise RuntimeError(f"could not move {target} aside")
+    try:
+        moved = fs.rename(path(new), p)
+    except Exception:
+        moved = False
+    if not moved:
+        if there:
+            fs.rename(old, p)
         raise RuntimeError(f"could not move {new} to {target}")
+    if there:
+        fs.delete(old, True)

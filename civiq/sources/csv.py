@@ -90,11 +90,18 @@ def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     joined = broken.withColumn("at", at).groupBy("file", "header", "at").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "row", "piece"))), lambda x: x["piece"]), "\n").alias("record"))
     both = whole.unionByName(joined.select("file", "at.block", "at.row", "header", "record"))
-    record = F.regexp_replace("record", "\r$", "")
-    both = both.withColumn("record", record).where(F.trim("record") != "")
-    first = Window.partitionBy("file").orderBy("block", "row")
-    del first
-    return both
+    return _unended(both)
+
+
+def _unended(records: DataFrame) -> DataFrame:
+    """Records without the carriage return at their end; blank lines go."""
+    return records.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.trim("record") != "")
+
+
+def _single_lines(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """Every line but the headers as a record."""
+    placed = _placed(lines, splits).withColumn("number", F.row_number().over(Window.partitionBy(*_PLACE).orderBy("row")))
+    return _unended(placed.where((F.col("block") > 0) | (F.col("number") > 1)).select(*_PLACE, "row", "header", F.col("value").alias("record")))
 
 
 def _parsed(records: DataFrame, headers: list[str]) -> DataFrame:
