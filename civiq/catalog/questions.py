@@ -15,7 +15,7 @@ from ..functions.text import WORD_CLASS
 from ..operators import index as IX
 from ..operators import prompts as PR
 from ..operators import search as SE
-from ..operators.questions import QuestionStats, parse_questions
+from ..operators.questions import QuestionStats, parse_questions, totals_in_windows
 from ..schema import (
     CATEGORY_WORD,
     CITY_WORD,
@@ -33,6 +33,7 @@ from ..schema import (
     URGENT_WORDS,
 )
 from ..sources import tables as S
+from ..sources.tables import CONVERSATION_ID_BASE
 from . import register
 from .search import context_line, index_ctes, like_ctes, match_ctes, topk_cte
 
@@ -157,6 +158,19 @@ SELECT a.question_id, a.fecha_desde, a.fecha_hasta, coalesce(b.n, 0) AS total,
        coalesce(b.nu, 0) AS total_urgentes
 FROM qp a LEFT JOIN wtot b ON {WIN}""", WINDOWS))(lambda spark, sf: _qs(spark, sf).totals())
 
+_DAY = "format('{{}}-{{:02d}}-{{:02d}}', {x} % 8 + 1992, {x} % 13 + 1, {x} % 31 + 1)"
+register("question_totals_days", O.with_(["v_reports", f"""dw AS (
+  SELECT question_id, CASE WHEN i % 11 = 0 THEN NULL WHEN i % 11 = 1 THEN '' ELSE {_DAY.format(x='i')} END AS f_fecha_desde,
+    CASE WHEN j % 9 = 0 THEN NULL ELSE {_DAY.format(x='j')} END AS f_fecha_hasta
+  FROM (SELECT (conv_id + 1) * {CONVERSATION_ID_BASE} + turn AS question_id, conv_id * 37 + turn * 101 AS i, conv_id * 53 + turn * 7 AS j FROM conversations))""",
+    """dd AS (SELECT fecha_reporte AS f, count(*) AS n, count_if(urgente = 1) AS nu FROM v_reports GROUP BY 1)"""], """
+SELECT question_id, f_fecha_desde, f_fecha_hasta, CAST(coalesce(sum(n), 0) AS BIGINT) AS total, CAST(coalesce(sum(nu), 0) AS BIGINT) AS total_urgentes
+FROM dw LEFT JOIN dd ON (coalesce(f_fecha_desde, '') = '' OR f >= f_fecha_desde) AND (coalesce(f_fecha_hasta, '') = '' OR f <= f_fecha_hasta)
+GROUP BY ALL"""))(
+    lambda spark, sf: totals_in_windows(
+        S.day_windows(spark, sf).withColumnsRenamed({"f_fecha_desde": "fecha_desde", "f_fecha_hasta": "fecha_hasta"}), S.reports(spark, sf))
+    .withColumnsRenamed({"fecha_desde": "f_fecha_desde", "fecha_hasta": "f_fecha_hasta"}))
+
 register("top_city_per_question", _sql(f"""
 SELECT a.question_id, b.name AS ciudad, b.n AS count FROM qp a JOIN topcity b ON {WIN}""", WINDOWS))(
     lambda spark, sf: _qs(spark, sf).top_per_question("ciudad", "ciudad"))

@@ -112,3 +112,18 @@ def contains_any(c: Column, words: list[str]) -> Column:
     for w in words:
         out = out | c.contains(w)
     return out
+
+
+def _windows(c: Column, n: int) -> Column:
+    """All substrings of n letters (none of a shorter text)."""
+    return F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
+def text_grams(c: Column, n: int) -> Column:
+    """The distinct substrings of 0 to n letters of a text."""
+    return F.array_distinct(F.concat(F.array(F.lit("")), *[_windows(c, k) for k in range(1, n + 1)]))
+
+
+def name_grams(c: Column, n: int) -> Column:
+    """The distinct substrings of n letters; a shorter text is its own gram."""
+    return F.when(F.length(c) < n, F.array(c)).otherwise(F.array_distinct(_windows(c, n)))

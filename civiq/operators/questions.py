@@ -3,34 +3,28 @@
 Batch design (one job for any number of questions):
 
 1. ``parse_questions`` - narrow: normalized text, date window, intent flags.
-2. ``ReportCube`` - reports aggregated once to (month, city, category) ->
+2. ``ReportCube`` - reports aggregated once to (day, city, category) ->
    (n, n_urgent), materialized by a checkpoint. Reports are never joined to
    questions row by row.
-3. Date windows. The extractor only produces whole-month windows
-   ``[YYYY-MM-01, YYYY-MM-31]`` or year ranges ``[Y1-01-01, Y2-12-31]``; on ISO
-   dates such a window holds exactly the reports whose month key lies between
-   the window's month keys (string order). Each *distinct* window is expanded
-   to its valid months (at most 2400: years are 1900..2099) and equi-joined to
-   the cube on the month - the interval join becomes an equi-join. Windows are
-   bounded by construction (<= 200*100 month windows + 200*200 year ranges +
-   "no window"), so per-window results are small enough to broadcast.
-4. Mentions (a substring theta join): the city / category dimension is
-   broadcast into a nested-loop join when its checked size is under a bound;
-   above it, every question substring with a dimension name's length is
-   generated and equi-joined to the names.
+3. Date windows (``windows.py``). A window of days is a difference of two running
+   sums, found for all distinct windows by one union and one sort; the month with
+   most reports comes from a sparse table. No row per window and month.
+4. Mentions: a gram-signature join. Each name is filed under its rarest gram and
+   tested against the questions that hold this gram; one plan at every size.
 5. Statistics lines are rows ``(question_id, group, key1, key2, line)`` from
    each source, unioned and ordered per question.
 """
 
 from __future__ import annotations
 
+import functools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_key, ordinal_to_month
-from ..functions.text import WORD_CLASS, contains_any, fold, strip_ws
+from ..functions.dates import month_key
+from ..functions.text import WORD_CLASS, contains_any, fold, name_grams, strip_ws, text_grams
 from ..schema import (
     ANSWER_PEAK_MONTH,
     ANSWER_TOP_CATEGORY,
@@ -55,11 +49,9 @@ from ..schema import (
     URGENT_WORDS,
 )
 from ..session import materialize
+from .windows import NO_DATE, ends, peak_months, window_counts
 
 NO_WINDOW = "*"
-# Largest name dimension broadcast into the mention nested-loop join.
-MENTION_BROADCAST_ROWS = 50_000
-
 _NOT_WORD = rf"[^{WORD_CLASS}]+"
 _YEAR_MONTH = rf"(?<![{WORD_CLASS}])((?:19|20)[0-9]{{2}})-([0-9]{{1,2}})(?![{WORD_CLASS}])"
 
@@ -125,72 +117,89 @@ def parse_questions(questions: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 class ReportCube:
-    """Reports pre-aggregated to (mes, ciudad, categoria_problema)."""
+    """Reports pre-aggregated to (fecha, ciudad, categoria_problema)."""
 
     def __init__(self, reports: DataFrame, checkpoint: bool = True):
         cube = reports.groupBy(
-            month_key("fecha_reporte").alias("mes"), "ciudad", "categoria_problema"
+            F.col("fecha_reporte").alias("fecha"), "ciudad", "categoria_problema"
         ).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("urgente") == 1).alias("n_urg"))
+        cube = cube.withColumn("mes", month_key("fecha"))
         self.cube = materialize(cube) if checkpoint else cube
 
     def by(self, *keys: str) -> DataFrame:
         return self.cube.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("n_urg").alias("n_urg"))
 
 
-def window_months(parsed: DataFrame) -> DataFrame:
-    """(wkey, mes) for every distinct dated window: its valid months."""
-    w = parsed.where(F.col("wkey") != NO_WINDOW).select("wkey", "fecha_desde", "fecha_hasta").distinct()
-    y1 = F.substring("fecha_desde", 1, 4).try_cast("int")
-    m1 = F.substring("fecha_desde", 6, 2).try_cast("int")
-    y2 = F.substring("fecha_hasta", 1, 4).try_cast("int")
-    m2 = F.substring("fecha_hasta", 6, 2).try_cast("int")
-    start = (F.when(m1 < 1, y1 * 12).when(m1 <= 12, y1 * 12 + m1 - 1).otherwise((y1 + 1) * 12))
-    end = (F.when(m2 > 12, y2 * 12 + 11).when(m2 >= 1, y2 * 12 + m2 - 1).otherwise(y2 * 12 - 1))
-    months = F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<int>"))
-    return w.select("wkey", F.explode(months).alias("ord")).select(
-        "wkey", ordinal_to_month("ord").alias("mes"))
-
-
 class WindowStats:
-    """Counts per (window, key) for the windows of a question batch."""
+    """Counts per (window, key) for the windows of a question batch. Rows whose
+    date is null count in no window but the open one."""
 
     def __init__(self, parsed: DataFrame, cube: ReportCube):
         self.cube = cube
-        self.wm = materialize(window_months(parsed))
-        self._counts: dict[tuple, DataFrame] = {}
-
-    def counts(self, *keys: str) -> DataFrame:
-        """(wkey, *keys, n, n_urg) - only combinations with reports. Written
-        once per key: mention lines and top lists read the same table."""
-        if keys not in self._counts:
-            self._counts[keys] = materialize(self._count(*keys))
-        return self._counts[keys]
-
-    def _count(self, *keys: str) -> DataFrame:
-        by_month = self.cube.by(*dict.fromkeys(("mes",) + keys))
-        dated = (self.wm.join(by_month, "mes").groupBy("wkey", *keys)
-                 .agg(F.sum("n").alias("n"), F.sum("n_urg").alias("n_urg")))
-        undated = self.cube.by(*keys).select(F.lit(NO_WINDOW).alias("wkey"), *keys, "n", "n_urg")
-        return dated.unionByName(undated)
+        self.parsed = parsed
+        self._days: dict[tuple, DataFrame] = {}
+        self._totals: DataFrame | None = None
+
+    @functools.cached_property
+    def windows(self) -> DataFrame:
+        """(wkey, desde, hasta): the distinct windows with both ends."""
+        desde, hasta = ends(F.col("fecha_desde"), F.col("fecha_hasta"))
+        return materialize(self.parsed.select("wkey", desde.alias("desde"), hasta.alias("hasta")).distinct())
+
+    def days(self, *keys: str) -> DataFrame:
+        """(*keys, fecha, n, n_urg)."""
+        if keys not in self._days:
+            self._days[keys] = materialize(self.cube.by(*keys, "fecha").withColumn("fecha", F.coalesce("fecha", F.lit(NO_DATE))))
+        return self._days[keys]
 
     def totals(self) -> DataFrame:
-        return self.counts()
-
-    def top(self, key: str) -> DataFrame:
-        """(wkey, key, n): most reports in the window, ties by name."""
-        best = self.counts(key).groupBy("wkey").agg(
-            F.min(F.struct((-F.col("n")).alias("neg"), F.col(key).alias("k"))).alias("b"))
+        """(wkey, n, n_urg) of every window."""
+        if self._totals is None:
+            self._totals = materialize(window_counts(self.days(), self.windows))
+        return self._totals
+
+    def pairs(self, asked: DataFrame, key: str) -> DataFrame:
+        """asked(wkey, key) -> (wkey, key, n, n_urg)."""
+        pairs = asked.select("wkey", key).distinct().join(self.windows, "wkey")
+        return window_counts(self.days(key), pairs, (key,))
+
+    def top(self, key: str, asked: DataFrame | None = None) -> DataFrame:
+        """(wkey, key, n): most reports in the window, ties by name; for all
+        windows or those of asked(wkey). One row per window and name; the
+        windows that questions can name are bounded (60,001), so their list is
+        broadcast to the names."""
+        windows = self.windows if asked is None else self.windows.join(asked.select("wkey").distinct(), "wkey", "left_semi")
+        names = self.days(key).select(key).distinct()
+        each = names.join(F.broadcast(windows.agg(F.collect_list(F.struct("wkey", "desde", "hasta")).alias("_w"))), how="cross")
+        counts = window_counts(self.days(key), each.select(key, F.inline("_w")), (key,)).where("n > 0")
+        best = counts.groupBy("wkey").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col(key).alias("k"))).alias("b"))
         return best.select("wkey", F.col("b.k").alias(key), (-F.col("b.neg")).alias("n"))
 
-    def peak_month(self) -> DataFrame:
+    def peak_month(self, asked: DataFrame | None = None) -> DataFrame:
         """(wkey, mes, n): month with most reports, earliest on ties."""
-        return self.top("mes")
+        windows = self.windows if asked is None else self.windows.join(asked.select("wkey").distinct(), "wkey", "left_semi")
+        return peak_months(self.days(), windows)
+
+
+def totals_in_windows(windows: DataFrame, reports: DataFrame) -> DataFrame:
+    """D4 for any windows of days: (question_id, fecha_desde, fecha_hasta) ->
+    those and total, total_urgentes. Null and empty ends are open."""
+    desde, hasta = ends(F.col("fecha_desde"), F.col("fecha_hasta"))
+    keyed = windows.select("question_id", "fecha_desde", "fecha_hasta", desde.alias("desde"), hasta.alias("hasta"))
+    keyed = materialize(keyed.withColumn("wkey", F.concat_ws("|", "desde", "hasta")))
+    days = ReportCube(reports).by("fecha").withColumn("fecha", F.coalesce("fecha", F.lit(NO_DATE)))
+    counts = window_counts(days, keyed.select("wkey", "desde", "hasta").distinct())
+    return keyed.join(counts, "wkey").select("question_id", "fecha_desde", "fecha_hasta", F.col("n").alias("total"), F.col("n_urg").alias("total_urgentes"))
 
 
 # ---------------------------------------------------------------------------
 # 4. Mentions (D3)
 # ---------------------------------------------------------------------------
 
+#: Letters of a gram; shorter names are their own gram.
+GRAM = 3
+
+
 def name_dimension(cube: ReportCube, key: str, allow_empty_norm: bool) -> DataFrame:
     """(name, name_norm, n_global): names present in the reports, by global count."""
     d = cube.by(key).select(F.col(key).alias("name"), F.col("n").alias("n_global"))
@@ -201,28 +210,24 @@ def name_dimension(cube: ReportCube, key: str, allow_empty_norm: bool) -> DataFr
 
 
 def mention_join(parsed: DataFrame, dim: DataFrame) -> DataFrame:
-    """(question_id, name, n_global) for every name contained in the question."""
-    dim = materialize(dim)
-    n = dim.count()
+    """(question_id, name, n_global) for every name contained in the question.
+
+    A gram-signature join: a text that contains a name contains every gram of it,
+    so each name is filed under the one of its grams that fewest texts hold, and
+    meets only the texts that hold that gram; those are tested. A name with a gram
+    that no text holds is dropped. Texts that repeat are looked at once."""
     qs = parsed.select("question_id", "q_norm")
-    if n <= MENTION_BROADCAST_ROWS:
-        return qs.join(F.broadcast(dim), F.col("q_norm").contains(F.col("name_norm"))).select(
-            "question_id", "name", "n_global")
-    # Large dimension: exact equi-join on generated substrings.
-    lens = dim.agg(F.min(F.length("name_norm")).alias("lo"), F.max(F.length("name_norm")).alias("hi"))
-    lo, hi = lens.select("lo").scalar(), lens.select("hi").scalar()
-    subs = qs.select("question_id", "q_norm",
-                     F.explode(F.sequence(F.lit(1), F.greatest(F.length("q_norm"), F.lit(1)))).alias("pos"))
-    subs = subs.select("question_id", "q_norm", "pos",
-                       F.explode(F.sequence(F.greatest(lo, F.lit(1)), F.greatest(hi, F.lit(1)))).alias("len"))
-    subs = subs.where(F.col("pos") + F.col("len") - 1 <= F.length("q_norm")).select(
-        "question_id", F.substring("q_norm", F.col("pos"), F.col("len")).alias("name_norm")).distinct()
-    found = subs.join(dim.where(F.col("name_norm") != ""), "name_norm")
-    # Names that fold to '' (only combining marks) are contained in every text.
-    empty = qs.join(F.broadcast(dim.where(F.col("name_norm") == "")),
-                    F.col("q_norm").contains(F.col("name_norm")))
-    return found.select("question_id", "name", "n_global").unionByName(
-        empty.select("question_id", "name", "n_global"))
+    texts = materialize(qs.select("q_norm").distinct())
+    grams = texts.select("q_norm", F.explode(text_grams(F.col("q_norm"), GRAM)).alias("gram"))
+    held = materialize(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")))
+    names = materialize(dim)
+    filed = (names.select("name", F.explode(name_grams(F.col("name_norm"), GRAM)).alias("gram")).join(held, "gram", "left")
+             .groupBy("name").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("r"))
+             .where("r.df > 0").select("name", F.col("r.gram").alias("gram")))
+    keyed = materialize(names.join(filed, "name"))
+    # only grams that file a name go on
+    found = grams.join(keyed, "gram").where(F.col("q_norm").contains(F.col("name_norm"))).select("q_norm", "name", "n_global")
+    return qs.join(found, "q_norm").select("question_id", "name", "n_global")
 
 
 def mentions(parsed: DataFrame, cube: ReportCube, kind: str) -> DataFrame:
@@ -263,15 +268,15 @@ class QuestionStats:
     def totals(self) -> DataFrame:
         """(question_id, fecha_desde, fecha_hasta, total, total_urgentes)."""
         t = self.ws.totals()
-        return self.parsed.join(F.broadcast(t), "wkey", "left").select(
+        return self.parsed.join(t, "wkey", "left").select(
             "question_id", "fecha_desde", "fecha_hasta",
             F.coalesce("n", F.lit(0)).cast("long").alias("total"),
             F.coalesce("n_urg", F.lit(0)).cast("long").alias("total_urgentes"))
 
     def top_per_question(self, key: str, out: str) -> DataFrame:
         """(question_id, out, count) within the question's window."""
-        t = self.ws.top(key)
-        return self.parsed.join(F.broadcast(t), "wkey").select(
+        t = self.ws.peak_month() if key == "mes" else self.ws.top(key)
+        return self.parsed.join(t, "wkey").select(
             "question_id", F.col(key).alias(out), F.col("n").cast("long").alias("count"))
 
     def peak_month(self) -> DataFrame:
@@ -279,9 +284,10 @@ class QuestionStats:
         return self.top_per_question("mes", "mes")
 
     def _mention_lines(self, m: DataFrame, key: str, template: str, group: int) -> DataFrame:
-        counts = self.ws.counts(key).withColumnRenamed(key, "name")
         p = self.parsed.select("question_id", "wkey", "f_urgent")
-        j = m.join(p, "question_id").join(counts, ["wkey", "name"], "left")
+        j = m.join(p, "question_id")
+        counts = self.ws.pairs(j.select("wkey", F.col("name").alias(key)), key).withColumnRenamed(key, "name")
+        j = j.join(counts, ["wkey", "name"], "left")
         cnt = F.coalesce("n", F.lit(0)).cast("long")
         urg = F.coalesce("n_urg", F.lit(0)).cast("long")
         line = F.concat(_fmt(template, F.col("name"), cnt),
@@ -292,7 +298,7 @@ class QuestionStats:
     def lines(self) -> DataFrame:
         """G5 long form: (question_id, line_no, line)."""
         p = self.parsed
-        tot = p.where("f_count").join(F.broadcast(self.ws.totals()), "wkey", "left").select(
+        tot = p.where("f_count").join(self.ws.totals(), "wkey", "left").select(
             "question_id", "f_urgent", F.coalesce("n", F.lit(0)).cast("long").alias("total"),
             F.coalesce("n_urg", F.lit(0)).cast("long").alias("total_urgentes"))
         zero = F.lit(0).cast("long")
@@ -309,13 +315,14 @@ class QuestionStats:
             self._mention_lines(self._found("city"), "ciudad", LINE_CITY, 3),
             self._mention_lines(self._found("category"), "categoria_problema", LINE_CATEGORY, 4),
         ]
-        tc = (p.where("f_top_city").join(self._found("city"), "question_id", "left_anti")
-              .join(F.broadcast(self.ws.top("ciudad")), "wkey"))
+        tc = p.where("f_top_city").join(self._found("city"), "question_id", "left_anti")
+        tc = tc.join(self.ws.top("ciudad", tc), "wkey")
         parts.append(row(tc, 5, _fmt(LINE_TOP_CITY, F.col("ciudad"), F.col("n"))))
-        tk = (p.where("f_top_category").join(self._found("category"), "question_id", "left_anti")
-              .join(F.broadcast(self.ws.top("categoria_problema")), "wkey"))
+        tk = p.where("f_top_category").join(self._found("category"), "question_id", "left_anti")
+        tk = tk.join(self.ws.top("categoria_problema", tk), "wkey")
         parts.append(row(tk, 6, _fmt(LINE_TOP_CATEGORY, F.col("categoria_problema"), F.col("n"))))
-        pm = p.where("f_month").join(F.broadcast(self.ws.peak_month()), "wkey")
+        pm = p.where("f_month")
+        pm = pm.join(self.ws.peak_month(pm), "wkey")
         parts.append(row(pm, 7, _fmt(LINE_PEAK_MONTH, F.col("mes"), F.col("n"))))
         allp = reduce(DataFrame.unionByName, parts)
         w = Window.partitionBy("question_id").orderBy("g", "k1", "k2")

@@ -193,6 +193,22 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def day_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window of days per conversation turn: any days, also ones that no
+    calendar has, open ends, and ends in the wrong order."""
+    conv = table(spark, sf_dir, "conversations")
+    i, j = F.col("conv_id") * 37 + F.col("turn") * 101, F.col("conv_id") * 53 + F.col("turn") * 7
+    null = F.lit(None).cast("string")
+
+    def day(x):
+        return F.format_string("%d-%02d-%02d", (x % 8 + 1992).cast("int"), (x % 13 + 1).cast("int"), (x % 31 + 1).cast("int"))
+
+    return conv.select(
+        ((F.col("conv_id") + 1) * CONVERSATION_ID_BASE + F.col("turn")).alias("question_id"),
+        F.when(i % 11 == 0, null).when(i % 11 == 1, F.lit("")).otherwise(day(i)).alias("f_fecha_desde"),
+        F.when(j % 9 == 0, null).otherwise(day(j)).alias("f_fecha_hasta"))
+
+
 def source_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One search query per source and language of the documents: their names,
     which many documents hold."""
