@@ -119,9 +119,10 @@ def _windows(c: Column, n: int) -> Column:
     return F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
 
 
-def text_grams(c: Column, n: int) -> Column:
-    """The distinct substrings of 0 to n letters of a text."""
-    return F.array_distinct(F.concat(F.array(F.lit("")), *[_windows(c, k) for k in range(1, n + 1)]))
+def text_grams(c: Column, lengths: list[int]) -> Column:
+    """The distinct substrings of these lengths (0: the empty one)."""
+    parts = [_windows(c, k) if k else F.array(F.lit("")) for k in lengths]
+    return F.array_distinct(F.concat(*parts)) if parts else F.array().cast("array<string>")
 
 
 def name_grams(c: Column, n: int) -> Column:

@@ -137,7 +137,6 @@ class WindowStats:
     def __init__(self, parsed: DataFrame, cube: ReportCube):
         self.cube = cube
         self.parsed = parsed
-        self._days: dict[tuple, DataFrame] = {}
         self._totals: DataFrame | None = None
 
     @functools.cached_property
@@ -147,10 +146,8 @@ class WindowStats:
         return materialize(self.parsed.select("wkey", desde.alias("desde"), hasta.alias("hasta")).distinct())
 
     def days(self, *keys: str) -> DataFrame:
-        """(*keys, fecha, n, n_urg)."""
-        if keys not in self._days:
-            self._days[keys] = materialize(self.cube.by(*keys, "fecha").withColumn("fecha", F.coalesce("fecha", F.lit(NO_DATE))))
-        return self._days[keys]
+        """(*keys, fecha, n, n_urg) of the written cube."""
+        return self.cube.by(*keys, "fecha").withColumn("fecha", F.coalesce("fecha", F.lit(NO_DATE)))
 
     def totals(self) -> DataFrame:
         """(wkey, n, n_urg) of every window."""
@@ -210,30 +207,31 @@ def name_dimension(cube: ReportCube, key: str, allow_empty_norm: bool) -> DataFr
 
 
 def mention_join(parsed: DataFrame, dim: DataFrame) -> DataFrame:
-    """(question_id, name, n_global) for every name contained in the question.
+    """(question_id, kind, name, n_global) for every name of dim(kind, name,
+    n_global, name_norm) that the question contains.
 
     A gram-signature join: a text that contains a name contains every gram of it,
     so each name is filed under the one of its grams that fewest texts hold, and
     meets only the texts that hold that gram; those are tested. A name with a gram
-    that no text holds is dropped. Texts that repeat are looked at once."""
+    that no text holds is dropped. Texts that repeat are looked at once. Only
+    texts' grams that are grams of names leave the task that makes them."""
     qs = parsed.select("question_id", "q_norm")
-    texts = materialize(qs.select("q_norm").distinct())
-    grams = texts.select("q_norm", F.explode(text_grams(F.col("q_norm"), GRAM)).alias("gram"))
-    held = materialize(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")))
-    names = materialize(dim)
-    filed = (names.select("name", F.explode(name_grams(F.col("name_norm"), GRAM)).alias("gram")).join(held, "gram", "left")
-             .groupBy("name").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("r"))
-             .where("r.df > 0").select("name", F.col("r.gram").alias("gram")))
-    keyed = materialize(names.join(filed, "name"))
-    # only grams that file a name go on
-    found = grams.join(keyed, "gram").where(F.col("q_norm").contains(F.col("name_norm"))).select("q_norm", "name", "n_global")
-    return qs.join(found, "q_norm").select("question_id", "name", "n_global")
+    # at most GRAM + 1 lengths
+    lengths = sorted(r[0] for r in dim.select(F.least(F.length("name_norm"), F.lit(GRAM)).alias("l")).distinct().collect())
+    grams = qs.select("q_norm").distinct().select("q_norm", F.explode_outer(text_grams(F.col("q_norm"), lengths)).alias("gram"))
+    split = dim.select("kind", "name", F.explode(name_grams(F.col("name_norm"), GRAM)).alias("gram"))
+    held = grams.join(split.select("gram").distinct(), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    filed = (split.join(held, "gram", "left").groupBy("kind", "name").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("r"))
+             .where("r.df > 0").select("kind", "name", F.col("r.gram").alias("gram")))
+    found = grams.join(dim.join(filed, ["kind", "name"]), "gram").where(F.col("q_norm").contains(F.col("name_norm")))
+    return qs.join(found.select("q_norm", "kind", "name", "n_global"), "q_norm").select("question_id", "kind", "name", "n_global")
 
 
-def mentions(parsed: DataFrame, cube: ReportCube, kind: str) -> DataFrame:
-    if kind == "city":
-        return mention_join(parsed, name_dimension(cube, "ciudad", allow_empty_norm=False))
-    return mention_join(parsed, name_dimension(cube, "categoria_problema", allow_empty_norm=True))
+def mentions(parsed: DataFrame, cube: ReportCube, *kinds: str) -> DataFrame:
+    """Mentions of the names of a kind (city, category) or of both, in one join."""
+    dims = {"city": lambda: name_dimension(cube, "ciudad", allow_empty_norm=False),
+            "category": lambda: name_dimension(cube, "categoria_problema", allow_empty_norm=True)}
+    return mention_join(parsed, materialize(reduce(DataFrame.unionByName, [dims[k]().withColumn("kind", F.lit(k)) for k in kinds])))
 
 
 # ---------------------------------------------------------------------------
@@ -261,9 +259,10 @@ class QuestionStats:
         return self._get("mk", lambda: mentions(self.parsed, self.cube, "category"))
 
     def _found(self, kind: str) -> DataFrame:
-        """The mentions of a kind, written once for the lines that read them."""
-        build = self.city_mentions if kind == "city" else self.category_mentions
-        return self._get(f"found_{kind}", lambda: materialize(build()))
+        """The mentions of a kind; both kinds are found together and written
+        once for the lines that read them."""
+        both = self._get("found", lambda: materialize(mentions(self.parsed, self.cube, "city", "category")))
+        return both.where(F.col("kind") == kind).drop("kind")
 
     def totals(self) -> DataFrame:
         """(question_id, fecha_desde, fecha_hasta, total, total_urgentes)."""

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_ordinal, ordinal_to_month
-from ..session import materialize
 
 #: Open ends, before and behind every date. Rows without a date stand before all
 #: others and count in a window that is open on both sides alone.
@@ -84,11 +83,10 @@ def peak_months(days: DataFrame, windows: DataFrame) -> DataFrame:
     """days(fecha, n, n_urg), windows(wkey, desde, hasta) -> (wkey, mes, n): the
     month with most reports inside each window, the earliest on ties."""
     months = days.groupBy(F.substring("fecha", 1, 7).alias("mes")).agg(F.sum("n").alias("n"))
-    found = month_blocks(materialize(months))
+    found = month_blocks(months)
     if found is None:
         return windows.select("wkey", F.lit("").alias("mes"), F.lit(0).cast("long").alias("n")).limit(0)
     blocks, low, high = found
-    blocks = materialize(blocks)
     w = windows.select("wkey", "desde", "hasta", F.coalesce(_month(F.col("desde"), True), F.lit(low)).alias("s"), F.coalesce(_month(F.col("hasta"), False), F.lit(high)).alias("e"))
     w = w.where("s <= e").withColumns({"sm": ordinal_to_month("s"), "em": ordinal_to_month("e")})
     w = w.withColumns({"s_cut": F.col("desde") > F.concat("sm", F.lit("-01")), "e_cut": F.col("hasta") < F.concat("em", F.lit("-31"))})

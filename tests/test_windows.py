@@ -79,6 +79,6 @@ def test_mentions_of_short_and_odd_names(spark):
     texts = ["reportes de la paz y de san jose", "x", "", "no city here", "la paz", None, "ñandu ab", "abc abcabc"]
     names = ["la paz", "paz", "x", "ab", "abcabc", "san jose", "", "zzz", "abcd", "city"]
     qs = spark.createDataFrame(list(enumerate(texts)), "question_id long, q_norm string")
-    dim = spark.createDataFrame([(n or "~", i, n) for i, n in enumerate(names)], "name string, n_global long, name_norm string")
+    dim = spark.createDataFrame([("city", n or "~", i, n) for i, n in enumerate(names)], "kind string, name string, n_global long, name_norm string")
     got = {(r.question_id, r.name) for r in mention_join(qs, dim).collect()}
     assert got == {(i, n or "~") for i, t in enumerate(texts) if t is not None for n in names if n in t}
