@@ -139,6 +139,9 @@ register("like_search_indexed", O.with_(["v_text", "sbq", *like_ctes("sbq")], ""
 SELECT question_id, rank, id, comentario, ciudad, categoria_problema, fecha_reporte, urgente FROM ltop"""))(
     lambda spark, sf: SE.like_search(S.passage_queries(spark, sf), _t(spark, sf),
                                      index=IX.TextIndex.build(_t(spark, sf))))
+register("like_wildcards", O.with_(["v_text", "wbq", *like_ctes("wbq")], """
+SELECT question_id, rank, id, comentario, ciudad, categoria_problema, fecha_reporte, urgente FROM ltop"""))(
+    lambda spark, sf: SE.like_search(S.wildcard_queries(spark, sf), _t(spark, sf)))
 register("like_search_filtered", O.with_(["v_text", "bq"] + like_ctes(
     "bq", where="WHERE v.urgente = 0 AND v.fecha_reporte <= '2023-06-30'"), f"""
 SELECT question_id, rank, id, comentario, ciudad, categoria_problema, fecha_reporte, urgente FROM ltop"""))(

@@ -114,17 +114,19 @@ def contains_any(c: Column, words: list[str]) -> Column:
     return out
 
 
-def _windows(c: Column, n: int) -> Column:
-    """All substrings of n letters (none of a shorter text)."""
-    return F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+def windows_of(c: Column, n: int) -> Column:
+    """All substrings of n letters in order (none of a shorter text). A
+    look-ahead finds them in one pass; substring() would count its way from the
+    text's start each time."""
+    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
 
 
 def text_grams(c: Column, lengths: list[int]) -> Column:
-    """The distinct substrings of these lengths (0: the empty one)."""
-    parts = [_windows(c, k) if k else F.array(F.lit("")) for k in lengths]
-    return F.array_distinct(F.concat(*parts)) if parts else F.array().cast("array<string>")
+    """The substrings of these lengths (0: the empty one), repeats included."""
+    parts = [windows_of(c, k) if k else F.array(F.lit("")) for k in lengths]
+    return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
 def name_grams(c: Column, n: int) -> Column:
     """The distinct substrings of n letters; a shorter text is its own gram."""
-    return F.when(F.length(c) < n, F.array(c)).otherwise(F.array_distinct(_windows(c, n)))
+    return F.when(F.length(c) < n, F.array(c)).otherwise(F.array_distinct(windows_of(c, n)))

@@ -218,7 +218,7 @@ def mention_join(parsed: DataFrame, dim: DataFrame) -> DataFrame:
     qs = parsed.select("question_id", "q_norm")
     # at most GRAM + 1 lengths
     lengths = sorted(r[0] for r in dim.select(F.least(F.length("name_norm"), F.lit(GRAM)).alias("l")).distinct().collect())
-    grams = qs.select("q_norm").distinct().select("q_norm", F.explode_outer(text_grams(F.col("q_norm"), lengths)).alias("gram"))
+    grams = qs.select("q_norm").distinct().select("q_norm", F.explode_outer(F.array_distinct(text_grams(F.col("q_norm"), lengths))).alias("gram"))
     split = dim.select("kind", "name", F.explode(name_grams(F.col("name_norm"), GRAM)).alias("gram"))
     held = grams.join(split.select("gram").distinct(), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     filed = (split.join(held, "gram", "left").groupBy("kind", "name").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("r"))

@@ -11,10 +11,11 @@ A batch of questions ``(question_id, texto)`` is searched at once:
   documents still ships at most k rows per map task.
 * LIKE (C5, F2): ``%q%`` on comment, city or category with SQL-LIKE
   semantics (``%``/``_`` wildcards, ASCII-only case folding), newest first.
-  Substring patterns have no equi-join key, so the pattern side is broadcast
-  into a nested-loop join after its size in bytes is checked; above the bound
-  the patterns are split into bounded broadcast batches. With an index, a plain
-  pattern's inner words give candidates instead.
+  Literal runs between wildcards give grams that a match must hold; a pattern is
+  tested against the documents that hold its rarest gram. With an index, a plain
+  pattern's inner words give candidates instead. Only patterns without three
+  literal letters are broadcast into a nested-loop join, in batches of bounded
+  bytes.
 * ``search_auto`` (F3): questions that sanitize to an empty query use LIKE,
   the others BM25.
 """
@@ -27,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ascii_lower, like_contains_pattern, sanitize_query, tokenize
+from ..functions.text import ascii_lower, like_contains_pattern, name_grams, sanitize_query, text_grams, tokenize
 from ..schema import BM25_B, BM25_K1, BM25_MIN_IDF, CONTEXT_LINE, DEFAULT_TOP_K, HIT_COLUMNS
 from ..session import materialize
 from .filters import ReportFilter, as_filter, filter_columns_predicate
@@ -35,6 +36,9 @@ from .index import TextIndex, explode_terms
 
 # Largest bytes of patterns broadcast into one nested-loop join.
 LIKE_BROADCAST_BYTES = 16 << 20
+# Letters of the grams that LIKE patterns are filed under, and how many of a
+# pattern are looked up to find its rarest.
+LONG_GRAM, SHORT_GRAM, FILED_GRAMS = 8, 3, 4
 # Largest (question, term) table whose derived tables are broadcast.
 QUERY_TERMS_BROADCAST_ROWS = 2_000_000
 # Largest candidate (question, document, term) table broadcast against postings.
@@ -183,16 +187,19 @@ def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
         c for c in hits.columns if c not in ("asked_id", "rank", "id", "score")])
 
 
+def _like_test() -> Column:
+    """A pattern without ``%``/``_`` is a plain substring test (no regex); the
+    others use LIKE."""
+    sub, pat = F.col("q"), F.col("pat")
+    plain = F.col("_c").contains(sub) | F.col("_ci").contains(sub) | F.col("_k").contains(sub)
+    wild = F.like(F.col("_c"), pat) | F.like(F.col("_ci"), pat) | F.like(F.col("_k"), pat)
+    return F.when(F.col("wild"), wild).otherwise(plain)
+
+
 def _like_join(pats: DataFrame, docs: DataFrame) -> DataFrame:
     """Nested-loop match of broadcast patterns against documents, in one pass
-    over the documents. A pattern without ``%``/``_`` is a plain substring
-    test (no regex per pair); the others use LIKE."""
-    sub = F.col("q")
-    c_plain = (F.col("_c").contains(sub) | F.col("_ci").contains(sub)
-               | F.col("_k").contains(sub))
-    pat = F.col("pat")
-    c_wild = (F.like(F.col("_c"), pat) | F.like(F.col("_ci"), pat) | F.like(F.col("_k"), pat))
-    return docs.join(F.broadcast(pats), F.when(F.col("wild"), c_wild).otherwise(c_plain), "inner")
+    over the documents: for patterns without a literal gram alone."""
+    return docs.join(F.broadcast(pats), _like_test(), "inner")
 
 
 def _inner_terms(q: Column) -> Column:
@@ -215,12 +222,42 @@ def _like_candidates(patterns: DataFrame, docs: DataFrame, index: TextIndex) ->
             .where(F.col("_c").contains(sub) | F.col("_ci").contains(sub) | F.col("_k").contains(sub)))
 
 
+def literal_grams(q: Column) -> Column:
+    """Substrings that every match of a LIKE pattern holds: LONG_GRAM letters of
+    its longest literal run, or SHORT_GRAM if the run is shorter; FILED_GRAMS of
+    them, the first in the order of a hash. None for runs that are shorter still."""
+    runs = F.transform(F.regexp_extract_all(q, F.lit("([^%_]+)"), F.lit(1)), lambda r: F.struct(F.length(r).alias("n"), r.alias("run")))
+    run = F.array_max(runs)["run"]
+    grams = F.when(F.length(run) >= LONG_GRAM, name_grams(run, LONG_GRAM)).when(F.length(run) >= SHORT_GRAM, name_grams(run, SHORT_GRAM))
+    first = F.slice(F.array_sort(F.transform(grams, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))), 1, FILED_GRAMS)
+    return F.coalesce(F.transform(first, lambda x: x["g"]), F.array().cast("array<string>"))
+
+
+def _like_by_grams(patterns: DataFrame, docs: DataFrame) -> DataFrame:
+    """Matches of patterns with literal grams, in one pass over the documents'
+    grams: what holds a gram of a pattern is written as (id, gram), a pattern goes
+    to the documents that hold its rarest gram, and only these are tested. A
+    pattern with a gram that no document holds matches nothing."""
+    filed = patterns.select("_key", F.explode("_grams").alias("gram"))
+    lengths = sorted(r[0] for r in filed.select(F.length("gram")).distinct().collect())  # at most two
+    texts = [text_grams(F.coalesce(c, F.lit("")), lengths) for c in ("_c", "_ci", "_k")]
+    grams = docs.select("id", F.explode_outer(F.concat(*texts)).alias("gram"))
+    held = materialize(grams.join(filed.select("gram").distinct(), "gram").select("id", "gram").distinct())
+    df = held.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    rarest = (filed.join(df, "gram", "left").groupBy("_key").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("r"))
+              .where("r.df > 0").select("_key", F.col("r.gram").alias("gram")))
+    cand = held.join(rarest, "gram").select("_key", "id").distinct().join(patterns.select("_key", "q", "pat", "wild"), "_key")
+    return cand.join(docs, "id").where(_like_test()).drop("q", "pat", "wild")
+
+
 def _like_pattern_matches(questions: DataFrame, reports: DataFrame,
                           filters: ReportFilter | dict | None, text_col: str,
                           index: TextIndex | None = None) -> tuple[DataFrame, DataFrame]:
     """(pats(question_id, _key), matched(_key, hit columns)): matches per
     distinct pattern and filters, not yet fanned out to the questions. With an
-    index only patterns without inner terms are tested against every report."""
+    index, patterns with inner terms take candidates from their postings; others
+    with a literal gram meet the reports that hold it; only patterns without
+    either are tested against every report."""
     extra = _filter_cols(questions)
     q = ascii_lower(F.col(text_col))
     pats = questions.select("question_id", q.alias("q"), *extra)
@@ -233,12 +270,16 @@ def _like_pattern_matches(questions: DataFrame, reports: DataFrame,
     distinct = materialize(pats.drop("question_id").distinct().withColumn(
         "wild", F.col("q").contains("%") | F.col("q").contains("_")).withColumn(
         "pat", like_contains_pattern(F.col("q"))).withColumn(
-        "_inner", F.when(F.col("wild"), F.array().cast("array<string>")).otherwise(_inner_terms(F.col("q")))))
-    out = [*[c for c in distinct.columns if c != "_inner"], *HIT_COLUMNS]
+        "_inner", F.when(F.col("wild"), F.array().cast("array<string>")).otherwise(_inner_terms(F.col("q")))).withColumn(
+        "_grams", literal_grams(F.col("q"))))
+    out = ["_key", *extra, *HIT_COLUMNS]
     found = []
     if index is not None:
         found.append(_like_candidates(distinct.where(F.size("_inner") > 0), docs, index).select(*out))
         distinct = distinct.where(F.size("_inner") == 0)
+    by_grams = distinct.where(F.size("_grams") > 0)
+    found.append(_like_by_grams(by_grams, docs).join(by_grams.select("_key", *extra), "_key").select(*out) if extra else _like_by_grams(by_grams, docs).select(*out))
+    distinct = distinct.where(F.size("_grams") == 0)
     size = distinct.agg(F.coalesce(F.sum(2 * F.octet_length("q") + F.octet_length("_key") + 64), F.lit(0))).head()[0]
     nb = max(1, math.ceil(size / LIKE_BROADCAST_BYTES))
     bucket = F.pmod(F.xxhash64("_key"), F.lit(nb))

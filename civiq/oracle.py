@@ -121,10 +121,17 @@ CTE["sq"] = """
 sq AS (SELECT min(doc_id) AS question_id, source || ' ' || lang AS texto FROM documents GROUP BY source, lang)"""
 
 CTE["sbq"] = """
-sbq AS (SELECT item_id AS question_id, substr(text, 2, CAST(floor(length(text) / 2) AS INTEGER)) AS texto FROM benchmark
+sbq AS (SELECT item_id * 2 AS question_id, text AS texto FROM benchmark
+        UNION ALL SELECT item_id * 2 + 1, substr(text, 2) FROM benchmark
         UNION ALL SELECT * FROM (VALUES {}) AS t(question_id, texto))""".format(
     ", ".join(f"(-{i}, {q(t)})" for i, t in QUESTION_FIXTURES if i >= 15))
 
+CTE["wbq"] = r"""
+wbq AS (SELECT item_id * 4 AS question_id, replace(text, ' ', '_') AS texto FROM benchmark
+        UNION ALL SELECT item_id * 4 + 1, substr(text, 1, 24) || '%' || right(text, 24) FROM benchmark
+        UNION ALL SELECT item_id * 4 + 2, substr(text, 1, 12) || '\' || substr(text, 13, 12) FROM benchmark
+        UNION ALL SELECT item_id * 4 + 3, '_' || substr(text, 2, 2) || '%x_' FROM benchmark)"""
+
 _marks = [(i, t) for i, t in QUESTION_FIXTURES if i >= 15]
 CTE["fq"] = f"""
 fq AS (

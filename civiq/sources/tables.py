@@ -166,12 +166,25 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passage_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first half of every benchmark text (it begins inside a document's
-    text where the document holds the passage), and punctuation."""
+    """Every benchmark text whole and without its first letter (it begins inside
+    a document's text where the document holds the passage), and punctuation."""
     b = search_queries(spark, sf_dir)
-    half = b.select("question_id", F.expr("substring(texto, 2, int(length(texto) / 2))").alias("texto"))
+    inner = b.select((F.col("question_id") * 2 + 1).alias("question_id"), F.expr("substring(texto, 2)").alias("texto"))
     marks = question_fixtures(spark).where(F.col("question_id") >= 15)
-    return half.unionByName(marks.select((-F.col("question_id")).alias("question_id"), "texto"))
+    whole = b.select((F.col("question_id") * 2).alias("question_id"), "texto")
+    return whole.unionByName(inner).unionByName(marks.select((-F.col("question_id")).alias("question_id"), "texto"))
+
+
+def wildcard_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIKE patterns from every benchmark text: words joined by ``_``, its two
+    ends joined by ``%``, a backslash inside, and one without three letters in a
+    row."""
+    b = search_queries(spark, sf_dir)
+    t, i = F.col("texto"), F.col("question_id") * 4
+    forms = [F.replace(t, F.lit(" "), F.lit("_")), F.concat(F.expr("substring(texto, 1, 24)"), F.lit("%"), F.expr("right(texto, 24)")),
+             F.concat(F.expr("substring(texto, 1, 12)"), F.lit("\\"), F.expr("substring(texto, 13, 12)")),
+             F.concat(F.lit("_"), F.expr("substring(texto, 2, 2)"), F.lit("%x_"))]
+    return b.select(F.explode(F.array(*[F.struct((i + k).alias("question_id"), f.alias("texto")) for k, f in enumerate(forms)])).alias("p")).select("p.*")
 
 
 def question_fixtures(spark: SparkSession) -> DataFrame:
