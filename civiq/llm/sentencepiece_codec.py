@@ -22,7 +22,7 @@ so decoding gives back every text exactly.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -113,44 +113,81 @@ def segment(words: list[str], pieces: Pieces) -> Iterator[tuple[int, ...]]:
         yield tuple(reversed(out))
 
 
+class Known(dict):
+    """word -> its number; words not met before get the next one."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class Encoder:
-    def __init__(self, pieces: Pieces):
-        self.pieces, self.known, self.letters = pieces, {}, 0
+    """Ids of words are kept one behind the other in one array, `start` and
+    `size` by the word's number; a text's ids are gathered from there."""
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        if len(self.known) > CACHE or self.letters > 16 * CACHE:
-            self.known.clear()
-            self.letters = 0
-        out: list[np.ndarray | None] = []
-        group: list[tuple[int, list[str]]] = []
-        size = 0
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self._clear()
+
+    def _clear(self):
+        self.known, self.letters = Known(), 0
+        self.flat, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self):
+        """Segment the new words, in sorted order."""
+        new = self.known.new
+        if not new:
+            return
+        order = sorted(range(len(new)), key=new.__getitem__)
+        found: list[tuple[int, ...]] = [()] * len(new)
+        for at, ids in zip(order, segment([new[i] for i in order], self.pieces), strict=True):
+            found[at] = ids
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32)])
+        self.letters += sum(map(len, new))
+        self.known.new = []
+
+    def _gather(self, numbers: list[int], words: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each has; words: how many
+        words each text has."""
+        self._learn()
+        at = np.array(numbers, np.int64)
+        size = self.size[at]
+        end = np.cumsum(size)
+        ids = self.flat[np.arange(end[-1] if len(end) else 0) + np.repeat(self.start[at] - (end - size), size)]
+        ends = np.append(0, end)[np.cumsum(np.array(words, np.int64))]
+        return ids, np.diff(ends, prepend=0)
+
+    def encode(self, texts: Iterable[str | None]) -> pa.ListArray:
+        ids, sizes, valid, numbers, words = [], [], [], [], []
 
         def flush():
-            new = sorted({w for _, words in group for w in words}.difference(self.known))
-            self.known.update(zip(new, segment(new, self.pieces), strict=True))
-            self.letters += sum(map(len, new))
-            for at, words in group:
-                out[at] = np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
-            group.clear()
+            if words:
+                i, n = self._gather(numbers, words)
+                ids.append(i)
+                sizes.append(n)
+                numbers.clear()
+                words.clear()
+            if len(self.known) > CACHE or self.letters > 16 * CACHE:
+                self._clear()
 
         for text in texts:
-            out.append(None)
-            if text is None:
-                continue
-            group.append((len(out) - 1, _WORD.findall(" " + text) if text else []))
-            size += len(group[-1][1])
-            if size >= CACHE:
+            valid.append(text is not None)
+            own = _WORD.findall(" " + text) if text else ()
+            numbers.extend(map(self.known.__getitem__, own))
+            words.append(len(own))
+            if len(numbers) >= CACHE:
                 flush()
-                size = 0
         flush()
-        return out
-
-
-def _lists(values: list[np.ndarray | None]) -> pa.Array:
-    sizes = np.array([0 if v is None else len(v) for v in values], np.int64)
-    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-    flat = np.concatenate([v for v in values if v is not None] or [np.zeros(0, np.int32)])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=pa.array([v is None for v in values]))
+        ends = np.append(0, np.cumsum(np.concatenate(sizes or [np.zeros(0, np.int64)]))).astype(np.int32)
+        flat = np.concatenate(ids or [np.zeros(0, np.int32)])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=pa.array([not v for v in valid], pa.bool_()))
 
 
 def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -159,12 +196,14 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataF
     ship(spark)
     shared = spark.sparkContext.broadcast(Pieces(model))
 
+    at = docs.columns.index(text_col)
+
     def run(batches):
         encoder = Encoder(shared.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("row"), _lists(encoder.encode(values(b.column("text"))))], ["row", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), encoder.encode(values(b.column("row").field(at)))], ["row", "ids"])
 
-    whole = docs.select(F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"))
+    whole = docs.select(F.struct(*columns(docs)).alias("row"))
     return whole.mapInArrow(run, with_row(whole, "ids array<int>"))
 
 
@@ -174,12 +213,14 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Data
     ship(spark)
     shared = spark.sparkContext.broadcast(Pieces(model))
 
+    at = encoded.columns.index(ids_col)
+
     def run(batches):
         for b in batches:
-            ids = b.column("ids")
+            ids = b.column("row").field(at)
             flat, ends = ids.flatten().to_pylist(), np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False)).tolist()
             texts = [shared.value.decode(flat[s:e]) if ok else None for s, e, ok in zip([0, *ends], ends, ids.is_valid().to_pylist(), strict=False)]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])
 
-    whole = encoded.select(F.struct(*columns(encoded)).alias("row"), F.col(ids_col).alias("ids"))
+    whole = encoded.select(F.struct(*columns(encoded)).alias("row"))
     return whole.mapInArrow(run, with_row(whole, "decoded string"))

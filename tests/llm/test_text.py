@@ -4,6 +4,7 @@ model scores on small tables."""
 import re
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -103,7 +104,7 @@ def test_segmentation_is_the_library_lattice_best():
     lattice = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
     encoder = sentencepiece_codec.Encoder(sentencepiece_codec.Pieces())
     for word in ["the", "hested", "thtionner", "ouièan", "international"]:
-        assert encoder.encode([word])[0].tolist() == lattice.nbest_encode(word, nbest_size=2)[0]
+        assert encoder.encode([word])[0].as_py() == lattice.nbest_encode(word, nbest_size=2)[0]
 
 
 def test_fm_index():
@@ -380,10 +381,81 @@ def test_attention_gradients_and_causality():
         down = net.gradients(inputs, targets)[1]
         net.p[name][i] = keep
         assert g[name][i] == pytest.approx((up - down) / (2 * e), rel=1e-3, abs=1e-7)
-    scores = net.log_probs(inputs, targets)
+    scores = net.log_probs(inputs, targets)[0]
     later = inputs.copy()
     later[:, -1] = np.where(later[:, -1] >= 0, (later[:, -1] + 1) % 70, -1)
-    assert np.allclose(net.log_probs(later, targets)[:, :-1], scores[:, :-1])
+    assert np.allclose(net.log_probs(later, targets)[0][:, :-1], scores[:, :-1])
+
+
+def slow_id_scores(model, ids):
+    """Log probability of each id, and of a word beginning there: one window and
+    one place at a time, every output summed in full."""
+    net, p, lead = model.network, model.network.p, attention_lm.CONTEXT - attention_lm.STRIDE
+    tokens = [model.end, *model.number[ids].tolist()]
+    out = []
+    for t in range(len(ids)):
+        start = t // attention_lm.STRIDE * attention_lm.STRIDE - lead  # place of the window's first input
+        seen = [(i, tokens[start + i]) for i in range(attention_lm.CONTEXT) if 0 <= start + i <= t]
+        x = np.array([p["embed"][token] + p["place"][i] for i, token in seen], np.float64)
+        q, k, v = x[-1] @ p["q"], x @ p["k"], x @ p["v"]
+        weight = np.exp(k @ q / np.sqrt(attention_lm.WIDTH))
+        h = x[-1] + (weight / weight.sum()) @ v @ p["o"]
+        h = h + np.maximum(h @ p["w1"] + p["b1"], 0) @ p["w2"]
+        classes = np.exp(h @ p["c"] + p["cb"])
+        inside = np.exp(np.einsum("d,cdk->ck", h, p["u"]) + p["ub"])
+        every = (classes / classes.sum())[:, None] * inside / inside.sum(axis=1)[:, None]
+        assert every.sum() == pytest.approx(1)
+        own = int(model.number[ids[t]])
+        out.append((np.log(every.ravel()[own]) + model.share[ids[t]], np.log(every.ravel()[:model.first_classes * attention_lm.CLASS].sum())))
+    return np.array(out)
+
+
+def small_model():
+    rng = np.random.default_rng(4)
+    counts = np.array([50, 30, 9, 2, 1, 40, 8, 3, 1, 1, 20])  # ids 0-4 begin a word, 5-9 go on, 10 ends
+    model = lm_scoring.Model(counts, 10, np.arange(11) % 10 < 5)
+    for name in ("q", "k", "v", "o", "w2", "c"):
+        model.network.p[name] = (model.network.p[name] + rng.normal(0, 0.3, model.network.p[name].shape)).astype(np.float32)
+    return model
+
+
+def test_lm_ids_against_a_slow_scorer(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "MODELLED", 7)
+    model, rng = small_model(), np.random.default_rng(5)
+    texts_ = [np.append(rng.integers(0, 10, n), 10) for n in (0, 1, 23, 24, 25, 70)]
+    own, begin = model.id_scores(np.concatenate(texts_), np.array([len(t) for t in texts_]))
+    slow = np.concatenate([slow_id_scores(model, t) for t in texts_])
+    assert np.allclose(own, slow[:, 0], atol=1e-4) and np.allclose(begin, slow[:, 1], atol=1e-4)
+
+
+def test_lm_mass_of_all_words_is_one(monkeypatch):
+    """All words of up to four ids behind a text's beginning, and the end."""
+    monkeypatch.setattr(lm_scoring, "MODELLED", 7)
+    model = small_model()
+    for prefix in ([], [[0, 5]], [[1], [0, 6, 5], [2]]):
+        words = [[b, *rest] for n in range(4) for rest in product(range(5, 10), repeat=n) for b in range(5)]
+        mass, tail = 0.0, 0.0
+        for w in [*words, None]:
+            whole = [*prefix, *([w] if w else [])]
+            ids = np.array([t for x in whole for t in x] + [10])
+            length = np.array([*map(len, whole), 1])
+            word = np.array([True] * len(whole) + [False])
+            scores = model.word_scores(ids, np.array([len(ids)]), length, word)
+            own = float(np.exp(scores[len(prefix)]))
+            mass += own
+            if w and len(w) == 4:  # what goes on behind four ids
+                begin = model.id_scores(ids, np.array([len(ids)]))[1][-1]
+                tail += own * (np.exp(-begin) - 1)
+        assert mass <= 1 + 1e-4 and mass + tail == pytest.approx(1, abs=1e-3)
+
+
+def test_lm_learns_from_long_texts_and_rows_without_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm_scoring.Model, "train", lambda self, texts, steps: seen.append((len(texts), sum(map(len, texts)), steps)))
+    long = " ".join(f"word{i}" for i in range(30_000))
+    lm_scoring.score(documents(spark, [(None, long), (None, "a b"), (None, "c")]), F.lit(False)).count()
+    (n, size, _), = seen
+    assert n == -(-len(long) // lm_scoring.PIECE) + 2 and size > 30_000
 
 
 def test_lm_scores(spark, monkeypatch):
