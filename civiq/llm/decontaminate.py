@@ -10,25 +10,31 @@ vocabulary words shorter than the shortest window: nothing that can match is
 left out, and the index holds a small part of the text.
 
 Scale: documents are read once and not shuffled. The benchmark is searched in
-blocks of at most BLOCK_BYTES of item text (one block is broadcast at a time; a
-larger benchmark takes further passes over the documents).
+blocks of at most BLOCK_BYTES of item text. One block is the usual case and needs
+one pass. For a larger benchmark the documents are written once with a number per
+row; each block's pass reads them and gives the marks of the few rows that it
+hits, which are merged by that number.
 
 Defined results: a null text has no words; a null or wordless item has no
 window; windows of items with a null id mark words but are not listed; an item
-id that repeats is listed once; other columns are carried through untouched.
+id that repeats is listed once; other columns are carried through untouched;
+`hits` is empty for a document without a hit where the benchmark has more blocks
+than one.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import chunks, columns, materialize, runs, ship, values, with_row
+from .common import chunks, columns, materialize, runs, ship, values
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -109,53 +115,84 @@ def find(shard: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray, np.nda
     return np.cumsum(cover[:-1]) > 0, lens, items
 
 
-def _pass(shared):
+def _pass(shared, text_of):
+    """Marks of one block of the benchmark: every column but the text's own is
+    handed on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shared.value
         for b in batches:
             done = 0
-            read = zip(map(words_of, values(b.column("text"))), b.column("hits").to_pylist(), b.column("items").to_pylist(), strict=True)
-            for part in chunks(read, lambda r: len(r[0]), SHARD_WORDS):
-                mask, lens, items = find([w for w, *_ in part], phrases)
+            for part in chunks(map(words_of, values(text_of(b))), len, SHARD_WORDS):
+                mask, lens, items = find(part, phrases)
                 hits, n_hit = [], []
-                for end, n, (_, old, _) in zip(np.cumsum(lens).tolist(), lens.tolist(), part, strict=True):
+                for end, n in zip(np.cumsum(lens).tolist(), lens.tolist(), strict=True):
                     own = mask[end - n:end]
-                    if old is not None:
-                        own = own | np.unpackbits(np.frombuffer(old, np.uint8), count=n).astype(bool)
                     n_hit.append(int(own.sum()))
                     hits.append(np.packbits(own).tobytes())
-                found = [sorted(new.union(old or ())) for new, (*_, old) in zip(items, part, strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    b.column("row").slice(done, len(part)), b.column("text").slice(done, len(part)), pa.array(lens), pa.array(n_hit, pa.int64()),
-                    pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.string()))], ["row", "text", "n_words", "n_hit", "hits", "items"])
+                    b.column(0).slice(done, len(part)), pa.array(lens), pa.array(n_hit, pa.int64()), pa.array(hits, pa.binary()),
+                    pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [b.schema.names[0], "n_words", "n_hit", "hits", "items"])
                 done += len(part)
 
     return run
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks of several blocks of the benchmark for one document -> one."""
+    for b in batches:
+        n_hit, hits, items = [], [], []
+        for masks, found in zip(b.column("all_hits").to_pylist(), b.column("all_items").to_pylist(), strict=True):
+            whole = np.bitwise_or.reduce([np.frombuffer(m, np.uint8) for m in masks])
+            hits.append(whole.tobytes())
+            n_hit.append(int(np.bitwise_count(whole).sum()))
+            items.append(sorted({x for own in found for x in own}))
+        yield pa.RecordBatch.from_arrays(
+            [b.column("at"), pa.array(n_hit, pa.int64()), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))], ["at", "n_hit", "hits", "items"])
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list]:
     items = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).toLocalIterator()
     yield from chunks(((r[0], r[1]) for r in items), lambda r: len(r[1] or "") + 16, BLOCK_BYTES)
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per document: row (the whole input row as a struct), n_words,
-    n_hit, hits (packed bits, one per word), items (ids whose windows occur,
-    sorted as strings)."""
+_MARKS = "n_words long, n_hit long, hits binary, items array<string>"
+
+
+def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """One row per document: row (the columns `keep` of the input row as a
+    struct; all of them by default), n_words, n_hit, hits (packed bits, one per
+    word), items (ids whose windows occur, sorted as strings)."""
     spark = docs.sparkSession
     ship(spark)
-    state = docs.select(
-        F.struct(*columns(docs)).alias("row"), F.col(text_col).alias("text"),
-        F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.lit(None).cast("binary").alias("hits"),
-        F.lit(None).cast("array<string>").alias("items"))
-    schema = with_row(state, "text string, n_words long, n_hit long, hits binary, items array<string>")
-    shared = None
-    for block in _blocks(benchmark, id_col, text_col):
-        if shared is not None:
-            state = materialize(state)
-            shared.unpersist()
+    blocks = _blocks(benchmark, id_col, text_col)
+    first, second = next(blocks, []), next(blocks, None)
+    kept = [c for c in docs.columns if keep is None or c in keep]
+    row = F.struct(*[c for c, name in zip(columns(docs), docs.columns, strict=True) if name in kept]).alias("row")
+
+    def one(state, text_of, block):
         shared = spark.sparkContext.broadcast(Phrases(block, window))
-        state = state.mapInArrow(_pass(shared), schema)
-    if shared is None:
-        state = state.mapInArrow(_pass(spark.sparkContext.broadcast(Phrases([], window))), schema)
-    return state.drop("text")
+        schema = T.StructType([state.schema.fields[0], *T.StructType.fromDDL(_MARKS).fields])
+        return state.mapInArrow(_pass(shared, text_of), schema)
+
+    def own_text(b):
+        return b.column("text")
+
+    if second is None:
+        if text_col in kept:  # the text is in the row, so it is not sent twice
+            at = kept.index(text_col)
+            return one(docs.select(row), lambda b: b.column("row").field(at), first)
+        return one(docs.select(row, F.col(text_col).alias("text")), own_text, first)
+    # a larger benchmark: the table is written once with a number per row, each
+    # block's pass gives the marks of the rows that it hits alone
+    base = materialize(docs.select(F.monotonically_increasing_id().alias("at"), row, F.col(text_col).alias("text")))
+    parts, total = [], None
+    for block in chain([first, second], blocks):
+        marks = one(base.select("at", "text"), own_text, block)
+        total = materialize(marks.select("at", "n_words")) if total is None else total
+        parts.append(materialize(marks.filter("n_hit > 0").drop("n_words", "n_hit")))
+    every = functools.reduce(DataFrame.unionByName, parts)
+    merged = every.groupBy("at").agg(F.collect_list("hits").alias("all_hits"), F.collect_list("items").alias("all_items")).mapInArrow(_merged, "at long, n_hit long, hits binary, items array<string>")
+    none = F.array().cast("array<string>")
+    return base.select("at", "row").join(total, "at").join(merged, "at", "left").select(
+        "row", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("hits", F.lit(b"")).alias("hits"), F.coalesce("items", none).alias("items"))
