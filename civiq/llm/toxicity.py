@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from .common import first_by_hash, materialize, ship, values, with_row
 
 FITTED = 40_000
+#: Bits of the sketch of labelled ids.
+ID_BITS = 1 << 26
 MINED = 2_000
 MINED_VOTERS = 6
 PREFIXES = (5, 6, 7)
@@ -276,6 +278,25 @@ def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, wi
     return w
 
 
+def _maybe_labelled(text: DataFrame, known: DataFrame) -> DataFrame:
+    """text(l_id, text) without most rows that have no label: their ids miss a
+    sketch of the labelled ids (none with a label is lost)."""
+    spark = text.sparkSession
+    place = F.pmod(F.xxhash64("l_id"), F.lit(ID_BITS))
+    held = known.select(place.alias("at")).groupBy(F.expr("at div 32768").cast("int").alias("block")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits"))
+    sketch = np.zeros(ID_BITS >> 3, np.uint8)
+    for block, bits in held.collect():  # ID_BITS / 8 bytes at most
+        sketch[block << 12:(block << 12) + len(bits)] = np.frombuffer(bytes(bits), np.uint8)
+    shared = spark.sparkContext.broadcast(sketch)
+
+    def run(batches):
+        for b in batches:
+            at = b.column("at").to_numpy()
+            yield b.select(["l_id", "text"]).filter(pa.array(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0))
+
+    return text.withColumn("at", place).mapInArrow(run, text.schema)
+
+
 def _read_all(shared):
     def run(batches):
         read = shared.value.reader()
@@ -296,8 +317,9 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     ship(spark)
     known = materialize(labels.filter(learn_from & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
                         .groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label")))
-    text = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text"))
-    voters = Voters(mine(text.join(known, "l_id").select("text", "label")))
+    text = _maybe_labelled(docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text")), known)
+    # one plan at every size: labels may be many
+    voters = Voters(mine(text.join(known.hint("merge"), "l_id").select("text", "label")))
     shared = spark.sparkContext.broadcast(voters)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("l_id"), learn_from.alias("learns")).alias("row"), F.col(text_col).alias("text"))
     schema = with_row(whole, "votes int, at array<int>, counts array<int>, words int")
@@ -305,7 +327,7 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     all_votes = dict(map(tuple, read.groupBy("votes").count().collect()))  # at most 2**voters rows
     if not all_votes:
         return read.select(*[F.col("row")[c].alias(c) for c in keep], F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    seen = read.select(F.col("row.l_id").alias("l_id"), "votes").join(known, "l_id").groupBy("votes", "label").count().collect()  # at most 2 * 2**voters rows
+    seen = read.select(F.col("row.l_id").alias("l_id"), "votes").join(known.hint("merge"), "l_id").groupBy("votes", "label").count().collect()  # at most 2 * 2**voters rows
     for votes, _, n in seen:
         all_votes[votes] -= n
     cols = np.array(sorted([(v, y, n) for v, y, n in seen] + [(v, -1, n) for v, n in all_votes.items() if n]), np.int64)
