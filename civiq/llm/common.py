@@ -78,10 +78,10 @@ def columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
-def first_by_hash(df: DataFrame, key: str, n: int, *ties: str) -> DataFrame:
+def first_by_hash(df: DataFrame, key: str, n: int, *ties: str, total: int | None = None) -> DataFrame:
     """At most n rows, the first by a hash of `key`. The hash is cut first, so
     that each task sends a share of about 3n rows and not n rows of its own."""
-    total, h = df.count(), F.xxhash64(key)
+    total, h = df.count() if total is None else total, F.xxhash64(key)
     if total > 4 * n:
         df = df.filter(h < F.lit(-(1 << 63) + (1 << 64) * 3 * n // total))
     return df.orderBy(h, key, *ties).limit(n)
