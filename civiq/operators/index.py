@@ -8,6 +8,8 @@ tokenized separately and counted together.
   document length rides along so scoring needs no join back to documents.
 * ``term_stats(term, df)`` - document frequency per term.
 * ``corpus_stats(n_docs, avgdl)`` - one row.
+* ``bounds(term, block, bound)`` - the greatest BM25 contribution of a term in a
+  block of consecutive ids, for searches that leave out blocks.
 
 All tokens of a document sit in one input partition, so the (term, id)
 aggregate is complete after its map-side partial step; the shuffle on
@@ -17,12 +19,16 @@ all reducers instead of one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..schema import BM25_B, BM25_K1
 
 INDEX_COLUMNS = ["comentario", "ciudad", "categoria_problema"]
+#: Consecutive ids in one block of the bounds.
+BLOCK_IDS = 1024
 
 
 def doc_tokens(reports: DataFrame, id_col: str = "id",
@@ -73,13 +79,39 @@ def term_stats(post: DataFrame) -> DataFrame:
     return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def contribution(avgdl: Column) -> Column:
+    """What one occurrence of a query term adds to a document's BM25 score, before
+    its idf: grows with ``tf``, falls with ``doc_len``."""
+    k1, b, tf = F.lit(BM25_K1), F.lit(BM25_B), F.col("tf").cast("double")
+    return tf * (k1 + F.lit(1.0)) / (tf + k1 * (F.lit(1.0) - b + b * F.col("doc_len") / avgdl))
+
+
+def term_bounds(post: DataFrame, corpus: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """(term, block, bound): the greatest contribution of a term among the
+    ``block_ids`` consecutive ids of a block; combined map-side."""
+    avgdl = corpus.select(F.col("avgdl").cast("double")).scalar()
+    return post.groupBy("term", F.floor(F.col("id") / block_ids).alias("block")).agg(
+        F.max(contribution(avgdl)).alias("bound"))
+
+
 class TextIndex:
     """The index tables of one report DataFrame (lazy until used)."""
 
-    def __init__(self, postings_df: DataFrame, terms_df: DataFrame, corpus_df: DataFrame):
+    def __init__(self, postings_df: DataFrame, terms_df: DataFrame, corpus_df: DataFrame,
+                 bounds_df: DataFrame | None = None, block_ids: int = BLOCK_IDS):
         self.postings = postings_df
         self.terms = terms_df
         self.corpus = corpus_df
+        self.block_ids = block_ids
+        self._bounds = bounds_df
+
+    @property
+    def bounds(self) -> DataFrame:
+        """``term_bounds`` of this index, made when first asked for."""
+        if self._bounds is None:
+            from ..session import materialize
+            self._bounds = materialize(term_bounds(self.postings, self.corpus, self.block_ids))
+        return self._bounds
 
     @classmethod
     def build(cls, reports: DataFrame, checkpoint: bool = True, **kw) -> "TextIndex":
@@ -99,7 +131,7 @@ class TextIndex:
         return cls(p, keep(term_stats(p)), keep(corpus))
 
     def write(self, path: str, partitions: int | None = None) -> None:
-        """Store the index. Postings are range-partitioned on (term, id) - a
+        """Store the index (bounds in a folder that names their block length). Postings are range-partitioned on (term, id) - a
         stop word is split across files rather than landing in one - and
         sorted, so Parquet min/max statistics skip row groups for term
         lookups."""
@@ -111,8 +143,16 @@ class TextIndex:
         p.sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
         self.terms.write.mode("overwrite").parquet(f"{path}/terms")
         self.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
+        self.bounds.write.mode("overwrite").parquet(f"{path}/bounds_{self.block_ids}")
 
     @classmethod
     def read(cls, spark, path: str) -> "TextIndex":
+        """A stored index; bounds that were not stored are made when needed."""
+        try:
+            bounds = spark.read.parquet(f"{path}/bounds_{BLOCK_IDS}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            bounds = None
         return cls(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"),
-                   spark.read.parquet(f"{path}/corpus"))
+                   spark.read.parquet(f"{path}/corpus"), bounds)

@@ -6,7 +6,8 @@ A batch of questions ``(question_id, texto)`` is searched at once:
   to the postings on ``term``; the per-(question, document) aggregate keeps
   documents holding every query term and sums the BM25 contributions
   (k1 = 1.2, b = 0.75, idf floored at 1e-6, corpus statistics over the whole
-  index). Top-k per question is a row_number window, which Spark plans as a
+  index). Blocks of ids whose bound cannot reach the k-th score are not read.
+  Top-k per question is a row_number window, which Spark plans as a
   partial WindowGroupLimit before the shuffle, so a question matching most
   documents still ships at most k rows per map task.
 * LIKE (C5, F2): ``%q%`` on comment, city or category with SQL-LIKE
@@ -23,16 +24,17 @@ A batch of questions ``(question_id, texto)`` is searched at once:
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ascii_lower, like_contains_pattern, name_grams, sanitize_query, text_grams, tokenize
-from ..schema import BM25_B, BM25_K1, BM25_MIN_IDF, CONTEXT_LINE, DEFAULT_TOP_K, HIT_COLUMNS
+from ..schema import BM25_MIN_IDF, CONTEXT_LINE, DEFAULT_TOP_K, HIT_COLUMNS
 from ..session import materialize
 from .filters import ReportFilter, as_filter, filter_columns_predicate
-from .index import TextIndex, explode_terms
+from .index import TextIndex, contribution, explode_terms
 
 # Largest bytes of patterns broadcast into one nested-loop join.
 LIKE_BROADCAST_BYTES = 16 << 20
@@ -43,6 +45,8 @@ LONG_GRAM, SHORT_GRAM, FILED_GRAMS = 8, 3, 4
 QUERY_TERMS_BROADCAST_ROWS = 2_000_000
 # Largest candidate (question, document, term) table broadcast against postings.
 PAIRS_BROADCAST_ROWS = 1_000_000
+# Blocks of ids per question that are scored before a k-th score is known.
+FIRST_BLOCKS = 8
 # Largest ranked-hit table (k rows per question) broadcast to fetch hit columns.
 HITS_BROADCAST_ROWS = 1_000_000
 
@@ -67,59 +71,108 @@ def _idf(n_docs: Column, df: Column) -> Column:
 def bm25_scores(questions: DataFrame, index: TextIndex, qt: DataFrame | None = None,
                 n_qt: int | None = None) -> DataFrame:
     """(question_id, id, score) for every document that holds all terms."""
-    return _bm25_scored(questions, index, qt, n_qt)[0]
+    if qt is None:
+        qt = materialize(query_terms(questions))
+        n_qt = qt.count()
+    terms = _weighted_terms(index, qt, n_qt)
+    return _scored(index, terms, n_qt, _rarest(terms))
+
+
+def _small(df: DataFrame, n: int) -> DataFrame:
+    """A query-side table of at most ``n`` rows: broadcast below the bound, so the
+    postings are filtered map-side and never shuffled by term; above it the joins
+    stay shuffle joins (AQE splits skewed partitions)."""
+    return F.broadcast(df) if n <= QUERY_TERMS_BROADCAST_ROWS else df
+
+
+def _weighted_terms(index: TextIndex, qt: DataFrame, n_qt: int) -> DataFrame:
+    """(question_id, term, n_terms, df, weight): query terms that the index holds,
+    with what multiplies their contribution (repetitions times idf)."""
+    n_docs = index.corpus.select(F.col("n_docs").cast("double")).scalar()
+    return index.terms.join(_small(qt, n_qt), "term").select(
+        "question_id", "term", "n_terms", "df", (F.col("qtf") * _idf(n_docs, F.col("df"))).alias("weight"))
+
 
+def _rarest(terms: DataFrame) -> DataFrame:
+    """(question_id, term): the rarest term of each question. A question with a
+    term absent from the index cannot match anything and has none."""
+    return (terms.groupBy("question_id", "n_terms")
+            .agg(F.count(F.lit(1)).alias("n_known"), F.min(F.struct("df", "term")).alias("r"))
+            .where(F.col("n_known") == F.col("n_terms")).select("question_id", F.col("r.term").alias("term")))
 
-def _bm25_scored(questions: DataFrame, index: TextIndex, qt: DataFrame | None,
-                 n_qt: int | None) -> tuple[DataFrame, int]:
-    """BM25 scores and the counted number of candidate (question, document,
-    term) rows, an upper bound on the number of scored rows.
+
+def _scored(index: TextIndex, terms: DataFrame, n_qt: int, rare: DataFrame,
+            blocks: DataFrame | None = None) -> DataFrame:
+    """BM25 scores of the documents that hold all terms of a question.
 
     Candidate documents come from each question's rarest term (every match
-    must contain it); only for those candidates are the other terms' postings
-    looked up, by an equi-join on the unique posting key (term, id). A stop
-    word shared by many questions is therefore shuffled once, never fanned
+    must contain it), with ``blocks(question_id, term, block)`` only those of its
+    documents that lie in one of the question's blocks; only for those candidates are the other
+    terms' postings looked up, by an equi-join on the unique posting key (term, id).
+    A stop word shared by many questions is therefore shuffled once, never fanned
     out per question, and no (question, document) pair is formed for
     documents lacking the rarest term.
     """
-    # The query side is materialized and its size checked: below the bound
-    # every query-derived table (terms, rarest terms) is broadcast, so the
-    # postings are filtered map-side and never shuffled by term; above it the
-    # joins stay shuffle joins (AQE splits skewed partitions).
-    if qt is None:
-        qt = materialize(query_terms(questions))
-        n_qt = qt.count()
-    small = n_qt <= QUERY_TERMS_BROADCAST_ROWS
-    bc = F.broadcast if small else (lambda d: d)
-    n_docs = index.corpus.select(F.col("n_docs").cast("double")).scalar()
-    avgdl = index.corpus.select(F.col("avgdl").cast("double")).scalar()
-    qi = index.terms.join(bc(qt), "term").select(
-        "question_id", "term", "qtf", "n_terms", "df", _idf(n_docs, F.col("df")).alias("idf"))
-    # A question with a term absent from the index cannot match anything.
-    rare = (qi.groupBy("question_id", "n_terms")
-            .agg(F.count(F.lit(1)).alias("n_known"),
-                 F.min(F.struct("df", "term")).alias("r"))
-            .where(F.col("n_known") == F.col("n_terms"))
-            .select("question_id", F.col("r.term").alias("term")))
-    cand = index.postings.select("term", "id").join(bc(rare), "term").select("question_id", "id")
-    pairs = materialize(cand.join(
-        bc(qi.select("question_id", "term", "qtf", "n_terms", "idf")), "question_id"))
-    n_pairs = pairs.count()
-    if n_pairs <= PAIRS_BROADCAST_ROWS:
+    post = index.postings.select("term", "id")
+    if blocks is None:
+        cand = post.join(_small(rare, n_qt), "term").select("question_id", "id")
+    else:
+        post = post.withColumn("block", F.floor(F.col("id") / index.block_ids))
+        n_blocks = blocks.count()
+        cand = post.join(_small(blocks, n_blocks), ["term", "block"]).select("question_id", "id")
+    pairs = materialize(cand.join(_small(terms.drop("df"), n_qt), "question_id"))
+    if pairs.count() <= PAIRS_BROADCAST_ROWS:
         # candidate (question, document, term) rows are few: probe the postings
         # with them map-side, no shuffle of the postings at all
         rel = index.postings.join(F.broadcast(pairs), ["term", "id"])
     else:
-        wanted = index.postings.join(bc(qt.select("term").distinct()), "term", "left_semi")
+        wanted = index.postings.join(_small(terms.select("term").distinct(), n_qt), "term", "left_semi")
         rel = pairs.join(wanted, ["term", "id"])
-    k1, b = F.lit(BM25_K1), F.lit(BM25_B)
-    tf = F.col("tf").cast("double")
-    contrib = (F.col("qtf") * F.col("idf") * (tf * (k1 + F.lit(1.0)))
-               / (tf + k1 * (F.lit(1.0) - b + b * F.col("doc_len") / avgdl)))
+    avgdl = index.corpus.select(F.col("avgdl").cast("double")).scalar()
     agg = rel.groupBy("question_id", "id", "n_terms").agg(
-        F.count(F.lit(1)).alias("n_hit"), F.sum(contrib).alias("score"))
-    scored = agg.where(F.col("n_hit") == F.col("n_terms")).select("question_id", "id", "score")
-    return scored, n_pairs
+        F.count(F.lit(1)).alias("n_hit"), F.sum(F.col("weight") * contribution(avgdl)).alias("score"))
+    return agg.where(F.col("n_hit") == F.col("n_terms")).select("question_id", "id", "score")
+
+
+def _block_bounds(index: TextIndex, terms: DataFrame, n_qt: int, rare: DataFrame) -> DataFrame:
+    """(question_id, term, block, bound): the blocks that hold every term of a
+    question, with its rarest term and a bound that no document of the block
+    scores above. Blocks come from the rarest term, so a question has no more of
+    them than that term has documents."""
+    own = index.bounds.select("term", "block").join(_small(rare, n_qt), "term").select(
+        "question_id", "block", F.col("term").alias("rare"))
+    asked = own.join(_small(terms.drop("df"), n_qt), "question_id")
+    held = index.bounds.join(_small(terms.select("term").distinct(), n_qt), "term", "left_semi")
+    return (asked.join(held, ["term", "block"]).groupBy("question_id", "rare", "block", "n_terms")
+            .agg(F.count(F.lit(1)).alias("n_hit"), F.sum(F.col("weight") * F.col("bound")).alias("bound"))
+            .where(F.col("n_hit") == F.col("n_terms")).select("question_id", F.col("rare").alias("term"), "block", "bound"))
+
+
+def bm25_top(index: TextIndex, qt: DataFrame, n_qt: int, k: int,
+             allowed: Callable[[DataFrame], DataFrame], first: int = FIRST_BLOCKS) -> DataFrame:
+    """(question_id, rank, id, score): the k best documents of each question among
+    those that ``allowed`` keeps.
+
+    The ``first`` blocks with the highest bounds are scored. Of the other blocks
+    only those are read whose bound reaches the k-th score found so far (equal
+    scores included: the smaller id may lie there), so postings of a frequent
+    term are mostly left alone. Questions with few blocks have nothing left."""
+    order = [F.desc(F.round("score", 9)), F.asc("id")]
+    terms = materialize(_weighted_terms(index, qt, n_qt))
+    rare = materialize(_rarest(terms))
+    w = Window.partitionBy("question_id").orderBy(F.desc("bound"), F.asc("block"))
+    bounds = materialize(_block_bounds(index, terms, n_qt, rare).withColumn("place", F.row_number().over(w)))
+    head = allowed(_scored(index, terms, n_qt, rare, bounds.where(F.col("place") <= first)))
+    rest = bounds.where(F.col("place") > first)
+    if rest.isEmpty():
+        return top_k_per_question(head, k, order)
+    head = materialize(top_k_per_question(head, k, order))
+    kth = head.where(F.col("rank") == k).select("question_id", F.col("score").alias("kth"))
+    # scores are compared rounded to 9 places: half a unit on either side
+    reach = F.col("kth").isNull() | (F.col("bound") >= F.col("kth") - F.lit(2e-9) * (1 + F.abs("kth")))
+    more = materialize(rest.join(kth, "question_id", "left").where(reach).select("question_id", "term", "block"))
+    found = allowed(_scored(index, terms, n_qt, rare, more))
+    return top_k_per_question(head.drop("rank").unionByName(found), k, order)
 
 
 def _with_filters(scored: DataFrame, reports: DataFrame, flt: ReportFilter | dict | None,
@@ -177,9 +230,7 @@ def bm25_search(questions: DataFrame, reports: DataFrame, index: TextIndex | Non
     asked, fan = _distinct_queries(questions)
     qt = materialize(query_terms(asked))
     n_qt = qt.count()
-    scored, _ = _bm25_scored(asked, index, qt, n_qt)
-    scored = _with_filters(scored, reports, filters, asked)
-    top = top_k_per_question(scored, k, [F.desc(F.round("score", 9)), F.asc("id")])
+    top = bm25_top(index, qt, n_qt, k, lambda scored: _with_filters(scored, reports, filters, asked))
     top = top.select(F.col("question_id").alias("asked_id"), "rank", "id", F.round("score", 6).alias("score"))
     # at most k rows per query, and no more queries than query-term rows
     hits = _attach_hits(top, reports, k * n_qt <= HITS_BROADCAST_ROWS) if with_hits else top
