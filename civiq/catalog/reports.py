@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import oracle as O
 from ..operators import analysis as A
 from ..operators import stats as ST
@@ -97,6 +99,12 @@ register("top_cities", O.with_(["v_reports"], """
 SELECT ciudad, COUNT(*) AS count FROM v_reports GROUP BY 1
 ORDER BY count DESC, ciudad LIMIT 15"""))(lambda spark, sf: A.top_cities(_v(spark, sf)))
 
+register("top_categories_many_keys", """
+SELECT CAST(l_partkey AS VARCHAR) AS categoria_problema, COUNT(*) AS count FROM lineitem GROUP BY 1
+ORDER BY count DESC, categoria_problema LIMIT 15""")(
+    lambda spark, sf: A.top_of_many(S.table(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("categoria_problema")), "categoria_problema", 15))
+
 register("urgent_distribution", O.with_(["v_reports", """
 c AS (SELECT urgente, COUNT(*) AS count FROM v_reports GROUP BY urgente)""", """
 l AS (SELECT count_if(urgente IN (0, 1)) = 2 AND COUNT(*) = 2 AS labelled FROM c)"""], """
@@ -137,14 +145,15 @@ register("crosstab_top_wide", O.with_(_CROSSTAB_SUB, "SELECT ciudad, " + ", ".jo
     lambda spark, sf: A.crosstab_top(_v(spark, sf), wide=True))
 
 
-def _corr_sql() -> str:
+def correlation_rows() -> str:
+    """SQL of (var1, var2, corr)."""
     from ..schema import CORRELATION_COLUMNS as cols
     sel = [f"SELECT '{a}' AS var1, '{b}' AS var2, round(CASE WHEN isnan(corr({a}, {b})) THEN NULL "
            f"ELSE corr({a}, {b}) END, 9) AS corr FROM v_reports" for a in cols for b in cols]
-    return O.with_(["v_reports"], "\nUNION ALL\n".join(sel))
+    return "\nUNION ALL\n".join(sel)
 
 
-register("correlation_matrix", _corr_sql())(lambda spark, sf: A.correlation_matrix(_v(spark, sf)))
+register("correlation_matrix", O.with_(["v_reports"], correlation_rows()))(lambda spark, sf: A.correlation_matrix(_v(spark, sf)))
 
 register("analysis_summary", O.with_(["v_reports"], f"""
 SELECT COUNT(*) AS rows, min(fecha_reporte) AS min_fecha, max(fecha_reporte) AS max_fecha,

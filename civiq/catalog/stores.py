@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..operators import analysis as A
 from ..operators import clean as C
+from ..plans.ask import ask
 from ..plans.etl import run_etl
 from ..plans.report import generate_all
 from ..schema import COLUMN_RENAME_MAP, REPORT_COLUMNS, REPORT_SCHEMA
@@ -18,6 +19,7 @@ from ..sources import csv as CSV
 from ..sources import tables as S
 from . import register
 from .cleaning import chain
+from .reports import correlation_rows
 
 _RAW = list(COLUMN_RENAME_MAP)
 _COLS = ", ".join(REPORT_COLUMNS)
@@ -106,16 +108,26 @@ def etl_pipeline(spark, sf):
 
 
 def report_pipeline(spark, sf):
-    """Rows of every chart table that the analysis job has written."""
+    """The rows of every chart table that the analysis job has written: their keys
+    as text and their number."""
     done = generate_all(spark, S.reports(spark, sf), _folder(spark))
-    parts = [spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("chart"), "n_rows")
-             for name, path in sorted(done["charts"].items())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = None
+    for name, path in sorted(done["charts"].items()):
+        df = spark.read.parquet(path)
+        keys = [c for c in df.columns if c not in ("count", "corr")]
+        label = F.concat_ws("|", *[F.col(c).cast("string") for c in keys])
+        rows = df.select(F.lit(name).alias("chart"), label.alias("keys"), F.col("count" if "count" in df.columns else "corr").cast("double").alias("value"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def ask_plan(spark, sf):
+    """Questions against the stored ETL output (reports and index)."""
+    out = _folder(spark)
+    run_etl(spark, _raw_files(spark, sf), out)
+    return ask(spark, S.questions(spark, sf), out)
+
+
 def store_presence(spark, sf):
     out = _folder(spark)
     run_etl(spark, _raw_files(spark, sf), out)
@@ -136,12 +148,19 @@ register("upsert_tables", O.with_(["v_reports"], f"""
 SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN ciudad || '!' ELSE ciudad END AS ciudad)
 FROM (SELECT {_COLS} FROM v_reports)"""))(upsert_tables)
 register("etl_pipeline", chain("dd", f"SELECT {_COLS} FROM dd"))(etl_pipeline)
-register("report_pipeline", O.with_(["v_reports"], """
-SELECT 'heatmap_correlaciones' AS chart, 25 AS n_rows
-UNION ALL SELECT 'heatmap_ciudad_categoria', least(12, count(DISTINCT ciudad)) * least(12, count(DISTINCT categoria_problema)) FROM v_reports
-UNION ALL SELECT 'bar_categorias', least(15, count(DISTINCT categoria_problema)) FROM v_reports
-UNION ALL SELECT 'bar_ciudades', least(15, count(DISTINCT ciudad)) FROM v_reports
-UNION ALL SELECT 'bar_urgente', count(DISTINCT urgente) FROM v_reports
-UNION ALL SELECT 'line_diario', count(DISTINCT fecha_reporte) FROM v_reports
-UNION ALL SELECT 'line_mensual', count(DISTINCT substr(fecha_reporte, 1, 7)) FROM v_reports"""))(report_pipeline)
+register("report_pipeline", O.with_(["v_reports", f"""
+pairs AS ({correlation_rows()})""", """
+tc AS (SELECT ciudad FROM v_reports GROUP BY ciudad ORDER BY COUNT(*) DESC, ciudad LIMIT 12)""", """
+tk AS (SELECT categoria_problema FROM v_reports GROUP BY categoria_problema ORDER BY COUNT(*) DESC, categoria_problema LIMIT 12)""", """
+cats AS (SELECT categoria_problema AS k, COUNT(*) AS n FROM v_reports GROUP BY 1 ORDER BY n DESC, k LIMIT 15)""", """
+cities AS (SELECT ciudad AS k, COUNT(*) AS n FROM v_reports GROUP BY 1 ORDER BY n DESC, k LIMIT 15)"""], """
+SELECT chart, keys, CAST(value AS DOUBLE) AS value FROM (
+SELECT 'heatmap_correlaciones' AS chart, var1 || '|' || var2 AS keys, corr AS value FROM pairs
+UNION ALL SELECT 'heatmap_ciudad_categoria', tc.ciudad || '|' || tk.categoria_problema, COUNT(v.id)
+  FROM tc CROSS JOIN tk LEFT JOIN v_reports v ON v.ciudad = tc.ciudad AND v.categoria_problema = tk.categoria_problema GROUP BY 2
+UNION ALL SELECT 'bar_categorias', k, n FROM cats
+UNION ALL SELECT 'bar_ciudades', k, n FROM cities
+UNION ALL SELECT 'bar_urgente', CAST(urgente AS VARCHAR) || '|' || CASE urgente WHEN 1 THEN 'Urgente (1)' ELSE 'No urgente (0)' END, COUNT(*) FROM v_reports GROUP BY urgente
+UNION ALL SELECT 'line_diario', fecha_reporte, COUNT(*) FROM v_reports GROUP BY fecha_reporte
+UNION ALL SELECT 'line_mensual', substr(fecha_reporte, 1, 7) || '-01', COUNT(*) FROM v_reports GROUP BY 2)"""))(report_pipeline)
 register("store_presence", chain("dd", "SELECT true AS has_reports, true AS has_index, count(*) AS row_count FROM dd"))(store_presence)

@@ -7,9 +7,12 @@ membership (semi) joins of the crosstab.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import (
     CORRELATION_COLUMNS,
@@ -23,6 +26,10 @@ from ..schema import (
 )
 from ..session import materialize
 
+#: Counters of a frequent-items summary, keys of it that are counted exactly, and
+#: groups of partitions whose summaries are merged first.
+TRACKED_KEYS, LISTED_KEYS, SUMMARY_PARTS = 1 << 16, 2048, 64
+
 CHART_TABLES = [
     "heatmap_correlaciones",
     "heatmap_ciudad_categoria",
@@ -86,9 +93,45 @@ def top_cities(reports: DataFrame, n: int = TOP_CITIES) -> DataFrame:
     return _top(reports, "ciudad", n)
 
 
+def top_of_many(rows: DataFrame, key: str, n: int, tracked: int = TRACKED_KEYS, listed: int = LISTED_KEYS) -> DataFrame:
+    """E10/E11 for keys without a bound on their number: the n most frequent values
+    (key, count), counted exactly, ties by key ascending, a null key like any other.
+
+    A mergeable frequent-items summary of ``tracked`` counters is made per task and
+    merged in two steps; only its ``listed`` best keys are then counted, so no key is
+    shuffled. A key outside that list has at most ``bound`` rows: the summary's
+    error allows twice its epsilon, and a full list ends at its last estimate. The
+    counted keys are the answer if the n-th of them has more rows than that. Otherwise
+    (frequencies too flat for the summary) all keys are counted."""
+    tracked = max(tracked, listed)
+    part = F.pmod(F.spark_partition_id(), F.lit(SUMMARY_PARTS))
+    parts = rows.groupBy(part.alias("_part")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("s"), F.count(F.lit(1)).alias("n"))
+    one = parts.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {listed})").alias("top"), F.sum("n").alias("n")).first()
+    if not one["n"]:
+        return _top(rows, key, n)
+    counters = 1 << math.ceil(math.log2(math.ceil(tracked / 0.75)))
+    bound = 2 * math.ceil(3.5 / counters * one["n"]) if counters * 0.75 < one["n"] else 0
+    if len(one["top"]) == listed:
+        bound = max(bound, one["top"][-1]["count"])
+    names = [r["item"] for r in one["top"]]
+    kind = rows.schema[key].dataType
+    cand = rows.sparkSession.createDataFrame([(v,) for v in names], T.StructType([T.StructField("_cand", kind)]))
+    counted = rows.join(F.broadcast(cand), F.col(key).eqNullSafe(F.col("_cand")), "left_semi")
+    best = _top(counted, key, n).collect()
+    if bound and (len(best) < n or best[-1]["count"] <= bound):
+        return _top(rows, key, n)
+    return rows.sparkSession.createDataFrame([tuple(r) for r in best], T.StructType(
+        [T.StructField(key, kind), T.StructField("count", T.LongType())]))
+
+
 def urgent_distribution(reports: DataFrame) -> DataFrame:
     """Count per urgent flag, labelled when both flags occur."""
-    counts = reports.groupBy("urgente").agg(F.count(F.lit(1)).alias("count"))
+    return urgent_labels(reports.groupBy("urgente").agg(F.count(F.lit(1)).alias("count")))
+
+
+def urgent_labels(counts: DataFrame) -> DataFrame:
+    """(urgente, label, count) of the counts per flag."""
     labelled = counts.select(
         (F.count_if(F.col("urgente").isin(0, 1)) == 2) & (F.count(F.lit(1)) == 2)).scalar()
     label = (F.when(labelled & (F.col("urgente") == 0), F.lit(URGENT_LABEL_0))
@@ -133,7 +176,12 @@ def crosstab_top(reports: DataFrame, top_cities_n: int = CROSSTAB_TOP_CITIES,
     from these. Long form is zero-filled over the cities and categories present
     in the subset; wide form has one column per category (``_`` is added to a
     category called like the city column)."""
-    cells = materialize(city_category_counts(reports))
+    return crosstab_cells(materialize(city_category_counts(reports)), top_cities_n, top_cats_n, wide)
+
+
+def crosstab_cells(cells: DataFrame, top_cities_n: int = CROSSTAB_TOP_CITIES,
+                   top_cats_n: int = CROSSTAB_TOP_CATEGORIES, wide: bool = False) -> DataFrame:
+    """E13 from the counts per (city, category)."""
     cities = _top_names(cells, "ciudad", top_cities_n)
     cats = _top_names(cells, "categoria_problema", top_cats_n)
     sub = cells.where(F.col("ciudad").isin(cities) & F.col("categoria_problema").isin(cats))
@@ -154,13 +202,9 @@ def crosstab_top(reports: DataFrame, top_cities_n: int = CROSSTAB_TOP_CITIES,
     return pivot.select(F.col("_ciudad").alias("ciudad"), F.inline(pairs))
 
 
-def correlation_matrix(reports: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of the numeric columns in long form.
-
-    One aggregate computes every pairwise population covariance and standard
-    deviation; a constant column gives NULL (no division by zero).
-    """
-    cols = [c for c in (cols or CORRELATION_COLUMNS) if c in reports.columns]
+def _moments(reports: DataFrame, cols: list[str]) -> tuple[list[Column], dict[tuple[str, str], tuple[str, str]]]:
+    """The aggregates behind a correlation matrix (every pairwise population
+    covariance, the deviations) and the names of each pair's two deviations."""
     aggs, sd, seen = [], {}, set()
     fields = {f.name: f for f in reports.schema.fields}
     for i, a in enumerate(cols):
@@ -177,7 +221,11 @@ def correlation_matrix(reports: DataFrame, cols: list[str] | None = None) -> Dat
                 if name not in seen:
                     seen.add(name)
                     aggs.append(F.stddev_pop(x).alias(name))
-    one = reports.agg(*aggs)
+    return aggs, sd
+
+
+def _correlations(one: DataFrame, cols: list[str], sd: dict[tuple[str, str], tuple[str, str]]) -> DataFrame:
+    """(var1, var2, corr) of the one row of moments."""
     cells = []
     for a in cols:
         for b in cols:
@@ -189,6 +237,69 @@ def correlation_matrix(reports: DataFrame, cols: list[str] | None = None) -> Dat
     return one.select(F.inline(F.array(*cells)))
 
 
+def correlation_matrix(reports: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Pearson correlation of the numeric columns in long form.
+
+    One aggregate computes every pairwise population covariance and standard
+    deviation; a constant column gives NULL (no division by zero).
+    """
+    cols = [c for c in (cols or CORRELATION_COLUMNS) if c in reports.columns]
+    aggs, sd = _moments(reports, cols)
+    return _correlations(reports.agg(*aggs), cols, sd)
+
+
+class ReportCube:
+    """Everything that the charts and the profile need, from one scan of the
+    reports: grouping sets per (city, category), per urgent flag, per day and over all,
+    written once. Its rows grow with the distinct names and days, not with the reports.
+    Empty reports give an empty cube."""
+
+    KEYS = ("ciudad", "categoria_problema", "urgente", "fecha_reporte")
+    SETS = (("ciudad", "categoria_problema"), ("urgente",), ("fecha_reporte",), ())
+
+    def __init__(self, reports: DataFrame):
+        self.cols = [c for c in CORRELATION_COLUMNS if c in reports.columns]
+        moments, self._sd = _moments(reports, self.cols)
+        cells = [c for c in REPORT_COLUMNS if c in reports.columns]
+        nulls = sum((F.count_if(F.col(c).isNull()) for c in cells), F.lit(0)).cast("long")
+        self.rows = materialize(reports.groupingSets([list(s) for s in self.SETS], *self.KEYS).agg(
+            F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("n_rows"), F.count("id").alias("n_ids"),
+            F.min("fecha_reporte").alias("min_fecha"), F.max("fecha_reporte").alias("max_fecha"), nulls.alias("null_cells"), *moments))
+
+    def _of(self, *keys: str) -> DataFrame:
+        """The rows of one grouping set (a bit of its number per key left out)."""
+        number = sum(1 << i for i, k in enumerate(reversed(self.KEYS)) if k not in keys)
+        return self.rows.where(F.col("_set") == number)
+
+    def profile(self) -> DataFrame:
+        """A8."""
+        return self._of().agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("row_count"), F.min("min_fecha").alias("min_fecha"),
+                              F.max("max_fecha").alias("max_fecha"), F.coalesce(F.sum("null_cells"), F.lit(0)).cast("long").alias("null_cells"))
+
+    def _series(self, key: Column, name: str) -> DataFrame:
+        days = load_reports(self._of("fecha_reporte").select("fecha_reporte", "n_rows")).where(F.col("fecha_reporte").isNotNull())
+        return days.groupBy(key.alias(name)).agg(F.sum("n_rows").alias("count")).orderBy(name)
+
+    def _top(self, key: str, n: int) -> DataFrame:
+        return (self._of("ciudad", "categoria_problema").groupBy(key).agg(F.sum("n_rows").alias("count"))
+                .orderBy(F.desc("count"), F.asc(key)).limit(n))
+
+    def charts(self) -> dict[str, DataFrame]:
+        """The chart tables."""
+        # an aggregate over all rows has one row, also without reports
+        one = self._of().select(*[c for c in self.rows.columns if c.startswith(("cv_", "sd_"))])
+        one = one.agg(*[F.max(c).alias(c) for c in one.columns])
+        return {
+            "heatmap_correlaciones": _correlations(one, self.cols, self._sd),
+            "heatmap_ciudad_categoria": crosstab_cells(self._of("ciudad", "categoria_problema").select("ciudad", "categoria_problema", "n_rows", "n_ids")),
+            "bar_categorias": self._top("categoria_problema", TOP_CATEGORIES),
+            "bar_ciudades": self._top("ciudad", TOP_CITIES),
+            "bar_urgente": urgent_labels(self._of("urgente").select("urgente", F.col("n_rows").alias("count"))),
+            "line_diario": self._series(F.col("fecha_reporte"), "fecha"),
+            "line_mensual": self._series(F.trunc("fecha_reporte", "month"), "mes"),
+        }
+
+
 def summary(reports: DataFrame, charts: list[str] | None = None) -> DataFrame:
     """The one-row analysis summary: rows, date range and chart tables."""
     names = charts or CHART_TABLES

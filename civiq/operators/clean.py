@@ -1,8 +1,8 @@
 """Cleaning, validation and de-duplication of raw reports.
 
-The whole pipeline is one lazy chain of narrow projections and filters; the
-only shuffle is the de-duplication by id. De-duplication is an aggregate
-(``min_by``/``max_by`` on the arrival order) rather than a window, so Spark
+The rules are narrow projections and filters. De-duplication by id writes the
+valid rows once, counts ids alone and compares only rows with a repeated id, by an
+aggregate (``min_by``/``max_by`` on the arrival order) rather than a window, so Spark
 combines duplicates map-side and a hot id never lands in one task as raw rows.
 """
 
@@ -26,6 +26,8 @@ from ..schema import (
     REQUIRED_FIELDS,
     URGENT_LABELS,
 )
+from ..session import materialize
+from .sketch import key_sketch, mark_held
 
 SEQ = "seq"
 #: Whether the dates of a row's file are written with the day first.
@@ -177,8 +179,17 @@ def _pick(df: DataFrame, key: str, order: str, last: bool) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, key: str = "id", order: str = SEQ) -> DataFrame:
-    """Keep the first row (smallest ``order``) per key."""
-    return _pick(df, key, order, last=False)
+    """Keep the first row (smallest ``order``) per key.
+
+    Rows are written once. Keys are then counted alone, and only rows whose key is
+    (or shares its sketch bit with) a repeated one are compared; all others pass
+    by without a shuffle or a sort."""
+    rows = materialize(df)
+    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    marked = mark_held(rows, materialize(key_sketch(repeated, key)), key, "_again")
+    cols = [key, *[c for c in df.columns if c != key]]
+    single = marked.where(~F.col("_again")).select(*cols)
+    return single.unionByName(_pick(marked.where("_again").select(*cols), key, order, last=False))
 
 
 def upsert_last_wins(df: DataFrame, key: str = "id", order: str = SEQ) -> DataFrame:
@@ -189,7 +200,9 @@ def upsert_last_wins(df: DataFrame, key: str = "id", order: str = SEQ) -> DataFr
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str = "id", order: str = SEQ) -> DataFrame:
     """A5 for two tables: incoming rows replace current rows with the same key.
-    Of incoming rows with one key the last by ``order`` wins; without that
+    ``current`` is a keyed table (one row per key). A bit sketch of the incoming keys
+    tells which stored rows can be replaced: only these are shuffled to meet the
+    incoming ones, the others pass by. Of incoming rows with one key the last by ``order`` wins; without that
     column the keys of ``incoming`` must be unique, else there is no last row."""
     if order not in incoming.columns:
         if incoming.groupBy(key).count().where("count > 1").limit(1).count():
@@ -200,9 +213,11 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str = "id", order: str
     kind = rows.schema["_ord"].dataType
     old = current.select(*cols, F.lit(0).alias("_src"), (
         F.col(order).cast(kind) if order in current.columns else F.lit(None).cast(kind)).alias("_ord"))
-    both = old.unionByName(rows).withColumn("_key", F.struct("_src", "_ord"))
-    picked = upsert_last_wins(both, key, "_key")
-    return picked.select(*[F.col("_ord").alias(c) if c == order else c for c in current.columns])
+    marked = mark_held(old, materialize(key_sketch(incoming, key)), key, "_touched")
+    both = marked.where("_touched").drop("_touched").unionByName(rows).withColumn("_key", F.struct("_src", "_ord"))
+    picked = upsert_last_wins(both, key, "_key").drop("_key")
+    whole = marked.where(~F.col("_touched")).drop("_touched").unionByName(picked)
+    return whole.select(*[F.col("_ord").alias(c) if c == order else c for c in current.columns])
 
 
 def select_clean(df: DataFrame) -> DataFrame:
@@ -220,16 +235,10 @@ def transform(raw: DataFrame) -> DataFrame:
     """The whole cleaning pipeline (raw strings with a ``seq`` arrival
     order -> clean reports, unique id, first valid row wins).
 
-    Validation and de-duplication are one aggregate: per id, the record with
-    the smallest ``seq`` among its valid rows (``min_by`` ignores rows whose
-    ordering value is null, i.e. invalid ones), combined map-side.
+    Rows that do not survive are dropped in the scan; of the others only those
+    with a repeated id are shuffled (``dedup_first``).
     """
-    n = normalized(mark_na(raw))
-    cols = [c for c in REPORT_COLUMNS if c != "id"]
-    first = F.min_by(F.struct(*cols), F.when(F.col("_valid"), F.col(SEQ)))
-    agg = n.groupBy("id").agg(first.alias("_r"))
-    return select_clean(agg.where(F.col("id").isNotNull() & F.col("_r").isNotNull())
-                        .select("id", "_r.*"))
+    return select_clean(dedup_first(validate(mark_na(raw)).select(SEQ, *REPORT_COLUMNS)))
 
 
 def row_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:

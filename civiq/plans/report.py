@@ -2,8 +2,8 @@
 
 The source drew seven PNG charts on one machine; here each chart's data is a
 table written to ``out_dir/<chart>``, and the summary (rows, profile, chart
-table paths) is one JSON row. The reports are scanned once per table with
-column pruning; every table is a small aggregate.
+table paths) is one JSON row. The reports are scanned once, to a cube (grouping
+sets); every table and the profile come from that.
 """
 
 from __future__ import annotations
@@ -17,25 +17,18 @@ from pyspark.sql import functions as F
 from ..operators import analysis as A
 
 
-def chart_tables(reports: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "heatmap_correlaciones": A.correlation_matrix(reports),
-        "heatmap_ciudad_categoria": A.crosstab_top(reports),
-        "bar_categorias": A.top_categories(reports),
-        "bar_ciudades": A.top_cities(reports),
-        "bar_urgente": A.urgent_distribution(reports),
-        "line_diario": A.daily_series(reports),
-        "line_mensual": A.monthly_series(reports),
-    }
-
-
-def generate_all(spark: SparkSession, reports: DataFrame, out_dir: str) -> dict:
+def generate_all(spark: SparkSession, reports: DataFrame, out_dir: str, store: str | None = None) -> dict:
+    """Paths of the chart tables and the profile. With ``store`` (an ETL output
+    folder) the profile says which of its parts are there."""
+    cube = A.ReportCube(reports)
     paths = {}
-    for name, df in chart_tables(reports).items():
+    for name, df in cube.charts().items():
         path = os.path.join(out_dir, name)
         df.write.mode("overwrite").parquet(path)
         paths[name] = path
-    prof = A.profile(reports).first().asDict()
+    prof = cube.profile().first().asDict()
+    if store is not None:
+        prof |= A.store_profile(spark, store).select("has_reports", "has_index").first().asDict()
     summary = {
         "db": {k: (str(v) if v is not None else None) for k, v in prof.items()},
         "charts": paths,
