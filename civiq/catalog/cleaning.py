@@ -84,6 +84,14 @@ def chain(upto: str, body: str) -> str:
     return O.with_(["v_raw_reports"] + [STEPS[s] for s in steps], body)
 
 
+def cleaned_as_reports() -> list[str]:
+    """CTEs in which ``v_reports`` is the cleaned table (the view it is made of is
+    called ``v_orders`` there)."""
+    source = O.CTE["v_reports"].replace("v_reports AS", "v_orders AS")
+    raw = O.CTE["v_raw_reports"].replace("FROM v_reports", "FROM v_orders")
+    return [source, raw, *[STEPS[s] for s in ORDER[:ORDER.index("dd") + 1]], f"v_reports AS (SELECT {_cols} FROM dd)"]
+
+
 _RAW_SEL = "seq, " + ", ".join(f'"{c}"' for c in _RAW)
 register("na_markers", chain("r0", f"SELECT {_RAW_SEL} FROM r0"))(
     lambda spark, sf: C.mark_na(_raw(spark, sf)))

@@ -240,9 +240,14 @@ _ASK_SEARCH = [
              UNION ALL SELECT question_id, rank, id, comentario, ciudad, categoria_problema,
                 fecha_reporte, urgente FROM ltop)""", _ctx("hits")]
 
-register("ask_batch", O.with_(
-    BASE + ["v_text"] + WINDOWS + LINES + _ASK_SEARCH,
-    f"""SELECT p.question_id, {O.sanitize('texto')} <> '' AS used_fts, p.prompt
-        FROM ({_prompt_sql('questions', True)}) p JOIN questions USING (question_id)"""))(
+def ask_sql(tables: list[str]) -> str:
+    """SQL of finished prompts; ``tables`` define v_reports, v_text and questions."""
+    return O.with_(
+        tables + PARSE + WINDOWS + LINES + _ASK_SEARCH,
+        f"""SELECT p.question_id, {O.sanitize('texto')} <> '' AS used_fts, p.prompt
+            FROM ({_prompt_sql('questions', True)}) p JOIN questions USING (question_id)""")
+
+
+register("ask_batch", ask_sql(["v_reports", "questions", "v_text"]))(
     lambda spark, sf: PR.ask_batch(S.questions(spark, sf), S.reports(spark, sf),
                                    S.text_reports(spark, sf)))

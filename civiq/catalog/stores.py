@@ -18,7 +18,8 @@ from ..session import ensure_checkpoint_dir
 from ..sources import csv as CSV
 from ..sources import tables as S
 from . import register
-from .cleaning import chain
+from .cleaning import chain, cleaned_as_reports
+from .questions import ask_sql
 from .reports import correlation_rows
 
 _RAW = list(COLUMN_RENAME_MAP)
@@ -164,3 +165,4 @@ UNION ALL SELECT 'bar_urgente', CAST(urgente AS VARCHAR) || '|' || CASE urgente
 UNION ALL SELECT 'line_diario', fecha_reporte, COUNT(*) FROM v_reports GROUP BY fecha_reporte
 UNION ALL SELECT 'line_mensual', substr(fecha_reporte, 1, 7) || '-01', COUNT(*) FROM v_reports GROUP BY 2)"""))(report_pipeline)
 register("store_presence", chain("dd", "SELECT true AS has_reports, true AS has_index, count(*) AS row_count FROM dd"))(store_presence)
+register("ask_plan", ask_sql([*cleaned_as_reports(), "questions", "v_text AS (SELECT * FROM v_reports)"]))(ask_plan)

@@ -107,8 +107,9 @@ def top_of_many(rows: DataFrame, key: str, n: int, tracked: int = TRACKED_KEYS,
     part = F.pmod(F.spark_partition_id(), F.lit(SUMMARY_PARTS))
     parts = rows.groupBy(part.alias("_part")).agg(
         F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("s"), F.count(F.lit(1)).alias("n"))
-    one = parts.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {listed})").alias("top"), F.sum("n").alias("n")).first()
-    if not one["n"]:
+    # grouped by a constant: without rows there is no group, and nothing to merge
+    one = parts.groupBy(F.lit(0).alias("_all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {listed})").alias("top"), F.sum("n").alias("n")).first()
+    if one is None:
         return _top(rows, key, n)
     counters = 1 << math.ceil(math.log2(math.ceil(tracked / 0.75)))
     bound = 2 * math.ceil(3.5 / counters * one["n"]) if counters * 0.75 < one["n"] else 0

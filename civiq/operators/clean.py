@@ -166,9 +166,15 @@ def normalized(df: DataFrame) -> DataFrame:
     return out.withColumn("_valid", valid)
 
 
+def _computed(df: DataFrame) -> DataFrame:
+    """The same rows; a later filter is not moved below. A filter that is would
+    repeat every rule that it needs, in a method too long to compile."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def validate(df: DataFrame) -> DataFrame:
     """Every row that would survive, normalized."""
-    return normalized(df).where(F.col("_valid")).drop("_valid")
+    return _computed(normalized(df)).where(F.col("_valid")).drop("_valid")
 
 
 def _pick(df: DataFrame, key: str, order: str, last: bool) -> DataFrame:
