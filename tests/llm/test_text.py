@@ -387,6 +387,19 @@ def test_attention_gradients_and_causality():
     assert np.allclose(net.log_probs(later, targets)[0][:, :-1], scores[:, :-1])
 
 
+def test_lm_words_are_encoded_together_as_alone():
+    import tiktoken
+
+    subwords = lm_scoring.Subwords()
+    encoding = tiktoken.Encoding("alone", pat_str=lm_scoring.PATTERN, mergeable_ranks=subwords.ranks, special_tokens={})
+    rng = np.random.default_rng(8)
+    letters = ["a", "B", "1", "23", "'s", "'", "!?", "\u00e9", "\u6f22", "\u00a0", "\u2003", "\u0085", "\x1c", "\u3000", "\U0001f600", "ll"]
+    words = ["".join(rng.choice(letters, rng.integers(1, 6))).encode() for _ in range(3000)] + [b"x" * 5000, "\u00a0".encode()]
+    for some in (words, words[:1], [w for w in words if w.isascii()], ["\u00a0".encode()], []):
+        flat, start, size = subwords.lists(some)
+        assert [flat[s:s + n].tolist() for s, n in zip(start, size, strict=True)] == [encoding.encode_ordinary(" " + w.decode()) for w in some]
+
+
 def slow_id_scores(model, ids):
     """Log probability of each id, and of a word beginning there: one window and
     one place at a time, every output summed in full."""
