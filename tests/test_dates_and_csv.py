@@ -92,3 +92,23 @@ def test_failed_replacement_leaves_the_old_table(spark, scratch):
     spark.range(5).write.parquet(f"{scratch}/new")
     replace_folder(spark, f"{scratch}/new", f"{scratch}/t")
     assert spark.read.parquet(f"{scratch}/t").count() == 5 and sorted(os.listdir(scratch)) == ["t"]
+
+
+def test_more_rows_are_written_in_more_files(spark, monkeypatch):
+    """csv_scan_split: no task sorts and writes all rows; the rows read are the same."""
+    from civiq.catalog import stores
+
+    from .conftest import SF_SMALL
+
+    seen, read = [], stores.CSV.read_reports_csv
+
+    def watched(spark, path, **kw):
+        seen.append(spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).groupBy(F.input_file_name()).count().collect())
+        return read(spark, path, **kw)
+
+    monkeypatch.setattr(stores.CSV, "read_reports_csv", watched)
+    want = sorted(map(str, stores.csv_scan_split(spark, SF_SMALL).collect()))
+    monkeypatch.setattr(stores, "ROWS_A_FILE", 400)
+    assert sorted(map(str, stores.csv_scan_split(spark, SF_SMALL).collect())) == want
+    assert len(seen[0]) == 1 and len(seen[1]) == -(-len(want) // 400)
+    assert max(r["count"] for r in seen[1]) < len(want) / 2
