@@ -490,3 +490,26 @@ def test_lm_scores(spark, monkeypatch):
     assert lm_scoring.score(documents(spark).filter("false"), held, steps=5).count() == 0
     alone = lm_scoring.score(documents(spark, rows[:3]), F.lit(True), steps=5).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in alone)
+
+
+def test_the_network_learns_from_every_piece(spark, monkeypatch):
+    """More pieces than the driver takes: tasks learn from all of them."""
+    seen, fit = [], lm_scoring.fit_all
+
+    def watched(pieces, subwords, model):
+        before = model.network.weights()
+        seen.append((pieces.count(), fit(pieces, subwords, model), before, model.network.weights()))
+        return seen[-1][1]
+
+    monkeypatch.setattr(lm_scoring, "fit_all", watched)
+    monkeypatch.setattr(lm_scoring, "SAMPLE", 4)
+    monkeypatch.setattr(lm_scoring, "PIECE", 40)
+    rows = [(i, f"word{i % 7} and more words of text {i} " * (1 + i % 9)) for i in range(60)] + [(61, None), (62, "")]
+    got = lm_scoring.score(documents(spark, rows), F.col("doc_id") % 10 == 3, steps=3).collect()
+    assert len(got) == len(rows) and np.isfinite([r["score"] for r in got]).all()
+    texts = [t[s:s + 40] for i, t in rows if t and i % 10 != 3 for s in range(0, len(t), 40)]
+    subwords = lm_scoring.Subwords()
+    windows = sum(-(-len(lm_scoring._piece_ids(subwords, t)) // attention_lm.STRIDE) for t in texts)
+    (pieces, learned, before, after), = seen
+    assert (pieces, learned) == (len(texts), windows)
+    assert np.isfinite(after).all() and not np.array_equal(before, after)
