@@ -94,6 +94,18 @@ def test_sentencepiece(spark):
     assert sentencepiece_codec.encode(documents(spark).filter("false")).count() == 0
 
 
+def test_decoding_gathers_bytes_of_many_texts_at_once(monkeypatch):
+    pieces = sentencepiece_codec.Pieces()
+    rng = np.random.default_rng(4)
+    rows = [rng.integers(0, len(pieces.raw), n).tolist() for n in rng.integers(0, 30, 300)]
+    rows += [[pieces.ids[" "]], [pieces.ids[" "]] * 3, [pieces.byte[0xC3]], [pieces.byte[0x20], pieces.byte[0xC3], pieces.byte[0xB1]], []]
+    for step in (7, 1 << 18):
+        monkeypatch.setattr(sentencepiece_codec, "DECODE_STEP", step)
+        flat, counts = np.array([i for r in rows for i in r], np.int32), np.array([len(r) for r in rows], np.int32)
+        assert list(pieces.decode_all(flat, counts)) == [pieces.decode(r) for r in rows]
+    assert list(pieces.decode_all(np.zeros(0, np.int32), np.zeros(2, np.int32))) == ["", ""]
+
+
 def test_segmentation_is_the_library_lattice_best():
     import sentencepiece
     pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
