@@ -8,9 +8,9 @@ groups only the windows estimated repeated, by 96-bit hashes, and finds the
 smallest document that holds each.
 
 Scale: the sketch is `width_bits` wide per row, chosen from the text size and
-never above MAX_WIDTH_BITS, so what is broadcast is at most 2 * 2**29 bits
-(128 MB, packed); beyond that the estimates only become looser, the result stays
-whole. In the second pass a chunk sends one entry per distinct window and
+never above MAX_WIDTH_BITS, so what is broadcast is at most 2 * 2**28 bits
+(64 MB, packed); beyond that the estimates only become looser, the result stays
+whole. A Python worker unpacks it once and lets the packed blocks go. In the second pass a chunk sends one entry per distinct window and
 document at most and settles repeats inside itself, so a window that a third of
 all documents share reaches its bucket once per chunk.
 
@@ -35,7 +35,7 @@ from .homes import PACKED, pack, unpack
 
 WINDOW = 13
 CHUNK_WORDS = 500_000
-MIN_WIDTH_BITS, MAX_WIDTH_BITS = 20, 29
+MIN_WIDTH_BITS, MAX_WIDTH_BITS = 20, 28
 BLOCK_BITS = 20
 DEPTH = 2
 BUCKET_BYTES = 32 << 20
@@ -166,20 +166,35 @@ def repeated_sketch(docs: DataFrame, width: int, bits: int) -> list[tuple[int, b
     return [(r[0], bytes(r[1])) for r in merged.collect()]
 
 
+def width_bits(total: int) -> int:
+    """Counters of a row of the sketch, as a power of two, for texts of so many
+    bytes: about three for a word or more, up to MAX_WIDTH_BITS."""
+    return min(max(int(total).bit_length() - 1, MIN_WIDTH_BITS), MAX_WIDTH_BITS)
+
+
 class Estimates:
-    """Answers from the broadcast sketch, unpacked once per task."""
+    """Answers from the sketch. It is broadcast as packed blocks; a Python worker
+    unpacks them when it first asks, lets each go then and keeps the counters for
+    its next task, so that it never holds both."""
 
     def __init__(self, blocks: list[tuple[int, bytes]], bits: int):
-        self.bits = bits
-        self.rows = np.zeros((DEPTH, (1 << bits) // 8), np.uint8)
-        flat = self.rows.reshape(-1, (1 << min(bits, BLOCK_BITS)) // 8)
-        for part, data in blocks:
+        self.bits, self.blocks = bits, blocks
+        self.rows: np.ndarray | None = None
+
+    def _unpack(self) -> np.ndarray:
+        if self.rows is None:
+            self.rows = np.zeros((DEPTH, (1 << self.bits) // 8), np.uint8)
+        flat = self.rows.reshape(-1, (1 << min(self.bits, BLOCK_BITS)) // 8)
+        while self.blocks:
+            part, data = self.blocks[-1]
             flat[part] = np.frombuffer(zlib.decompress(data), np.uint8)
+            self.blocks.pop()
+        return self.rows
 
     def repeated(self, h: np.ndarray) -> np.ndarray:
         """Whether each window is estimated to be in two documents or more."""
         keep = np.ones(len(h), bool)
-        for row, bitmap in enumerate(self.rows):
+        for row, bitmap in enumerate(self._unpack()):
             at = cells(h[keep], row, self.bits)
             keep[keep] = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
         return keep
@@ -198,11 +213,11 @@ def _entry_row(bucket, part, doc, pos, h=None, h2=None):
     return (bucket, ids.tobytes(), marks.tobytes(), counts.tobytes(), None if h is None else h.tobytes(), None if h2 is None else h2.tobytes(), pos.tobytes())
 
 
-def _suspects(width: int, buckets: int, shared, bits: int):
+def _suspects(width: int, buckets: int, shared):
     schema = pa.schema([("bucket", pa.int32())] + [(n, pa.binary()) for n in ("ids", "hashes", "counts", "h", "h2", "pos")])
 
     def run(batches):
-        estimates = Estimates(shared.value, bits)
+        estimates = shared.value
         for n, part in enumerate(_read(batches, width)):
             c = _Chunk(part, width)
             keep = estimates.repeated(c.h)
@@ -273,10 +288,10 @@ def repeated_starts(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     XXH64, so rows that share an id keep their own positions."""
     spark = docs.sparkSession
     total = text_bytes(docs, "text")
-    bits = min(max(int(total).bit_length(), MIN_WIDTH_BITS), MAX_WIDTH_BITS)
+    bits = width_bits(total)
     buckets = max(shuffle_partitions(spark), total // BUCKET_BYTES)
-    shared = spark.sparkContext.broadcast(repeated_sketch(docs, width, bits))
-    entries = docs.mapInArrow(_suspects(width, buckets, shared, bits), _ENTRY)
+    shared = spark.sparkContext.broadcast(Estimates(repeated_sketch(docs, width, bits), bits))
+    entries = docs.mapInArrow(_suspects(width, buckets, shared), _ENTRY)
     found = entries.groupBy("bucket").applyInArrow(_settle(buckets), PACKED)
     return found.groupBy("home").applyInArrow(_gather, "id long, mark long, starts binary")
 

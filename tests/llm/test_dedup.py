@@ -1,7 +1,9 @@
 """SimHash, substring and byte dedup against brute force."""
 
 import hashlib
+import pickle
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -172,6 +174,22 @@ def test_substring_dedup(spark, monkeypatch, width, chunk, bits):
     assert order(tuple(r) for r in got) == order(slow_windows(texts(), width))
 
 
+def test_sketch_is_held_once():
+    # 0.5 GB of text: 64 MB of counters; a worker holds no packed blocks beside them
+    assert 2 * (1 << substring_dedup.width_bits(510_000_000)) // 8 <= 64 << 20
+    assert substring_dedup.width_bits(30_000_000_000) == substring_dedup.width_bits(510_000_000)
+    bits, h = 20, np.random.default_rng(5).integers(0, 1 << 63, 1000).astype(np.uint64)
+    blocks = []
+    for row in range(substring_dedup.DEPTH):
+        twice = np.zeros(1 << bits, np.uint8)
+        twice[substring_dedup.cells(h[:400], row, bits)] = 1
+        blocks.append((row, zlib.compress(np.packbits(twice, bitorder="little").tobytes())))
+    shared = pickle.loads(pickle.dumps(substring_dedup.Estimates(blocks, bits)))
+    for _ in range(2):  # two tasks of one worker
+        assert shared.repeated(h)[:400].all() and not shared.repeated(h)[400:].any()
+        assert not shared.blocks
+
+
 def slow_bytes(rows, length):
     raw = [(i, (t or "").encode()) for i, t in rows]
     seen = Counter(r[s:s + length] for _, r in raw for s in range(len(r) - length + 1))
