@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from civiq.functions.dates import parse_date_iso
 from civiq.operators import clean as C
 from civiq.schema import COLUMN_RENAME_MAP
-from civiq.session import replace_folder
+from civiq.session import materialize, replace_folder
+from civiq.sources import csv as CSV
 from civiq.sources.csv import read_reports_csv
 
 # text, month first, day first
@@ -112,3 +113,35 @@ def test_more_rows_are_written_in_more_files(spark, monkeypatch):
     assert sorted(map(str, stores.csv_scan_split(spark, SF_SMALL).collect())) == want
     assert len(seen[0]) == 1 and len(seen[1]) == -(-len(want) // 400)
     assert max(r["count"] for r in seen[1]) < len(want) / 2
+
+
+def test_plain_lines_are_cut_in_place_and_parsed_once(spark, scratch):
+    os.makedirs(f"{scratch}/plain")
+    os.makedirs(f"{scratch}/both")
+    plain = 'ID,Comentario\r\n1,"a, ""b"""\r\n\r\n2,c\r\n3,"d"'
+    for name, text in (("plain/a.csv", plain), ("both/a.csv", plain), ("both/b.csv", 'Comentario,ID\n"e\nf",4\n,5\n')):
+        with open(f"{scratch}/{name}", "w", newline="") as f:
+            f.write(text)
+    lines = CSV._lines(spark, f"{scratch}/plain")
+    cut = CSV._records(lines, materialize(CSV._splits(lines)))
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
+    read = CSV.read_reports_csv(spark, f"{scratch}/plain")
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+    want = [("1", 'a, "b"'), ("2", "c"), ("3", "d")]
+    assert [(r.ID, r.Comentario) for r in read.orderBy("seq").collect()] == want
+    for size in (None, 5, 17):
+        both = CSV.read_reports_csv(spark, f"{scratch}/both", split_bytes=size).orderBy("seq").collect()
+        assert [(r.ID, r.Comentario) for r in both] == [*want, ("4", "e\nf"), ("5", None)]
+
+
+def test_lines_numbered_otherwise_end_the_job(spark, scratch):
+    with open(f"{scratch}/a.csv", "w") as f:
+        f.write("ID\n1\n2\n")
+    lines = CSV._lines(spark, scratch)
+    splits = materialize(CSV._splits(lines))
+    assert sorted(r.record for r in CSV._records(lines, splits).collect()) == ["1", "2"]
+    shifted = [splits.withColumns({c: F.col(c) + by for c in ("first_row", "last_row")}) for by in (-1, 1)]
+    for wrong in (splits.where("false"), *shifted):
+        with pytest.raises(Exception, match="split anew"):
+            CSV._records(lines, wrong).collect()
