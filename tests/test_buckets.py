@@ -76,3 +76,16 @@ def test_candidates_of_frequent_terms_are_not_multiplied_by_terms(spark, monkeyp
     qs = spark.createDataFrame([(3, "c k")], "question_id long, texto string")
     assert SE.bm25_search(qs, docs, index, 5, with_hits=False).count() == 5
     assert sum(written) == 0, written
+
+
+def test_bounds_are_made_for_asked_terms_alone(spark):
+    docs, _ = _docs(spark)
+    built = TextIndex.build(docs)
+    index = TextIndex(built.postings, built.terms, built.corpus, block_ids=20)
+    qs = spark.createDataFrame([(3, "c k")], "question_id long, texto string")
+    assert SE.bm25_search(qs, docs, index, 5, with_hits=False).count() == 5
+    assert index._bounds is None
+    asked = spark.createDataFrame([("aa",), ("k",), ("nada",)], "term string")
+    alone = {tuple(r) for r in index.bounds_of(asked).collect()}
+    assert alone == {tuple(r) for r in index.bounds.where("term IN ('aa', 'k')").collect()}
+    assert alone == {tuple(r) for r in index.bounds_of(asked, few=False).collect()}
