@@ -36,7 +36,9 @@ from .common import columns, ship, values, with_row
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE = 400_000
+CACHE = 200_000
+#: Words of texts whose ids are gathered at once.
+ENCODE_STEP = 1 << 16
 DECODE_STEP = 1 << 18
 
 _WORD = re.compile(r" +[^ \n]*|\n|[^ \n]+")
@@ -70,15 +72,25 @@ class Pieces:
         self.endings: dict[str, float | None] = {p[k:]: None for p in self.ids for k in range(len(p))}
         self.endings.update((p, self.scores[i]) for p, i in self.ids.items())
         self.unknown = min(self.scores[i] for i in self.ids.values()) - UNKNOWN_PENALTY
-        # The bytes of all pieces one behind the other, where each starts, its size.
-        self.flat = np.frombuffer(b"".join(self.raw), np.uint8)
-        self.size = np.fromiter(map(len, self.raw), np.int64, len(self.raw))
-        self.start = np.cumsum(self.size) - self.size
+        self.bytes = PieceBytes(self.raw)
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[str]:
+        return self.bytes.decode_all(ids, counts)
+
+
+class PieceBytes:
+    """All that decoding needs, without the vocabulary's dicts: the bytes of all
+    pieces one behind the other, where each starts, its size."""
+
+    def __init__(self, raw: list[bytes]):
+        self.flat = np.frombuffer(b"".join(raw), np.uint8)
+        self.size = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.start = np.cumsum(self.size) - self.size
+
     def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[str]:
         """`decode` of texts whose ids are laid end to end; counts: how many each
         has. Bytes are gathered for DECODE_STEP ids at once."""
@@ -199,7 +211,7 @@ class Encoder:
             own = _WORD.findall(" " + text) if text else ()
             numbers.extend(map(self.known.__getitem__, own))
             words.append(len(own))
-            if len(numbers) >= CACHE:
+            if len(numbers) >= ENCODE_STEP:
                 flush()
         flush()
         ends = np.append(0, np.cumsum(np.concatenate(sizes or [np.zeros(0, np.int64)]))).astype(np.int32)
@@ -228,7 +240,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Data
     """row (the whole input row as a struct) and decoded (text of the ids)."""
     spark = encoded.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(Pieces(model))
+    shared = spark.sparkContext.broadcast(Pieces(model).bytes)
 
     at = encoded.columns.index(ids_col)
 

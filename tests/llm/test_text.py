@@ -525,3 +525,21 @@ def test_the_network_learns_from_every_piece(spark, monkeypatch):
     (pieces, learned, before, after), = seen
     assert (pieces, learned) == (len(texts), windows)
     assert np.isfinite(after).all() and not np.array_equal(before, after)
+
+
+def test_sentencepiece_steps_and_cache_change_no_ids_and_decoding_ships_bytes_alone(monkeypatch):
+    import pickle
+
+    from civiq.llm import sentencepiece_codec as codec
+
+    pieces = codec.Pieces()
+    texts = ["der Hund the the  dog", None, "", "a\nb ▁ ☃ the dog"] * 3
+    want = codec.Encoder(pieces).encode(texts)
+    monkeypatch.setattr(codec, "ENCODE_STEP", 3)
+    monkeypatch.setattr(codec, "CACHE", 4)
+    assert codec.Encoder(pieces).encode(texts).equals(want)
+    sent = pickle.dumps(pieces.bytes)
+    assert len(sent) < len(pickle.dumps(pieces)) / 2
+    ids = want.flatten().to_numpy()
+    counts = [0 if x is None else len(x) for x in want.to_pylist()]
+    assert list(pickle.loads(sent).decode_all(ids, counts)) == [t or "" for t in texts]
