@@ -36,7 +36,7 @@ from .common import columns, ship, values, with_row
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE = 200_000
+CACHE = 400_000
 #: Words of texts whose ids are gathered at once.
 ENCODE_STEP = 1 << 16
 DECODE_STEP = 1 << 18
