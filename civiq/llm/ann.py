@@ -6,13 +6,16 @@ two scalars: its length and its inner product with its own code. From the packed
 bits and the scalars follow an unbiased estimate of the inner product with a
 query and a bound of its error. Of each block the estimated nearest are measured
 exactly first; every vector whose lower bound does not exceed the k-th of these
-distances is then measured exactly too.
+distances is then measured exactly too. Where that leaves many pairs of a block, a
+matrix product goes first, and only pairs that it leaves within the k-th distance
+found so far (rounding allowed for) are measured by differences.
 
 Scale: the index is written as Parquet blocks of at most BLOCK rows of one
-centroid, made by a map without a shuffle; queries are packed likewise, per
-centroid they probe, and joined with the blocks in SLOTS parts per centroid, so
-that no centroid is one task. A task merges what its blocks give for a query
-before it sends it, packed per group of queries. Rotation and centroids (broadcast, NLIST at most)
+centroid, made by a map without a shuffle, and dealt out over parts whose number
+grows with the vectors. A query is packed once, with up to PACK others, and a copy
+of the pack goes to each part and meets its blocks one after another. A task
+merges what its blocks give for a query before it sends it, packed per group of
+queries; all groups have bounded numbers of queries. Rotation and centroids (broadcast, NLIST at most)
 are fitted on a sample of SAMPLE vectors, the first by a hash of their id; every
 vector is indexed.
 
@@ -32,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import first_by_hash, materialize, runs, ship
+from .common import BATCH_BYTES, chunks, first_by_hash, materialize, runs, ship
 
 K = 10
 NLIST = 64
@@ -42,8 +45,13 @@ ROWS_PER_LIST = 200
 PROBED = 1.0
 SAMPLE = 20_000
 BLOCK, PACK = 8192, 1024
-HELD = 1_000_000  # results a task merges before it sends them
-SLOTS = 8
+HELD = 300_000  # results a task merges before it sends them
+#: Bytes of vectors in a part of the index, at most about; smaller tables get up to
+#: PARTS parts of PART_ROWS vectors. Bytes of vectors that an index task holds.
+PART_BYTES, PARTS, PART_ROWS, GATHERED = 64 << 20, 32, 2048, 32 << 20
+#: Pairs of a block looked at at once, and the share of them that the bounds must
+#: leave for a matrix product to measure the block.
+PAIRS, DENSE = 1 << 17, 1 / 16
 EPSILON = 2.5
 SEED = 7
 
@@ -106,29 +114,50 @@ def encode(model: Model, x: np.ndarray, center: int) -> tuple[np.ndarray, np.nda
     return np.packbits(bits, axis=1), length, own
 
 
-def search_block(model: Model, center: int, q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray, k: int = K):
-    """The k nearest of a block to each query: (query row, block row, distance)."""
+def search_block(model: Model, center: int, q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray, k: int = K, kth: np.ndarray | None = None):
+    """The k nearest of a block to each query: (query row, block row, distance).
+    `kth`: the k-th distance that each query has found elsewhere; vectors that are
+    farther are left out. Ids come once in the block, and once in the queries."""
     d = x.shape[1]
+    kth = np.full(len(q), np.inf) if kth is None else kth
     q_len, u = model.turned(q, center)
-    signs = np.unpackbits(codes, axis=1, count=d).astype(np.float64) * 2 - 1
     own = np.where(own > 0, own, 1.0)
-    estimate = (u @ signs.T) / np.sqrt(d) / own
+    signs = (np.unpackbits(codes, axis=1, count=d) * 2.0 - 1) / (np.sqrt(d) * own)[:, None]
     error = EPSILON * np.sqrt(np.maximum(1 - own**2, 0)) / own / np.sqrt(max(d - 1, 1))
-    base, scale = q_len[:, None]**2 + length**2, 2 * q_len[:, None] * length
-    self_hit = q_ids[:, None] == ids
-    near = np.where(self_hit, np.inf, base - scale * estimate)
-    low = np.where(self_hit, np.inf, base - scale * np.minimum(estimate + error, 1))
-    n = min(k, x.shape[0])
-    first = np.argpartition(near, n - 1, axis=1)[:, :n]
-    exact = np.sqrt(((q[:, None, :] - x[first])**2).sum(axis=2))
-    exact[np.take_along_axis(self_hit, first, axis=1)] = np.inf
-    limit = exact.max(axis=1)
-    # rounding must not drop a tie at the limit
-    a, b = np.nonzero((low <= (limit**2 * (1 + 1e-9) + 1e-12)[:, None]) & ~self_hit)
-    dist = np.empty(len(a))
-    for s in range(0, len(a), 1 << 16):
-        e = slice(s, s + (1 << 16))
-        dist[e] = np.sqrt(((q[a[e]] - x[b[e]])**2).sum(axis=1))
+    mine = np.stack(np.intersect1d(q_ids, ids, return_indices=True)[1:])
+    q_sq, x_sq = (q**2).sum(axis=1), (x**2).sum(axis=1)
+    # what rounding may add to a squared distance found by a product
+    slack = 4 * (d + 8) * np.finfo(float).eps * (np.sqrt(q_sq) + np.sqrt(x_sq.max()))**2
+    n, step = min(k, len(x)), max(16, PAIRS // len(x))
+    found = []
+    for s in range(0, len(q), step):
+        e = slice(s, s + step)
+        me = mine[0, (mine[0] >= s) & (mine[0] < s + step)] - s, mine[1, (mine[0] >= s) & (mine[0] < s + step)]
+        estimate = u[e] @ signs.T
+        base, scale = q_len[e, None]**2 + length**2, 2 * q_len[e, None] * length
+        near = base - scale * estimate
+        near[me] = np.inf
+        first = np.argpartition(near, n - 1, axis=1)[:, :n]
+        exact = np.sqrt(((q[e, None, :] - x[first])**2).sum(axis=2))
+        exact[q_ids[e, None] == ids[first]] = np.inf
+        limit = exact.max(axis=1)
+        estimate += error
+        scale *= np.minimum(estimate, 1, out=estimate)
+        # rounding must not drop a tie at the limit
+        left = base - scale <= (limit**2 * (1 + 1e-9) + 1e-12)[:, None]
+        left[me] = False
+        if np.count_nonzero(left) > DENSE * left.size:
+            square = q_sq[e, None] + x_sq - 2 * (q[e] @ x.T)
+            left &= ~(square > (np.minimum(limit, kth[e])**2 * (1 + 1e-9) + slack[e])[:, None])
+        a, b = np.nonzero(left)
+        a += s
+        dist = np.empty(len(a))
+        for t in range(0, len(a), 1 << 16):
+            c = slice(t, t + (1 << 16))
+            dist[c] = np.sqrt(((q[a[c]] - x[b[c]])**2).sum(axis=1))
+        near_by = ~(dist > kth[a])
+        found.append((a[near_by], b[near_by], dist[near_by]))
+    a, b, dist = map(np.concatenate, zip(*found, strict=True))
     by = np.lexsort((ids[b], dist, a))
     a, b, dist = a[by], b[by], dist[by]
     start = runs(a)
@@ -141,58 +170,73 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-_BLOCK = "center int, slot int, ids binary, vecs binary, codes binary, length binary, own binary"
-_PACK = "home int, center int, q_ids binary, q_vecs binary"
+def _packed(x: np.ndarray) -> bytes:
+    """Vectors in single precision, if that holds them exactly."""
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
+    return (single if np.array_equal(single, x) else x).tobytes()
 
 
-def _index(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unpacked(data: bytes, n: int, d: int) -> np.ndarray:
+    return np.frombuffer(data, np.float32 if len(data) == 4 * n * d else np.float64).reshape(n, d).astype(np.float64)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(vectors, ids) of many batches together, until they have `limit` bytes."""
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append((_matrix(b.column("vec")), b.column("id").to_numpy()))
+            size += held[-1][0].nbytes
+        if size >= limit:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def _batches(rows: Iterator[tuple], names: list[str], numbers: int) -> Iterator[pa.RecordBatch]:
+    """Batches of bounded bytes from rows that begin with so many numbers and go on
+    with bytes."""
+    for part in chunks(rows, lambda r: sum(map(len, r[numbers:])), BATCH_BYTES):
+        kinds = [pa.int32()] * numbers + [pa.binary()] * (len(names) - numbers)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), kinds, strict=True)], names)
+
+
+_BLOCK = "center int, part int, ids binary, vecs binary, codes binary, length binary, own binary"
+_PACK = "home int, q_ids binary, probed binary, q_vecs binary"
+
+
+def _index(shared, parts: int):
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         model = shared.value[0]
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, ids = _matrix(b.column("vec")), b.column("id").to_numpy()
+        turn = TaskContext.get().partitionId() * 7919  # tasks begin at different parts
+        for x, ids in _gathered(batches, GATHERED):
             near = model.assign(x)
-            out = []
             for c in np.unique(near).tolist():
                 mine = np.flatnonzero(near == c)
                 for s in range(0, len(mine), BLOCK):
                     at = mine[s:s + BLOCK]
                     codes, length, own = encode(model, x[at], c)
-                    out.append((c, int(ids[at[0]] % SLOTS), ids[at].tobytes(), x[at].tobytes(), codes.tobytes(), length.tobytes(), own.tobytes()))
-            cols = zip(*out, strict=True)
-            kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, kinds, strict=True)], ["center", "slot", "ids", "vecs", "codes", "length", "own"])
+                    yield c, turn % parts, ids[at].tobytes(), _packed(x[at]), codes.tobytes(), length.tobytes(), own.tobytes()
+                    turn += 1
 
-    return run
+    return lambda batches: _batches(blocks(batches), ["center", "part", "ids", "vecs", "codes", "length", "own"], 2)
 
 
 def _queries(shared, k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         model, sizes = shared.value
         home = TaskContext.get().partitionId()  # each query is packed by one task
         least = max(1, int(np.ceil(PROBED * len(sizes))))
-        for b in batches:
-            if not b.num_rows:
-                continue
-            q, ids = _matrix(b.column("vec")), b.column("id").to_numpy()
-            order = model.order(q)
-            held = np.cumsum(sizes[order], axis=1)
-            # at least so many lists, and on until they hold enough candidates
-            probed = np.maximum(least, (held < 4 * k + 1).sum(axis=1) + 1)
-            use = np.arange(len(sizes)) < probed[:, None]
-            row, col = np.nonzero(use)
-            center = order[row, col]
-            out = []
-            for c in np.unique(center).tolist():
-                mine = row[center == c]
-                for s in range(0, len(mine), PACK):
-                    at = mine[s:s + PACK]
-                    out.append((home, c, ids[at].tobytes(), q[at].tobytes()))
-            cols = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["home", "center", "q_ids", "q_vecs"])
+        for q, ids in _gathered(batches, GATHERED):
+            for at in np.array_split(np.arange(len(q)), -(-len(q) // PACK)):
+                held = np.cumsum(sizes[model.order(q[at])], axis=1)
+                # at least so many lists, and on until they hold enough candidates
+                probed = np.maximum(least, (held < 4 * k + 1).sum(axis=1) + 1)
+                yield home, ids[at].tobytes(), probed.astype(np.int32).tobytes(), _packed(q[at])
 
-    return run
+    return lambda batches: _batches(packs(batches), ["home", "q_ids", "probed", "q_vecs"], 1)
 
 
 def best(q: np.ndarray, v: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
@@ -209,36 +253,51 @@ def best(q: np.ndarray, v: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarra
 _FOUND = "home int, q binary, v binary, d binary"
 
 
+class Asked:
+    """The queries of a pack, and the nearest found for them so far."""
+
+    def __init__(self, model: Model, row: dict):
+        self.home, self.ids = row["home"], np.frombuffer(row["q_ids"], np.int64)
+        self.q = _unpacked(row["q_vecs"], len(self.ids), model.rotation.shape[0])
+        place = np.argsort(model.order(self.q), axis=1)
+        self.use = place < np.frombuffer(row["probed"], np.int32)[:, None]
+        self.top = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        self.kth = np.full(len(self.ids), np.inf)
+
+    def meet(self, model: Model, row: dict, k: int) -> None:
+        use = np.flatnonzero(self.use[:, row["center"]])
+        if not len(use):
+            return
+        ids = np.frombuffer(row["ids"], np.int64)
+        x = _unpacked(row["vecs"], len(ids), model.rotation.shape[0])
+        codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
+        at, to, dist = search_block(model, row["center"], self.q[use], self.ids[use], x, ids, codes, np.frombuffer(row["length"]), np.frombuffer(row["own"]), k, self.kth[use])
+        if len(at):
+            *self.top, rank = best(*map(np.concatenate, zip(self.top, (use[at], ids[to], dist), strict=True)), k)
+            self.kth[self.top[0][rank == k]] = self.top[2][rank == k]
+
+
 def _cells(shared, k: int):
-    def packed(held: dict) -> pa.RecordBatch:
-        rows = []
-        for home, parts in sorted(held.items()):
-            q, v, d, _ = best(*map(np.concatenate, zip(*parts, strict=True)), k)
-            rows.append((home, q.tobytes(), v.tobytes(), d.tobytes()))
-        kinds = [pa.int32()] + [pa.binary()] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["home", "q", "v", "d"])
+    def packed(held: dict) -> Iterator[tuple]:
+        for asked in held.values():
+            at, v, d = asked.top
+            yield asked.home, asked.ids[at].tobytes(), v.tobytes(), d.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The best of all cells of a task, packed per home of queries."""
         model = shared.value[0]
-        d = model.rotation.shape[0]
-        held: dict[int, list] = {}
-        total = 0
+        held: dict[tuple[int, bytes], Asked] = {}
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
-                q_ids, ids = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
-                q, x = np.frombuffer(r["q_vecs"]).reshape(-1, d), np.frombuffer(r["vecs"]).reshape(-1, d)
-                codes = np.frombuffer(r["codes"], np.uint8).reshape(len(ids), -1)
-                for s in range(0, len(q), 64):
-                    at, to, dist = search_block(model, r["center"], q[s:s + 64], q_ids[s:s + 64], x, ids, codes, np.frombuffer(r["length"]), np.frombuffer(r["own"]), k)
-                    held.setdefault(r["home"], []).append((q_ids[s:s + 64][at], ids[to], dist))
-                    total += len(at)
-                if total > HELD:
-                    yield packed(held)
-                    held, total = {}, 0
-        if held:
-            yield packed(held)
+                key = r["home"], r["q_ids"]
+                if key not in held:
+                    if sum(len(x.ids) for x in held.values()) * k > HELD:
+                        yield from _batches(packed(held), ["home", "q", "v", "d"], 1)
+                        held = {}
+                    held[key] = Asked(model, r)
+                held[key].meet(model, r, k)
+        yield from _batches(packed(held), ["home", "q", "v", "d"], 1)
 
     return run
 
@@ -270,13 +329,17 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     sample = np.array([r["vec"] for r in first_by_hash(rows, "id", SAMPLE).collect()], np.float64)
     nlist = max(1, min(NLIST, len(sample) // ROWS_PER_LIST))
     model = Model(sample, nlist)
-    index = materialize(rows.mapInArrow(_index(spark.sparkContext.broadcast((model, None))), _BLOCK))
+    parts = max(-(-count * 8 * sample.shape[1] // PART_BYTES), min(PARTS, -(-count // PART_ROWS)))
+    index = materialize(rows.mapInArrow(_index(spark.sparkContext.broadcast((model, None)), parts), _BLOCK))
     sizes = np.zeros(nlist, np.int64)
     for r in index.groupBy("center").agg(F.sum(F.octet_length("ids") / 8).alias("n")).collect():  # NLIST rows at most
         sizes[r["center"]] = int(r["n"])
     shared = spark.sparkContext.broadcast((model, sizes))
-    packs = rows.filter(is_query).repartition("id").mapInArrow(_queries(shared, k), _PACK)
-    packs = packs.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
-    cells = index.join(packs, ["center", "slot"])
-    found = cells.mapInArrow(_cells(shared, k), _FOUND)
+    asked = rows.filter(is_query)
+    n = asked.count()
+    # a number of homes that is not left to the planner, which sees small rows only
+    homes = max(1, -(-n // PACK), min(8, n // 128))
+    packs = asked.repartition(homes, "id").mapInArrow(_queries(shared, k), _PACK)
+    packs = packs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    found = packs.join(index, "part").mapInArrow(_cells(shared, k), _FOUND)
     return found.groupBy("home").applyInArrow(_rank(k), "query_id long, rank int, vec_id long, score double")

@@ -1,7 +1,10 @@
 """Nearest neighbours against brute force; the pipeline against its stages'
 brute-force versions."""
 
+import types
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +50,51 @@ def test_nearest_neighbours(spark, monkeypatch, n, block):
     assert ann.nearest(df.filter("false"), F.col("id") % 100 == 0).count() == 0
 
 
+def test_queries_are_packed_once_in_bounded_batches(monkeypatch):
+    """A query was copied for each list that it probes, all copies of up to 10,000
+    queries in one batch."""
+    monkeypatch.setattr(ann.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 3))
+    monkeypatch.setattr(ann, "BATCH_BYTES", 1 << 18, raising=False)
+    x = np.random.default_rng(2).normal(size=(5000, 32))
+    shared = types.SimpleNamespace(value=(ann.Model(x, 25), np.full(25, 200)))
+    rows = pa.RecordBatch.from_arrays([pa.array(np.arange(5000)), pa.array(x.tolist())], ["id", "vec"])
+    out = list(ann._queries(shared, ann.K)(iter([rows])))
+    ids = [np.frombuffer(i, np.int64) for b in out for i in b.column("q_ids").to_pylist()]
+    assert sum(b.nbytes for b in out) < 1.2 * x.nbytes
+    assert max(b.nbytes for b in out) < 2 * ann.PACK * x.shape[1] * 8
+    assert max(map(len, ids)) <= ann.PACK and sorted(np.concatenate(ids).tolist()) == list(range(5000))
+
+
+@pytest.mark.parametrize("dtype,offset", [(np.float32, 0), (np.float64, 1000)])
+def test_blocks_keep_ties_and_all_nearer_vectors(dtype, offset):
+    """Blocks met one after another give what all vectors together give, also where
+    distances tie and rounding of the products is large."""
+    rng = np.random.default_rng(4)
+    x = (rng.normal(size=(3000, 16)) + offset).astype(dtype).astype(float)
+    x[1000:1060] = x[5]
+    ids = rng.permutation(3000)
+    model = ann.Model(x, 3)
+    row = {"home": 0, "q_ids": ids[:90].tobytes(), "q_vecs": ann._packed(x[:90]), "probed": np.full(90, 3, np.int32).tobytes()}
+    asked, near = ann.Asked(model, row), model.assign(x)
+    assert len(row["q_vecs"]) == 90 * 16 * (4 if dtype == np.float32 else 8)
+    for at in np.array_split(np.arange(3000), 7):
+        for c in range(3):
+            mine = at[near[at] == c]
+            if len(mine):
+                codes, length, own = ann.encode(model, x[mine], c)
+                asked.meet(model, {"center": c, "ids": ids[mine].tobytes(), "vecs": ann._packed(x[mine]), "codes": codes.tobytes(), "length": length.tobytes(), "own": own.tobytes()}, ann.K)
+    at, v, d = asked.top
+    hits = 0
+    for i in range(90):
+        dist = np.sqrt(((x - x[i])**2).sum(axis=1))
+        want = [j for j in np.lexsort((ids, dist)) if j != i][:ann.K]
+        got = v[at == i].tolist()
+        assert len(got) == ann.K
+        hits += len(set(got) & set(ids[want].tolist()))
+    assert hits >= 0.99 * 90 * ann.K
+    assert v[at == 5].tolist() == sorted(ids[1000:1060])[:ann.K]
+
+
 def test_pipeline_stages(spark, scratch):
     rows = [(i, t) for i, t in texts() if i is not None]
     seen = set()
